@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-IPV4_PATTERN = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IPV4_PATTERN = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 IPV6_PATTERN = r"^[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*$"
 
 # The network treated as internal, and the private IPv4 networks.
@@ -33,13 +34,11 @@ def address_value(text: str) -> int:
 def ip_number(text: Column) -> Column:
     """IPv4 text as a long; NULL for anything that is not a valid IPv4 address."""
     parts = F.split(text, r"\.")
-    octets = [F.try_element_at(parts, F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
-    in_range = octets[0] <= 255
-    value = octets[0]
-    for octet in octets[1:]:
-        in_range = in_range & (octet <= 255)
+    first, *rest = [F.try_element_at(parts, F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
+    value = first
+    for octet in rest:
         value = value * 256 + octet
-    return F.when(text.rlike(IPV4_PATTERN) & in_range, value)
+    return F.when(text.rlike(IPV4_PATTERN), value)
 
 
 def in_networks(number: Column, networks) -> Column:

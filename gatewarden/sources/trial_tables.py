@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gatewarden.functions.addresses import address_value
 from gatewarden.functions.clock import Calendar
 from gatewarden.sources.warehouse import Warehouse
 
@@ -76,4 +77,9 @@ def trial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("login").alias("event_type"),
         (kind != "error").alias("success"),
         "event_timestamp",
+        # What loading would store next to the address text.
+        F.when(k < 60, (k % 3) * 65536 + user % 250 + address_value("10.0.0.0"))
+        .otherwise((user % 5) * 256 + k + address_value("198.51.0.0"))
+        .alias("source_ip_num"),
+        (k >= 60).alias("is_external"),
     )
