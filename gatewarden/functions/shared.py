@@ -1,26 +1,41 @@
-"""Materialising a frame that several parts of a report read."""
+"""Results that several parts of a job read, computed once and kept as a table."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; only a local session may fall back to a temporary one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors reach.
+
+    Only a local session without that setting gets a temporary folder, removed
+    when the process ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="gatewarden-checkpoint-")
-    context.setCheckpointDir(folder)
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    kept = _local_folders.setdefault(
+        context.applicationId, tempfile.TemporaryDirectory(prefix="gatewarden-")
+    )
+    return kept.name
 
 
 def computed_once(frame: DataFrame) -> DataFrame:
-    """The frame written to the shared folder, so later parts do not scan the events again."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """Write the frame to the shared folder and read it back.
+
+    Later parts then scan only the columns they need of a small columnar
+    table, a lost executor costs no recomputation of the events, and Spark
+    plans with the table's true size.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/gatewarden-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

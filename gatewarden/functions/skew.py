@@ -1,60 +1,69 @@
-"""Joins that stay balanced when one key owns a large share of the rows.
+"""Joining many rows to a short lookup, whatever the sizes and the skew.
 
-``heaviest`` lists the keys worth splitting. It keeps at most ``limit`` keys,
-the heaviest ones, so the list is small by construction and can be broadcast;
-any key left out holds less than 1/limit of all rows. ``spread_join`` gives the
-rows of a listed key a salt and repeats the other side's rows of that key once
-per salt. Nothing is dropped: every other key joins with the single salt 0.
+``lookup_join`` measures the lookup. A short one is broadcast, and the rows
+never move. A longer one is joined by shuffle with the heavy keys split: their
+rows get a salt, and the lookup's rows of those keys are repeated per salt.
+
+The list of heavy keys keeps at most ``MAX_LISTED_KEYS`` keys, the heaviest, so
+it is small by construction; any key left out holds less than 1/1000 of the
+rows. Nothing is dropped: unlisted keys join with the single salt 0.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 500_000
 ROWS_PER_TASK = 2_000_000
 MAX_LISTED_KEYS = 1_000
 MAX_SPLITS = 4_096
 
 
-def heaviest(weights: DataFrame, keys: list[str], weight: str,
-             rows_per_task: int = ROWS_PER_TASK, limit: int = MAX_LISTED_KEYS) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str],
+                weights: Callable[[], DataFrame], row_id: str, how: str = "inner",
+                broadcast_rows: int = BROADCAST_ROWS,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Join ``rows`` to ``lookup`` (already computed, narrow columns) on ``keys``.
+
+    ``weights`` gives, per key, the number of ``rows`` in a column ``weight``; it
+    is only called for a long lookup. ``row_id`` varies within a key.
+    """
+    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), keys, how)
+    return spread_join(rows, lookup, keys, heaviest(weights(), keys, rows_per_task), row_id, how)
+
+
+def heaviest(weights: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys above ``rows_per_task`` rows with the number of ``splits`` each needs.
 
     ``weights`` has one row per key. The order is total, so both sides of a
     join see the same list even when Spark evaluates it twice.
     """
+    splits = F.ceil(F.col("weight") / rows_per_task)
     return (
-        weights.filter(F.col(weight) > rows_per_task)
-        .orderBy(F.col(weight).desc(), *keys)
-        .limit(limit)
-        .withColumn(
-            "splits",
-            F.least(F.ceil(F.col(weight) / rows_per_task), F.lit(MAX_SPLITS)).cast("int"),
-        )
+        weights.filter(F.col("weight") > rows_per_task)
+        .orderBy(F.desc("weight"), *keys)
+        .limit(MAX_LISTED_KEYS)
+        .select(*keys, F.least(splits, F.lit(MAX_SPLITS)).cast("int").alias("splits"))
     )
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], heavy: DataFrame,
                 row_id: str, how: str = "inner") -> DataFrame:
-    """Join ``rows`` to ``lookup`` on ``keys``, splitting the heavy keys.
-
-    ``heavy`` holds the keys and ``splits``; ``row_id`` names a column of
-    ``rows`` that varies within a key.
-    """
-    listed = F.broadcast(heavy.select(*keys, "splits"))
+    """Shuffle join with the keys of ``heavy`` spread over their ``splits``."""
+    listed = F.broadcast(heavy)  # at most MAX_LISTED_KEYS rows
+    splits = F.coalesce("splits", F.lit(1))
     salted_rows = (
         rows.join(listed, keys, "left")
-        .withColumn(
-            "_salt", F.pmod(F.xxhash64(row_id), F.coalesce("splits", F.lit(1))).cast("int")
-        )
+        .withColumn("_salt", F.pmod(F.xxhash64(row_id), splits).cast("int"))
         .drop("splits")
     )
     salted_lookup = (
         lookup.join(listed, keys, "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("splits", F.lit(1)) - 1))
-        )
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
         .drop("splits")
     )
     return salted_rows.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewarden.functions.skew import ROWS_PER_TASK, heaviest, spread_join
+from gatewarden.functions.shared import computed_once
+from gatewarden.functions.skew import lookup_join
 from gatewarden.sources.warehouse import Warehouse
 
 COLUMNS = (
@@ -32,36 +33,38 @@ def pair_history(events: DataFrame, failed_after: str | None = None) -> DataFram
 
 
 def compromised_same_address(wh: Warehouse, threshold: int = 3, keep_unknown_hosts: bool = False,
-                             failed_after: str | None = None,
-                             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                             failed_after: str | None = None, **join_limits) -> DataFrame:
     """Every success of a (user, address) later than the last of its failures.
 
-    The history keeps only pairs that really have such a success, so the
-    success rows meet a short, unique lookup. The heavy-pair list reads the
-    same history, which lets Spark reuse its shuffle.
+    The history is computed once and keeps only pairs that really have such a
+    success, so the success rows usually meet a lookup short enough to
+    broadcast and are not shuffled at all.
     """
     keys = ["user_id", "source_ip"]
-    suspects = pair_history(wh.events, failed_after).filter(
-        (F.col("failure_count") >= threshold)
-        & (F.col("success_count") > 0)
-        & (F.col("last_success") > F.col("last_failure"))
+    suspects = computed_once(
+        pair_history(wh.events, failed_after).filter(
+            (F.col("failure_count") >= threshold)
+            & (F.col("last_success") > F.col("last_failure"))
+        )
     )
-    heavy = heaviest(suspects, keys, "success_count", rows_per_task)
-    matches = spread_join(
+    matches = lookup_join(
         _successes(wh.events),
         suspects.select(*keys, "failure_count", "last_failure"),
-        keys, heavy, row_id="event_id",
+        keys,
+        lambda: suspects.select(*keys, F.col("success_count").alias("weight")),
+        row_id="event_id",
+        **join_limits,
     )
     return _report(wh, matches, keep_unknown_hosts)
 
 
 def compromised_any_address(wh: Warehouse, threshold: int = 3, keep_unknown_hosts: bool = False,
-                            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                            **join_limits) -> DataFrame:
     """As above, but the success may come from any address of the user.
 
     A success counts once for each failing address it follows.
     """
-    suspects = (
+    suspects = computed_once(
         wh.events.filter(~F.col("success"))
         .groupBy("user_id", F.col("source_ip").alias("failing_ip"))
         .agg(
@@ -69,12 +72,16 @@ def compromised_any_address(wh: Warehouse, threshold: int = 3, keep_unknown_host
             F.max("event_timestamp").alias("last_failure"),
         )
         .filter(F.col("failure_count") >= threshold)
-        .select("user_id", "failure_count", "last_failure")
     )
     successes = _successes(wh.events)
-    weights = successes.groupBy("user_id").agg(F.count("*").alias("successes"))
-    heavy = heaviest(weights, ["user_id"], "successes", rows_per_task)
-    matches = spread_join(successes, suspects, ["user_id"], heavy, row_id="event_id")
+    matches = lookup_join(
+        successes,
+        suspects.select("user_id", "failure_count", "last_failure"),
+        ["user_id"],
+        lambda: successes.groupBy("user_id").agg(F.count("*").alias("weight")),
+        row_id="event_id",
+        **join_limits,
+    )
     return _report(wh, matches, keep_unknown_hosts)
 
 

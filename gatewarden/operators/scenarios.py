@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.clock import day_of_week
-from gatewarden.functions.skew import ROWS_PER_TASK, heaviest, spread_join
 from gatewarden.functions.shared import computed_once
+from gatewarden.functions.skew import lookup_join
 from gatewarden.operators import FLOOR
 from gatewarden.sources.warehouse import Warehouse
 
@@ -48,24 +48,29 @@ def pair_rollup(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
 
 def scenario_classification(wh: Warehouse, since: str | None = FLOOR, spray_users: int = 5,
                             brute_failures: int = 3, service_account: int = SERVICE_ACCOUNT_ID,
-                            rollup: DataFrame | None = None,
-                            rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                            rollup: DataFrame | None = None, **join_limits) -> DataFrame:
     """Events per scenario → scenario, event_count, failed_count, success_count.
 
     Whether an address sprays is only known once all its users are counted. A
     pair therefore votes with the class it has otherwise, votes are summed per
     address, and a spraying address takes all its votes. Only the user test
-    needs a join, and that one is spread over heavy users.
+    needs a join.
     """
     if rollup is None:
         rollup = computed_once(pair_rollup(wh, since))
-    per_user = rollup.groupBy("user_id").agg(
-        F.max(F.col("ever_failed") >= brute_failures).alias("brute_forced"),
-        F.count("*").alias("addresses"),
+    forced = (
+        rollup.filter(F.col("ever_failed") >= brute_failures)
+        .select("user_id", F.lit(True).alias("brute_forced"))
+        .distinct()
     )
-    heavy = heaviest(per_user, ["user_id"], "addresses", rows_per_task)
-    flagged = spread_join(
-        rollup, per_user.select("user_id", "brute_forced"), ["user_id"], heavy, "source_ip"
+    flagged = lookup_join(
+        rollup,
+        forced,
+        ["user_id"],
+        lambda: rollup.groupBy("user_id").agg(F.count("*").alias("weight")),
+        row_id="source_ip",
+        how="left",
+        **join_limits,
     )
     settled = F.when(F.col("brute_forced") & F.col("is_external"), BRUTE_FORCE).when(
         F.col("user_id") == service_account, SERVICE_ACCOUNT

@@ -116,7 +116,7 @@ def _down(number: Column) -> Column:
 def dashboard_document(wh: Warehouse, generated_at: str, since: str | None = FLOOR,
                        temporal: bool = False, rollup: DataFrame | None = None) -> DataFrame:
     """→ section_no, place, rank, line; the lines in that order are the JSON document."""
-    records = dashboard_records(wh, since, temporal, rollup)
+    records = computed_once(dashboard_records(wh, since, temporal, rollup))
     first = records.groupBy("section_no").agg(F.min("rank").alias("first_rank"))
     comma = F.when(F.col("rank") == F.col("first_rank"), "").otherwise(",")
     body = records.join(F.broadcast(first), "section_no").select(  # one row per section

@@ -65,7 +65,7 @@ def trial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.col("event_type").alias("kind"),
         F.col("ts").alias("event_timestamp"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", r'"k": ?([0-9]+)', 1).try_cast("int").alias("k"),
     ).select(
         "event_id",
         "user_id",

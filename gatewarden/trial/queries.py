@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,7 +93,9 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    opened = lru_cache(maxsize=4)(trial_warehouse)
+
     def bound(job):
-        return lambda spark, sf_dir: job(trial_warehouse(spark, sf_dir))
+        return lambda spark, sf_dir: job(opened(spark, sf_dir))
 
     return {name: bound(job) for name, job in JOBS.items()}
