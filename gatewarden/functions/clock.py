@@ -107,9 +107,9 @@ class Calendar:
         """All derived columns of hour rows holding ``full_timestamp``."""
         at = F.col("full_timestamp")
         placed = hours.withColumns({"day_of_week": day_of_week(at), "hour": F.hour(at)})
-        first_hour = naive(self.first_day)
+        days = F.unix_date(F.to_date(at)) - F.unix_date(F.lit(self.first_day))
         return self.with_flags(placed).select(
-            (F.timestamp_diff("HOUR", first_hour, at) + 1).cast("int").alias("time_id"),
+            (days * 24 + F.hour(at) + 1).alias("time_id"),
             at,
             F.to_date(at).alias("date"),
             F.year(at).alias("year"),
@@ -129,6 +129,12 @@ class Calendar:
         )
 
 
+def epoch_second(timestamp: Column) -> Column:
+    """Whole seconds since 1970 of a zone-free time."""
+    clock = F.hour(timestamp) * 3600 + F.minute(timestamp) * 60 + F.second(timestamp)
+    return F.unix_date(F.to_date(timestamp)).cast("bigint") * 86400 + clock
+
+
 def hour_of(timestamp: Column) -> Column:
     """Start of the hour, still zone-free (``date_trunc`` would add a zone)."""
     return F.make_timestamp_ntz(
