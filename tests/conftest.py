@@ -13,13 +13,19 @@ from tests.sample_star import star  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared_dir(tmp_path_factory):
+    return tmp_path_factory.mktemp("shared")
+
+
+@pytest.fixture(scope="session")
+def spark(shared_dir):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", str(shared_dir))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
