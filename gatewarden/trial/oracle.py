@@ -618,6 +618,239 @@ FROM facts LEFT JOIN hours ON full_timestamp = hour_start
     "constraint_violations": _VIOLATIONS,
 }
 
+_SECONDS = """
+failed_seconds AS (
+  SELECT user_id, source_ip, date_trunc('second', event_timestamp) AS s, count(*) AS n
+  FROM recent WHERE NOT success GROUP BY ALL
+),
+rolled AS (
+  SELECT *, sum(n) OVER (PARTITION BY user_id, source_ip ORDER BY s
+                         RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW) AS c
+  FROM failed_seconds
+)"""
+
+_SESSIONS = """
+steps AS (
+  SELECT user_id, dest_host_id, date_trunc('second', event_timestamp) AS s,
+         bool_or(event_type = 'login') AS opened, bool_or(event_type = 'logout') AS closed
+  FROM recent
+  WHERE success AND dest_host_id IS NOT NULL AND event_type IN ('login', 'logout')
+  GROUP BY ALL
+),
+paired AS (
+  SELECT *, lead(s) OVER w AS next_s, lead(closed) OVER w AS next_closed FROM steps
+  WINDOW w AS (PARTITION BY user_id, dest_host_id ORDER BY s)
+)"""
+
+_PROFILE = """
+profile AS (
+  SELECT user_id, username, department, is_privileged, count(*) AS total,
+         count(*) FILTER (success) AS succeeded, count(*) FILTER (NOT success) AS failed,
+         count(DISTINCT source_ip) AS ips, count(DISTINCT host_id) AS hosts_reached
+  FROM recent e JOIN users USING (user_id) LEFT JOIN hosts ON host_id = e.dest_host_id
+  GROUP BY ALL
+)"""
+
+_PEAKS = """
+peaks AS (
+  SELECT user_id,
+         (SELECT max(n) FROM (SELECT count(*) AS n FROM recent r WHERE r.user_id = u.user_id
+                              GROUP BY CAST(event_timestamp AS DATE))) AS busiest_day,
+         (SELECT max(n) FROM (SELECT count(DISTINCT source_ip) AS n FROM recent r
+                              WHERE r.user_id = u.user_id GROUP BY hour_start)) AS hour_ips
+  FROM (SELECT DISTINCT user_id FROM recent) u
+),
+found AS (
+  SELECT username, list_filter([
+      if(failed > succeeded AND failed >= 5, 'under_attack', NULL),
+      if(hour_ips >= 5, 'many_addresses', NULL),
+      if(hosts_reached > 10 AND department NOT LIKE 'IT %', 'wide_access', NULL),
+      if(is_privileged AND failed >= 3, 'privileged_failures', NULL),
+      if(total = 1, 'single_use', NULL),
+      if(busiest_day > 100, 'busy_day', NULL),
+      if(ips = 1 AND hosts_reached = 1, 'predictable', NULL)
+    ], lambda f: f IS NOT NULL) AS f
+  FROM profile JOIN peaks USING (user_id)
+)"""
+
+_DAILY = """
+daily AS (
+  SELECT user_id, CAST(event_timestamp AS DATE) AS date, count(*) AS events
+  FROM recent GROUP BY ALL
+),
+busy_hours AS (
+  SELECT user_id, CAST(hour_start AS DATE) AS date, max(n) AS peak_hour_events
+  FROM (SELECT user_id, hour_start, count(*) AS n FROM recent GROUP BY ALL) GROUP BY ALL
+),
+with_mean AS (
+  SELECT *, avg(events) OVER (PARTITION BY user_id ORDER BY date
+      RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING) AS baseline
+  FROM daily
+)"""
+
+_DAILY_FAILURES = """
+failures_by_day AS (
+  SELECT CAST(event_timestamp AS DATE) AS date, count(*) AS failed_attempts
+  FROM recent WHERE NOT success GROUP BY ALL
+)"""
+
+ORACLE |= {
+    "sprayed_accounts": _sql("""
+SELECT source_ip, username, count(*) AS failed_attempts, min(event_timestamp) AS first_attempt,
+       max(event_timestamp) AS last_attempt
+FROM recent JOIN users USING (user_id) WHERE NOT success GROUP BY source_ip, username
+"""),
+    "rolling_brute_force": _sql("""
+SELECT username, department, is_privileged, source_ip, CAST(max(c) AS BIGINT) AS peak_failures,
+       min(s) AS first_alert, max(s) AS last_alert
+FROM rolled JOIN users USING (user_id) WHERE c >= 2
+GROUP BY username, department, is_privileged, source_ip
+""", _SECONDS),
+    "spray_urgency": _sql("""
+SELECT *, CASE WHEN users_1h >= 3 THEN 'urgent' WHEN users_24h >= 3 THEN 'high'
+               ELSE 'monitor' END AS urgency
+FROM (
+  SELECT source_ip, max(n) FILTER (period = '1h') AS users_1h,
+         max(n) FILTER (period = '24h') AS users_24h, max(n) FILTER (period = '7d') AS users_7d
+  FROM spans GROUP BY source_ip)
+WHERE greatest(users_1h, users_24h, users_7d) >= 3
+""", """
+hits AS (SELECT source_ip, user_id, hour_start FROM recent WHERE NOT success),
+spans AS (
+  SELECT '1h' AS period, source_ip, hour_start AS span, count(DISTINCT user_id) AS n
+  FROM hits GROUP BY ALL
+  UNION ALL
+  SELECT '24h', source_ip, hour_start + to_hours(o), count(DISTINCT user_id)
+  FROM hits, range(24) AS offsets(o) GROUP BY ALL
+  UNION ALL
+  SELECT '7d', source_ip, date_trunc('week', hour_start), count(DISTINCT user_id)
+  FROM hits GROUP BY ALL
+)"""),
+    "brute_force_by_privilege": _sql("""
+SELECT username, department, is_privileged, count(*) AS failed_attempts, source_ip,
+       min(event_timestamp) AS first_attempt, max(event_timestamp) AS last_attempt
+FROM recent JOIN users USING (user_id) WHERE NOT success
+GROUP BY ALL HAVING count(*) >= if(is_privileged, 2, 5)
+"""),
+    "distributed_brute_force": _sql("""
+SELECT username, hour_start, count(*) AS failed_attempts,
+       count(DISTINCT source_ip) AS unique_ips
+FROM recent JOIN users USING (user_id) WHERE NOT success
+GROUP BY username, hour_start HAVING count(*) >= 2 AND count(DISTINCT source_ip) >= 2
+"""),
+    "logins_after_recent_failures": _sql("""
+SELECT username, s.source_ip, s.event_timestamp AS successful_login_time,
+       count(*) AS recent_failures
+FROM recent s JOIN recent f ON f.user_id = s.user_id AND NOT f.success
+ AND date_diff('second', date_trunc('second', f.event_timestamp),
+               date_trunc('second', s.event_timestamp)) BETWEEN 1 AND 86400
+JOIN users u ON u.user_id = s.user_id
+WHERE s.success
+GROUP BY s.event_id, username, s.source_ip, s.event_timestamp HAVING count(*) >= 3
+"""),
+    "spray_outcomes": _sql("""
+SELECT source_ip, count(DISTINCT user_id) FILTER (NOT success) AS users_targeted,
+       count(*) FILTER (success) AS successful_logins,
+       count(DISTINCT user_id) FILTER (success) AS users_reached
+FROM recent GROUP BY source_ip
+HAVING count(DISTINCT user_id) FILTER (NOT success) >= 5 AND bool_or(success)
+"""),
+    "critical_asset_outcomes": _sql("""
+SELECT hostname, asset_criticality, username, source_ip,
+       count(*) FILTER (NOT success) AS failed_attempts,
+       count(*) FILTER (success) AS successful_logins
+FROM recent e JOIN users USING (user_id) JOIN hosts h ON h.host_id = e.dest_host_id
+WHERE asset_criticality IN ('HIGH', 'CRITICAL')
+GROUP BY ALL HAVING bool_or(success) AND bool_or(NOT success)
+"""),
+    "external_threat_levels": _sql("""
+SELECT *, CASE
+    WHEN successful_logins > 0 AND (failed_attempts >= 3 OR unique_users_targeted >= 5)
+      THEN 'CRITICAL'
+    WHEN (unique_users_targeted >= 5 AND failed_attempts >= 5) OR total_attempts > 100
+      THEN 'HIGH'
+    WHEN (unique_users_targeted >= 2 AND failed_attempts >= 3) OR total_attempts >= 10
+      THEN 'MEDIUM'
+    WHEN unique_users_targeted = 1 OR first_seen = last_seen THEN 'LOW'
+    ELSE 'UNRATED' END AS threat_level
+FROM (
+  SELECT source_ip, count(*) AS total_attempts,
+         count(*) FILTER (NOT success) AS failed_attempts,
+         count(*) FILTER (success) AS successful_logins,
+         count(DISTINCT user_id) AS unique_users_targeted,
+         count(DISTINCT host_id) AS unique_hosts_targeted,
+         min(event_timestamp) AS first_seen, max(event_timestamp) AS last_seen
+  FROM recent e JOIN users USING (user_id) LEFT JOIN hosts h ON h.host_id = e.dest_host_id
+  WHERE is_external GROUP BY source_ip)
+"""),
+    "account_anomalies": _sql("""
+SELECT username, array_to_string(f, ', ') AS flags,
+       CASE WHEN f[1] IN ('under_attack', 'many_addresses', 'wide_access') THEN 'CRITICAL'
+            WHEN f[1] = 'predictable' THEN 'INFORMATIONAL' ELSE 'MODERATE' END AS level
+FROM found WHERE len(f) > 0
+""", _PROFILE, _PEAKS),
+    "session_durations": _sql("""
+SELECT username, hostname, s AS session_start, date_diff('second', s, next_s) AS duration_seconds
+FROM paired JOIN users USING (user_id) JOIN hosts ON host_id = dest_host_id
+WHERE opened AND next_closed AND date_diff('second', s, next_s) <= 86400
+""", _SESSIONS),
+    "concurrent_addresses": _sql("""
+SELECT username, hour_start, count(DISTINCT source_ip) AS unique_ips
+FROM recent JOIN users USING (user_id) GROUP BY username, hour_start
+HAVING count(DISTINCT source_ip) > 1
+"""),
+    # the trial tables hold no address in the other private networks
+    "external_ip_summary_private_ranges": _external("recent", "LEFT"),
+    "activity_spikes": _sql("""
+SELECT username, date, events, peak_hour_events, baseline
+FROM with_mean JOIN busy_hours USING (user_id, date) JOIN users USING (user_id)
+WHERE events > 2 * baseline
+""", _DAILY),
+    "peer_comparison": _sql("""
+SELECT username, department, hosts_reached AS unique_hosts_accessed,
+       avg(hosts_reached) OVER (PARTITION BY department) AS department_mean
+FROM profile
+""", _PROFILE),
+    "dormant_accounts": _sql("""
+SELECT username, department, is_privileged, max(event_timestamp) AS last_activity
+FROM users LEFT JOIN facts USING (user_id) GROUP BY user_id, username, department, is_privileged
+HAVING coalesce(max(event_timestamp) <= TIMESTAMP '2024-01-29', true)
+"""),
+    "shift_activity": _sql("""
+SELECT CASE WHEN hour(event_timestamp) < 6 OR hour(event_timestamp) > 21 THEN 'NIGHT_SHIFT'
+            WHEN hour(event_timestamp) < 14 THEN 'DAY_SHIFT' ELSE 'EVENING_SHIFT' END AS shift,
+       CAST(event_timestamp AS DATE) = DATE '2024-01-15' AS is_holiday,
+       count(*) AS event_count, count(*) FILTER (NOT success) AS failed_attempts
+FROM recent GROUP BY ALL
+"""),
+    "week_over_week": _sql("""
+SELECT t.date, t.failed_attempts, w.failed_attempts AS week_before,
+       t.failed_attempts - w.failed_attempts AS change
+FROM failures_by_day t LEFT JOIN failures_by_day w ON w.date = t.date - 7
+""", _DAILY_FAILURES),
+    "quarterly_trend": _sql("""
+SELECT CAST(year(event_timestamp) AS INTEGER) AS year,
+       CAST(quarter(event_timestamp) AS INTEGER) AS quarter,
+       count(*) AS event_count, count(*) FILTER (NOT success) AS failed_attempts
+FROM facts GROUP BY ALL
+"""),
+    "external_daily_activity": _sql("""
+SELECT source_ip, CAST(event_timestamp AS DATE) AS date, count(*) AS total_attempts,
+       count(*) FILTER (NOT success) AS failed_attempts,
+       count(*) FILTER (success) AS successful_logins
+FROM recent WHERE is_external GROUP BY ALL
+"""),
+    "lateral_movement": _sql("""
+SELECT username, department, count(DISTINCT host_id) AS hosts_reached,
+       CAST(count(DISTINCT asset_criticality) AS INTEGER) AS criticality_levels,
+       string_agg(DISTINCT asset_criticality, ', ' ORDER BY asset_criticality) AS criticalities
+FROM recent e JOIN users USING (user_id) JOIN hosts h ON h.host_id = e.dest_host_id
+WHERE success AND department <> 'MACHINERY'
+GROUP BY username, department
+HAVING count(DISTINCT host_id) > 9 OR count(DISTINCT asset_criticality) >= 5
+"""),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewarden.operators import accounts, assets, brute_force, compromise, external
-from gatewarden.operators import scenarios, temporal
+from gatewarden.operators import risk_profiles, rolling_attacks, scenarios, temporal
 from gatewarden.plans import dashboard, executive, hunts
 from gatewarden.sources import quality
 from gatewarden.sources.trial_tables import trial_warehouse
@@ -84,6 +85,39 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
         hunts.hunt_privileged_activity, as_of=AS_OF, username="Customer#000000008", hours=240
     ),
     "hunt_critical_assets": partial(hunts.hunt_critical_assets, as_of=AS_OF, days=7),
+    "sprayed_accounts": partial(risk_profiles.sprayed_accounts, since=FLOOR),
+    "rolling_brute_force": partial(
+        rolling_attacks.rolling_brute_force, seconds=86400, threshold=2, since=FLOOR
+    ),
+    "spray_urgency": partial(rolling_attacks.spray_urgency, threshold=3, since=FLOOR),
+    "brute_force_by_privilege": partial(rolling_attacks.brute_force_by_privilege, since=FLOOR),
+    "distributed_brute_force": partial(
+        rolling_attacks.distributed_brute_force, threshold=2, since=FLOOR
+    ),
+    "logins_after_recent_failures": partial(
+        rolling_attacks.logins_after_recent_failures, seconds=86400, since=FLOOR
+    ),
+    "spray_outcomes": partial(risk_profiles.spray_outcomes, since=FLOOR),
+    "critical_asset_outcomes": partial(risk_profiles.critical_asset_outcomes, since=FLOOR),
+    "external_threat_levels": partial(risk_profiles.external_threat_levels, since=FLOOR),
+    "account_anomalies": partial(risk_profiles.account_anomalies, since=FLOOR),
+    "session_durations": partial(rolling_attacks.session_durations, since=FLOOR),
+    "concurrent_addresses": partial(rolling_attacks.concurrent_addresses, since=FLOOR),
+    "external_ip_summary_private_ranges": partial(
+        risk_profiles.external_ip_summary_private_ranges, since=FLOOR
+    ),
+    "activity_spikes": partial(risk_profiles.activity_spikes, since=FLOOR),
+    "peer_comparison": partial(risk_profiles.peer_comparison, since=FLOOR),
+    "dormant_accounts": partial(risk_profiles.dormant_accounts, as_of=AS_OF, days=2),
+    "shift_activity": partial(
+        risk_profiles.shift_activity, holidays=(date(2024, 1, 15),), since=FLOOR
+    ),
+    "week_over_week": partial(risk_profiles.week_over_week, since=FLOOR),
+    "quarterly_trend": risk_profiles.quarterly_trend,
+    "external_daily_activity": partial(risk_profiles.external_daily_activity, since=FLOOR),
+    "lateral_movement": partial(
+        risk_profiles.lateral_movement, hosts=9, levels=5, expected=("MACHINERY",), since=FLOOR
+    ),
     "calendar": temporal.calendar_of,
     "calendar_span": lambda wh: temporal.calendar_span(temporal.calendar_of(wh)),
     "calendar_day": lambda wh: temporal.calendar_day(temporal.calendar_of(wh), "2024-01-20"),
