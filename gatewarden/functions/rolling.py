@@ -1,10 +1,14 @@
-"""Trailing and following windows with bounded partitions.
+"""Trailing sums and next events with bounded partitions and linear work.
 
 A window over one user's whole history would put a hot user into one task.
-Here time is cut into spans as long as the window; every cell also goes to the
-neighbouring span that needs it as context. Cells are whole seconds, so one
+Here time is cut into spans as long as the window, and every cell also goes to
+the neighbouring span that needs it as context. Cells are whole seconds, so one
 partition holds at most two spans' worth of seconds, however many events the
 key has.
+
+A trailing sum is kept as a running sum of changes: a cell adds its amount when
+it occurs and takes it back when it leaves the window. A sliding frame would
+add up every frame anew.
 """
 
 from __future__ import annotations
@@ -23,47 +27,57 @@ def second_cells(events: DataFrame, *keys: str | Column, **measures: Column) ->
     )
 
 
-def trailing(cells: DataFrame, keys: list[str], seconds: int, sums: dict[str, str],
+def trailing(cells: DataFrame, keys: list[str], seconds: int, measure: str, name: str,
              inclusive: bool = True) -> DataFrame:
-    """Add sums over the last ``seconds`` (up to the cell, or strictly before it)."""
-    window = _partition(keys).orderBy("second").rangeBetween(-seconds, 0 if inclusive else -1)
-    return _own(
-        _spread(cells, seconds, 1).withColumns(
-            {name: F.sum(measure).over(window) for name, measure in sums.items()}
+    """Add ``name``: the sum of ``measure`` over the last ``seconds``, up to the cell
+    or, if not ``inclusive``, strictly before its second."""
+    delay = 0 if inclusive else 1
+    home, second, amount = F.floor(F.col("second") / seconds), F.col("second"), F.col(measure)
+
+    def change(span: Column, time: Column, delta: Column, own: bool) -> Column:
+        return F.struct(
+            span.alias("_span"), time.alias("_time"),
+            delta.cast("bigint").alias("_delta"), F.lit(own).alias("_own"),
         )
+
+    changes = [
+        change(home, second, amount if inclusive else F.lit(0), True),
+        change(home + 1, second + delay, amount, False),
+        change(home + 1, second + seconds + 1, -amount, False),
+    ]
+    if not inclusive:
+        changes.append(change(home, second + delay, amount, False))
+    window = (
+        Window.partitionBy(*keys, "_span")
+        .orderBy("_time")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        cells.select("*", F.inline(F.array(*changes)))
+        .withColumn(name, F.sum("_delta").over(window))
+        .filter("_own")
+        .drop("_span", "_time", "_delta", "_own")
     )
 
 
 def following(cells: DataFrame, keys: list[str], seconds: int, columns: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the next cell of the key, NULL when later than ``seconds``."""
-    window = _partition(keys).orderBy("second")
+    window = Window.partitionBy(*keys, "_span").orderBy("second")
     near = F.lead("second").over(window) - F.col("second") <= seconds
-    return _own(
-        _spread(cells, seconds, -1).withColumns(
+    return (
+        cells.withColumn("_home", F.floor(F.col("second") / seconds))
+        .withColumn("_span", F.explode(F.array(F.col("_home"), F.col("_home") - 1)))
+        .withColumns(
             {
                 f"next_{name}": F.when(near, F.lead(name).over(window))
                 for name in ("second", *columns)
             }
         )
+        .filter(F.col("_home") == F.col("_span"))
+        .drop("_home", "_span")
     )
 
 
-def _partition(keys: list[str]):
-    return Window.partitionBy(*keys, "_span")
-
-
-def _spread(cells: DataFrame, seconds: int, towards: int) -> DataFrame:
-    """Each cell in its own span and, as context, in the neighbour's."""
-    home = F.floor(F.col("second") / seconds)
-    return cells.withColumn("_home", home).withColumn(
-        "_span", F.explode(F.array(F.col("_home"), F.col("_home") + towards))
-    )
-
-
-def _own(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("_home") == F.col("_span")).drop("_home", "_span")
-
-
 def moment(second: Column) -> Column:
     """Zone-free timestamp of a whole second."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

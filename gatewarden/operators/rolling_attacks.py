@@ -36,7 +36,7 @@ def rolling_brute_force(wh: Warehouse, seconds: int = HOUR, threshold: int = 3,
     failures = wh.events_since(since).filter(~F.col("success"))
     alerts = trailing(
         second_cells(failures, *keys, failures=F.count("*")), keys, seconds,
-        {"recent": "failures"},
+        "failures", "recent",
     ).filter(F.col("recent") >= threshold)
     return (
         alerts.groupBy(*keys)
@@ -142,7 +142,7 @@ def logins_after_recent_failures(wh: Warehouse, seconds: int = HOUR, threshold:
         failures=F.count_if(~F.col("success")), successes=F.count_if("success"),
     )
     alerts = computed_once(
-        trailing(cells, ["user_id"], seconds, {"recent_failures": "failures"}, inclusive=False)
+        trailing(cells, ["user_id"], seconds, "failures", "recent_failures", inclusive=False)
         .filter((F.col("successes") > 0) & (F.col("recent_failures") >= threshold))
         .select("user_id", "second", "recent_failures", F.col("successes").alias("weight"))
     )

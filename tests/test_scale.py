@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gatewarden.functions import shared, skew
+from gatewarden.functions import rolling, shared, skew
 from gatewarden.operators import compromise, scenarios
 from gatewarden.sources.trial_tables import trial_warehouse
 from tests.sample_star import event, star
@@ -129,3 +129,42 @@ def test_only_local_sessions_fall_back_to_a_temporary_folder():
     assert shared.shared_folder(local) == shared.shared_folder(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared.shared_folder(Session("spark://host:7077"))
+
+
+def brute_trailing(rows, seconds, inclusive):
+    """Per (key, second): sum of the amounts of the trailing period."""
+    result = {}
+    for key, second, _ in rows:
+        last = second if inclusive else second - 1
+        result[key, second] = sum(
+            n for k, s, n in rows if k == key and second - seconds <= s <= last
+        )
+    return result
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+@pytest.mark.parametrize("seconds", [10, 37])
+def test_trailing_sums(spark, seconds, inclusive):
+    dice = random.Random(seconds)
+    times = {(dice.choice("ab"), dice.randint(0, 300)) for _ in range(150)}
+    rows = [(key, second, dice.randint(0, 3)) for key, second in times]
+    cells = spark.createDataFrame(rows, "k string, second bigint, n bigint")
+    found = rolling.trailing(cells, ["k"], seconds, "n", "recent", inclusive)
+    got = {
+        (r["k"], r["second"]): r["recent"] or 0 for r in found.collect()
+    }
+    assert got == brute_trailing(rows, seconds, inclusive)
+    assert found.columns == ["k", "second", "n", "recent"]
+
+
+def test_next_cell(spark):
+    dice = random.Random(3)
+    seconds = sorted({dice.randint(0, 400) for _ in range(60)})
+    cells = spark.createDataFrame([("a", s, s * 2) for s in seconds],
+                                  "k string, second bigint, n bigint")
+    found = rolling.following(cells, ["k"], 9, ["n"]).orderBy("second").collect()
+    for row, later in zip(found, [*seconds[1:], None]):
+        near = later is not None and later - row["second"] <= 9
+        assert row["next_second"] == (later if near else None)
+        assert row["next_n"] == (later * 2 if near else None)
+    assert [r["second"] for r in found] == seconds
