@@ -64,29 +64,37 @@ def hourly_attacks(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     )
 
 
-def _working_time_cells(wh: Warehouse, since: str | None) -> DataFrame:
-    """Events collapsed to (is_business_hours, user, address)."""
+def _working_time(wh: Warehouse, since: str | None, column: str, name: str) -> DataFrame:
+    """Per is_business_hours: events, successes, and the distinct values of a column.
+
+    Values are counted as rows of a group-by, so the two groups are only merged
+    from counts.
+    """
     placed = wh.calendar.place(wh.events_since(since))
     flag = wh.calendar.is_business_hours(F.col("day_of_week"), F.col("hour"))
-    return placed.groupBy(flag.alias("is_business_hours"), "user_id", "source_ip").agg(
-        F.count("*").alias("events"), F.count_if("success").alias("successes")
+    return (
+        placed.groupBy(flag.alias("is_business_hours"), column)
+        .agg(F.count("*").alias("events"), F.count_if("success").alias("successes"))
+        .groupBy("is_business_hours")
+        .agg(
+            F.sum("events").alias("total_attacks"),
+            F.sum("successes").alias("successful_attempts"),
+            F.count("*").alias(name),
+        )
     )
 
 
 def business_hours_comparison(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     """All events inside and outside business hours, with the success rate."""
+    targets = _working_time(wh, since, "user_id", "unique_targets")
     return (
-        _working_time_cells(wh, since)
-        .groupBy("is_business_hours")
-        .agg(
-            F.sum("events").alias("total_attacks"),
-            F.countDistinct("source_ip").alias("unique_attackers"),
-            F.countDistinct("user_id").alias("unique_targets"),
-            F.sum("successes").alias("successes"),
-        )
+        _working_time(wh, since, "source_ip", "unique_attackers")
+        .join(targets.select("is_business_hours", "unique_targets"), "is_business_hours")
         .select(
             "is_business_hours", "total_attacks", "unique_attackers", "unique_targets",
-            percent(F.col("successes"), F.col("total_attacks")).alias("success_rate_percent"),
+            percent(F.col("successful_attempts"), F.col("total_attacks")).alias(
+                "success_rate_percent"
+            ),
         )
         .orderBy(F.desc("is_business_hours"))
     )
@@ -96,12 +104,9 @@ def business_hours_dashboard(wh: Warehouse, since: str | None = FLOOR) -> DataFr
     """The same two rows under a label, with the number of successes."""
     period = F.when(F.col("is_business_hours"), "Business Hours").otherwise("Off-Hours")
     return (
-        _working_time_cells(wh, since)
-        .groupBy(period.alias("period"))
-        .agg(
-            F.sum("events").alias("total_attacks"),
-            F.countDistinct("source_ip").alias("unique_attackers"),
-            F.sum("successes").alias("successful_attempts"),
+        _working_time(wh, since, "source_ip", "unique_attackers")
+        .select(
+            period.alias("period"), "total_attacks", "unique_attackers", "successful_attempts"
         )
         .orderBy("period")
     )
