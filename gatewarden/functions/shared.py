@@ -22,10 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    kept = _local_folders.setdefault(
-        context.applicationId, tempfile.TemporaryDirectory(prefix="gatewarden-")
-    )
-    return kept.name
+    application = context.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.TemporaryDirectory(prefix="gatewarden-")
+    return _local_folders[application].name
 
 
 def computed_once(frame: DataFrame) -> DataFrame:
@@ -33,9 +33,11 @@ def computed_once(frame: DataFrame) -> DataFrame:
 
     Later parts then scan only the columns they need of a small columnar
     table, a lost executor costs no recomputation of the events, and Spark
-    plans with the table's true size.
+    plans with the table's true size. All tables of an application lie in one
+    subfolder, to be removed when it has ended.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/gatewarden-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark).rstrip('/')}/gatewarden/{application}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

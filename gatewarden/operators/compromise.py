@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
@@ -15,7 +15,7 @@ COLUMNS = (
 )
 
 
-def pair_history(events: DataFrame, failed_after: str | None = None) -> DataFrame:
+def pair_history(events: DataFrame, failed_after: str | Column | None = None) -> DataFrame:
     """Failures and successes per (user, address) in one pass.
 
     ``failed_after`` restricts the failures counted, not the successes.
@@ -23,7 +23,8 @@ def pair_history(events: DataFrame, failed_after: str | None = None) -> DataFram
     when, success = F.col("event_timestamp"), F.col("success")
     failed = ~success
     if failed_after is not None:
-        failed = failed & (when > F.lit(failed_after).cast("timestamp_ntz"))
+        start = failed_after if isinstance(failed_after, Column) else F.lit(failed_after)
+        failed = failed & (when > start.cast("timestamp_ntz"))
     return events.groupBy("user_id", "source_ip").agg(
         F.count_if(failed).alias("failure_count"),
         F.max(F.when(failed, when)).alias("last_failure"),
@@ -33,7 +34,8 @@ def pair_history(events: DataFrame, failed_after: str | None = None) -> DataFram
 
 
 def compromised_same_address(wh: Warehouse, threshold: int = 3, keep_unknown_hosts: bool = False,
-                             failed_after: str | None = None, **join_limits) -> DataFrame:
+                             failed_after: str | Column | None = None,
+                             **join_limits) -> DataFrame:
     """Every success of a (user, address) later than the last of its failures.
 
     The history is computed once and keeps only pairs that really have such a

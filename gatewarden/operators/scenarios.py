@@ -112,7 +112,8 @@ def scenario_classification(wh: Warehouse, since: str | None = FLOOR, spray_user
             F.array(
                 *[
                     F.struct(
-                        F.when(F.col("sprays"), PASSWORD_SPRAYING).otherwise(name).alias("scenario"),
+                        F.when(F.col("sprays"), PASSWORD_SPRAYING).otherwise(name)
+                        .alias("scenario"),
                         F.col(f"event_count_{i}").alias("event_count"),
                         F.col(f"failed_count_{i}").alias("failed_count"),
                     )

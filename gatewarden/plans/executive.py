@@ -12,20 +12,9 @@ from gatewarden.functions.shared import computed_once
 from gatewarden.functions.text import joined, joined_members, minute_stamp
 from gatewarden.operators import FLOOR
 from gatewarden.operators.scenarios import pair_rollup
+from gatewarden.plans import executive_texts as T
 from gatewarden.sources.warehouse import Warehouse
 
-# Category titles in report order, and severity marks.
-OVERALL = "📊 OVERALL METRICS"
-INCIDENTS = "🚨 CRITICAL INCIDENTS"
-TOP_THREATS = "🎯 TOP THREATS"
-TIMELINE = "📅 ATTACK TIMELINE"
-ACTORS = "👤 THREAT ACTORS"
-RECOMMENDATIONS = "✅ RECOMMENDATIONS"
-CATEGORIES = (OVERALL, INCIDENTS, TOP_THREATS, TIMELINE, ACTORS, RECOMMENDATIONS)
-
-RED, ORANGE, YELLOW, GREEN = "🔴", "🟠", "🟡", "🟢"
-OK, WARNING, LOCK, PIN, CHART = "✅", "⚠️", "🔐", "📍", "📊"
-
 # Thresholds of the report.
 FAILED_WARNING = 10
 EXTERNAL_RED = 3
@@ -52,7 +41,7 @@ def executive_dashboard(wh: Warehouse, since: str | None = FLOOR,
         _host_rows(wh, since),
         _peak_day_row(wh, since),
     ]
-    rank = F.array_position(F.array(*map(F.lit, CATEGORIES)), F.col("category"))
+    rank = F.array_position(F.array(*map(F.lit, T.CATEGORIES)), F.col("category"))
     return reduce(DataFrame.unionByName, parts).orderBy(rank, "category", "metric")
 
 
@@ -120,27 +109,27 @@ def _address_rows(rollup: DataFrame) -> DataFrame:
     worst = F.col("worst")
     return _lines(
         totals,
-        _line(OVERALL, "Total Security Events", _count(events, "event(s)"), "", ""),
-        _line(OVERALL, "Failed Login Attempts", _count(failures, "attempt(s)"),
+        _line(T.OVERALL, T.TOTAL_EVENTS, _count(events, T.EVENTS), "", ""),
+        _line(T.OVERALL, T.FAILED_LOGINS, _count(failures, T.ATTEMPTS),
               F.concat(percent(failures, events).cast("string"), F.lit("%")),
-              F.when(failures > FAILED_WARNING, WARNING).otherwise(OK)),
-        _line(OVERALL, "Successful Logins", _count(successes, "login(s)"),
-              F.concat(percent(successes, events).cast("string"), F.lit("%")), OK),
-        _line(OVERALL, "External Attack Sources", _count(F.col("external"), "source(s)"),
-              "Non-internal IPs",
-              F.when(F.col("external") > EXTERNAL_RED, RED).otherwise(YELLOW)),
-        _line(INCIDENTS, "Password Spraying Attacks Detected",
-              _count(F.col("sprays"), "attack(s)"), joined(F.col("spray_texts")), RED),
-        _line(TOP_THREATS, F.concat(F.lit("Most Dangerous IP: "), worst["source_ip"]),
+              F.when(failures > FAILED_WARNING, T.WARNING).otherwise(T.OK)),
+        _line(T.OVERALL, T.SUCCESSFUL_LOGINS, _count(successes, T.LOGINS),
+              F.concat(percent(successes, events).cast("string"), F.lit("%")), T.OK),
+        _line(T.OVERALL, T.EXTERNAL_SOURCES, _count(F.col("external"), T.SOURCES),
+              T.NOT_INTERNAL,
+              F.when(F.col("external") > EXTERNAL_RED, T.RED).otherwise(T.YELLOW)),
+        _line(T.INCIDENTS, T.SPRAYING_DETECTED,
+              _count(F.col("sprays"), T.ATTACKS), joined(F.col("spray_texts")), T.RED),
+        _line(T.TOP_THREATS, F.concat(F.lit(T.MOST_DANGEROUS_IP), worst["source_ip"]),
               F.concat(_count(worst["events"], "attack(s) ("),
                        _count(worst["successes"], "succeeded)")),
-              _count(worst["users"], "user(s) targeted"), RED),
-        _line(TIMELINE, "First Attack Recorded", minute_stamp(F.col("first_failure")),
-              "Monitoring since", PIN),
-        _line(TIMELINE, "Most Recent Attack", minute_stamp(F.col("last_failure")),
-              "Last failed login", PIN),
-        _line(RECOMMENDATIONS, "IPs to Block", _count(F.col("to_block"), "IP(s)"),
-              "External IPs with failed attacks", ORANGE),
+              _count(worst["users"], T.USERS_TARGETED), T.RED),
+        _line(T.TIMELINE, T.FIRST_ATTACK, minute_stamp(F.col("first_failure")),
+              T.MONITORING_SINCE, T.PIN),
+        _line(T.TIMELINE, T.LATEST_ATTACK, minute_stamp(F.col("last_failure")),
+              T.LAST_FAILED_LOGIN, T.PIN),
+        _line(T.RECOMMENDATIONS, T.IPS_TO_BLOCK, _count(F.col("to_block"), T.ADDRESSES),
+              T.FAILED_EXTERNAL, T.ORANGE),
     )
 
 
@@ -170,18 +159,18 @@ def _user_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
     target = F.col("target")
     return _lines(
         totals,
-        _line(OVERALL, "Privileged Accounts Active", _count(F.col("admins"), "account(s)"),
-              joined(F.col("admin_names")), LOCK),
-        _line(TOP_THREATS, F.concat(F.lit("Most Attacked User: "), target["username"]),
-              _count(target["failures"], "attack(s)"),
+        _line(T.OVERALL, T.PRIVILEGED_ACTIVE, _count(F.col("admins"), T.ACCOUNTS),
+              joined(F.col("admin_names")), T.LOCK),
+        _line(T.TOP_THREATS, F.concat(F.lit(T.MOST_ATTACKED_USER), target["username"]),
+              _count(target["failures"], T.ATTACKS),
               F.concat(target["department"],
-                       F.when(target["privileged"], " (PRIVILEGED)").otherwise("")),
-              F.when(target["privileged"], RED).otherwise(YELLOW)),
-        _line(RECOMMENDATIONS, "Immediate Actions Required",
-              _count(F.col("compromised"), "action(s)"),
-              "Compromised accounts needing password reset", RED),
-        _line(RECOMMENDATIONS, "Users Requiring Training", _count(F.col("to_train"), "user(s)"),
-              "Users with suspicious activity patterns", YELLOW),
+                       F.when(target["privileged"], T.PRIVILEGED_MARK).otherwise("")),
+              F.when(target["privileged"], T.RED).otherwise(T.YELLOW)),
+        _line(T.RECOMMENDATIONS, T.IMMEDIATE_ACTIONS,
+              _count(F.col("compromised"), T.ACTIONS),
+              T.RESET_PASSWORDS, T.RED),
+        _line(T.RECOMMENDATIONS, T.USERS_TO_TRAIN, _count(F.col("to_train"), T.USERS),
+              T.SUSPICIOUS_USERS, T.YELLOW),
     )
 
 
@@ -196,8 +185,8 @@ def _brute_force_row(wh: Warehouse, rollup: DataFrame) -> DataFrame:
     )
     return _lines(
         totals,
-        _line(INCIDENTS, "Successful Brute", _count(F.col("users"), "brute(s)"),
-              joined(F.col("entries"), "; "), RED),
+        _line(T.INCIDENTS, T.SUCCESSFUL_BRUTE, _count(F.col("users"), T.BRUTES),
+              joined(F.col("entries"), "; "), T.RED),
     )
 
 
@@ -217,14 +206,14 @@ def _actor_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
     )
     succeeded = F.col("successes") > 0
     verdict = (
-        F.when(succeeded & (F.col("failures") >= BRUTE_FAILURES), f"{RED} Successful Brute Force")
-        .when(F.col("users") >= SPRAY_USERS, f"{RED} Password Spraying")
-        .when(succeeded, f"{YELLOW} Successful External Login")
-        .otherwise(f"{GREEN} Blocked")
+        F.when(succeeded & (F.col("failures") >= BRUTE_FAILURES), T.ACTOR_BRUTE_FORCE)
+        .when(F.col("users") >= SPRAY_USERS, T.ACTOR_SPRAYING)
+        .when(succeeded, T.ACTOR_LOGIN)
+        .otherwise(T.ACTOR_BLOCKED)
     )
     return _lines(
         actors,
-        _line(ACTORS, F.col("source_ip"), _count(F.col("events"), "attempt(s)"),
+        _line(T.ACTORS, F.col("source_ip"), _count(F.col("events"), T.ATTEMPTS),
               F.col("names"), verdict),
     )
 
@@ -251,13 +240,14 @@ def _host_rows(wh: Warehouse, since: str | None) -> DataFrame:
     level = target["asset_criticality"]
     return _lines(
         totals,
-        _line(INCIDENTS, "Attacks on CRITICAL Assets",
-              _count(F.col("critical_failures"), "attack(s)"),
-              _count(F.col("critical_hosts"), "servers targeted"), RED),
-        _line(TOP_THREATS, F.concat(F.lit("Most Attacked Server: "), target["hostname"]),
-              _count(target["failures"], "attack(s)"),
-              F.concat(level, F.lit(" criticality")),
-              F.when(level == "CRITICAL", RED).when(level == "HIGH", ORANGE).otherwise(YELLOW)),
+        _line(T.INCIDENTS, T.CRITICAL_ATTACKS,
+              _count(F.col("critical_failures"), T.ATTACKS),
+              _count(F.col("critical_hosts"), T.SERVERS_TARGETED), T.RED),
+        _line(T.TOP_THREATS, F.concat(F.lit(T.MOST_ATTACKED_SERVER), target["hostname"]),
+              _count(target["failures"], T.ATTACKS),
+              F.concat(level, F.lit(T.CRITICALITY_MARK)),
+              F.when(level == "CRITICAL", T.RED).when(level == "HIGH", T.ORANGE)
+              .otherwise(T.YELLOW)),
     )
 
 
@@ -273,6 +263,6 @@ def _peak_day_row(wh: Warehouse, since: str | None) -> DataFrame:
     )
     return _lines(
         per_day,
-        _line(TIMELINE, "Peak Attack Day", F.col("day").cast("string"),
-              _count(F.col("failures"), "attack(s)"), CHART),
+        _line(T.TIMELINE, T.PEAK_DAY, F.col("day").cast("string"),
+              _count(F.col("failures"), T.ATTACKS), T.CHART),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame
 
 from gatewarden.operators.accounts import privileged_audit
@@ -11,7 +9,7 @@ from gatewarden.operators.assets import critical_asset_hunt
 from gatewarden.operators.brute_force import brute_force, password_spraying
 from gatewarden.operators.compromise import compromised_same_address
 from gatewarden.operators.external import external_threats
-from gatewarden.sources.warehouse import Warehouse
+from gatewarden.sources.warehouse import Warehouse, lookback_start
 
 
 def hunt_brute_force(wh: Warehouse, as_of: str | None = None, username: str | None = None,
@@ -27,9 +25,9 @@ def hunt_password_spraying(wh: Warehouse, as_of: str | None = None,
 
 def hunt_compromises(wh: Warehouse, as_of: str | None = None, days: int = 7) -> DataFrame:
     """The look-back limits the failures; the host of the success may be unknown."""
-    end = datetime.fromisoformat(as_of) if as_of else datetime.utcnow()
-    start = (end - timedelta(days=days)).isoformat(sep=" ")
-    return compromised_same_address(wh, keep_unknown_hosts=True, failed_after=start)
+    return compromised_same_address(
+        wh, keep_unknown_hosts=True, failed_after=lookback_start(as_of, days=days)
+    )
 
 
 def hunt_external_threats(wh: Warehouse, as_of: str | None = None, min_attempts: int = 1,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,15 +54,20 @@ class Warehouse:
         return kept
 
     def events_within(self, as_of: str | None, *, days: int = 0, hours: int = 0) -> DataFrame:
-        """Events later than ``as_of`` (default: now) minus the look-back; no upper bound."""
-        moment = F.current_timestamp() if as_of is None else F.lit(as_of)
-        start = moment.cast("timestamp_ntz") - F.make_dt_interval(F.lit(days), F.lit(hours))
+        """Events later than the start of the look-back; no upper bound."""
+        start = lookback_start(as_of, days=days, hours=hours)
         kept = self.events.filter(F.col("event_timestamp") > start)
         if "event_date" in self.events.columns:
             kept = kept.filter(F.col("event_date") >= F.to_date(start))
         return kept
 
 
+def lookback_start(as_of: str | None, *, days: int = 0, hours: int = 0) -> Column:
+    """``as_of`` (default: now) minus the look-back."""
+    moment = F.current_timestamp() if as_of is None else F.lit(as_of)
+    return moment.cast("timestamp_ntz") - F.make_dt_interval(F.lit(days), F.lit(hours))
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType,
                source: str = "parquet") -> DataFrame:
     """Scan with the declared schema (parquet, orc, json or csv with header)."""

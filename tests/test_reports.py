@@ -3,7 +3,7 @@
 import json
 
 from gatewarden.operators import scenarios
-from gatewarden.plans import dashboard, executive
+from gatewarden.plans import dashboard, executive, executive_texts
 from tests.sample_star import event, star, tuples
 
 SPRAYED = "dbaker, jsmith, kwilson, lbrown, mjones, rjohnson, schen, tgarcia"
@@ -12,7 +12,7 @@ SCENARIOS = [
     ("Password Spraying", 8, 8, 0), ("Brute Force", 5, 4, 1),
 ]
 
-OVERALL, INCIDENTS, TOP, TIMELINE, ACTORS, ADVICE = executive.CATEGORIES
+OVERALL, INCIDENTS, TOP, TIMELINE, ACTORS, ADVICE = executive_texts.CATEGORIES
 EXECUTIVE = [
     (OVERALL, "External Attack Sources", "7 source(s)", "Non-internal IPs", "🔴"),
     (OVERALL, "Failed Login Attempts", "21 attempt(s)", "45.7%", "⚠️"),

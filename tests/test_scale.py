@@ -105,10 +105,11 @@ def test_calendar_range_reaches_the_scan(spark):
 
 
 def test_shared_results_use_the_named_folder(spark, shared_dir):
-    before = set(shared_dir.iterdir())
+    folder = shared_dir / "gatewarden" / spark.sparkContext.applicationId
+    before = set(folder.glob("*"))
     kept = shared.computed_once(spark.range(5).select(F.col("id").alias("n")))
     assert kept.count() == 5
-    assert len(set(shared_dir.iterdir()) - before) == 1
+    assert len(set(folder.glob("*")) - before) == 1
 
 
 class Session:
