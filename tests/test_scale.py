@@ -1,12 +1,13 @@
 """Plans and paths that only matter on large or skewed tables."""
 
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from gatewarden.functions import rolling, shared, skew
-from gatewarden.operators import compromise, scenarios
+from gatewarden.operators import accounts, assets, brute_force, compromise, external, scenarios
 from gatewarden.sources.trial_tables import trial_warehouse
 from tests.sample_star import event, star
 
@@ -169,3 +170,57 @@ def test_next_cell(spark):
         assert row["next_second"] == (later if near else None)
         assert row["next_n"] == (later * 2 if near else None)
     assert [r["second"] for r in found] == seconds
+
+
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+SMALL_PARTITIONS = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+}
+
+
+@contextmanager
+def settings(spark, values):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "job",
+    [
+        brute_force.brute_force, brute_force.password_spraying, accounts.privileged_audit,
+        accounts.account_activity, external.external_ip_summary, assets.critical_asset_attacks,
+    ],
+)
+def test_large_dimensions_give_the_same_rows(spark, skewed, job):
+    """Without any broadcast of a dimension, as with dimensions too large for one."""
+    expected = job(skewed).collect()
+    with settings(spark, NO_BROADCAST):
+        assert "SortMergeJoin" in plan_of(job(skewed))
+        assert job(skewed).collect() == expected
+
+
+def test_adaptive_execution_splits_a_hot_user(spark):
+    """Raw rows joined to a large dimension: the hot partition is read by several tasks."""
+    rows = [
+        event(n, 9 if n % 3 else 10 + n % 2, 1, f"10.0.{n % 7}.{n % 200}", "S",
+              f"2025-01-{1 + n % 28:02d} 10:{n % 60:02d}:00")
+        for n in range(4000)
+    ]
+    wh = star(spark, events=rows)
+    wh = wh.with_events(wh.events.repartition(8))
+    with settings(spark, NO_BROADCAST | SMALL_PARTITIONS):
+        audit = accounts.privileged_audit(wh)
+        assert audit.count() == 4000
+        audit.collect()
+        assert "skew=true" in plan_of(audit)
