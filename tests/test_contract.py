@@ -32,3 +32,19 @@ def test_query_equals_sql(spark, connection, name):
     ours = contract.queries()[name](spark, SF_DIR).toPandas()
     theirs = connection.execute(contract.oracle_sql()[name]).df()
     assert compare(ours, theirs) is None
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["attacks_by_hour", "calendar", "executive_dashboard", "high_risk_period_attacks",
+     "hunt_compromises", "hunt_privileged_activity", "rolling_brute_force", "session_durations",
+     "shift_activity", "week_over_week", "privileged_off_hours_detail"],
+)
+def test_results_do_not_depend_on_the_session_zone(spark, connection, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ours = contract.queries()[name](spark, SF_DIR).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    theirs = connection.execute(contract.oracle_sql()[name]).df()
+    assert compare(ours, theirs) is None
