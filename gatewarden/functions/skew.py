@@ -31,7 +31,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str],
     ``weights`` gives, per key, the number of ``rows`` in a column ``weight``; it
     is only called for a long lookup. ``row_id`` varies within a key.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if lookup.count() <= broadcast_rows:
         return rows.join(F.broadcast(lookup), keys, how)
     return spread_join(rows, lookup, keys, heaviest(weights(), keys, rows_per_task), row_id, how)
 
