@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gatewarden.llm.packing import op8_best_fit_packing
 from gatewarden.llm.quality_rules import op9_quality_rules
 from gatewarden.llm.secret_scan import op3_secret_scan
+from gatewarden.llm.warc_archive import op7_warc_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,8 @@ def over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op3_secret_scan": over(op3_secret_scan, "documents"),
+        "op7_warc_archive": over(op7_warc_archive, "pages"),
+        "op8_best_fit_packing": over(op8_best_fit_packing, "documents"),
         "op9_quality_rules": over(op9_quality_rules, "documents", "labels"),
     }
 
