@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gatewarden.llm.embedding_dedup import op6_embedding_dedup
 from gatewarden.llm.language_id import op4_language_id
 from gatewarden.llm.packing import op8_best_fit_packing
 from gatewarden.llm.quality_rules import op9_quality_rules
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_secret_scan": over(op3_secret_scan, "documents"),
         "op4_language_id": over(op4_language_id, "documents"),
+        "op6_embedding_dedup": over(op6_embedding_dedup, "embeddings"),
         "op7_warc_archive": over(op7_warc_archive, "pages"),
         "op8_best_fit_packing": over(op8_best_fit_packing, "documents"),
         "op9_quality_rules": over(op9_quality_rules, "documents", "labels"),
