@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewarden.llm.embedding_dedup import op6_embedding_dedup
+from gatewarden.llm.html_wrapper import op10_html_wrapper
 from gatewarden.llm.language_id import op4_language_id
+from gatewarden.llm.minhash_dedup import op1_prob_minhash
 from gatewarden.llm.packing import op8_best_fit_packing
 from gatewarden.llm.quality_rules import op9_quality_rules
 from gatewarden.llm.secret_scan import op3_secret_scan
@@ -26,12 +28,14 @@ def over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_prob_minhash": over(op1_prob_minhash, "documents"),
         "op3_secret_scan": over(op3_secret_scan, "documents"),
         "op4_language_id": over(op4_language_id, "documents"),
         "op6_embedding_dedup": over(op6_embedding_dedup, "embeddings"),
         "op7_warc_archive": over(op7_warc_archive, "pages"),
         "op8_best_fit_packing": over(op8_best_fit_packing, "documents"),
         "op9_quality_rules": over(op9_quality_rules, "documents", "labels"),
+        "op10_html_wrapper": over(op10_html_wrapper, "pages"),
     }
 
 
