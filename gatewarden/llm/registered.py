@@ -11,8 +11,10 @@ from gatewarden.llm.html_wrapper import op10_html_wrapper
 from gatewarden.llm.language_id import op4_language_id
 from gatewarden.llm.minhash_dedup import op1_prob_minhash
 from gatewarden.llm.packing import op8_best_fit_packing
+from gatewarden.llm.quality_classifier import op2_quality_classifier
 from gatewarden.llm.quality_rules import op9_quality_rules
 from gatewarden.llm.secret_scan import op3_secret_scan
+from gatewarden.llm.sentencepiece_scan import op5_sentencepiece
 from gatewarden.llm.warc_archive import op7_warc_archive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +31,10 @@ def over(operator: Callable[..., DataFrame], *tables: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_prob_minhash": over(op1_prob_minhash, "documents"),
+        "op2_quality_classifier": over(op2_quality_classifier, "documents", "labels"),
         "op3_secret_scan": over(op3_secret_scan, "documents"),
         "op4_language_id": over(op4_language_id, "documents"),
+        "op5_sentencepiece": over(op5_sentencepiece, "documents"),
         "op6_embedding_dedup": over(op6_embedding_dedup, "embeddings"),
         "op7_warc_archive": over(op7_warc_archive, "pages"),
         "op8_best_fit_packing": over(op8_best_fit_packing, "documents"),
