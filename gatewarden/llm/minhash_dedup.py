@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gatewarden.functions.shared import computed_once
 from gatewarden.llm.components import connected
 from gatewarden.llm.prob_minhash import band_keys, probability_jaccard, signatures, weighted_shingles
-from gatewarden.llm.text_batches import slices
+from gatewarden.llm.text_batches import slices, unused_names
 
 THRESHOLD = 0.8
 BANDS = 25
@@ -176,16 +176,16 @@ def op1_prob_minhash(docs: DataFrame) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each class, columns unchanged."""
+    id_, digest, own_digest = unused_names(docs.columns, "kept_id", "kept_digest", "own_digest")
     kept = near_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")
+        F.col("doc_id").alias(id_), F.col("digest").alias(digest)
     )
-    own = docs.withColumn("_digest", text_digest())
-    one_word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    chosen = own.where(one_word).join(
-        kept.distinct(), own["doc_id"].eqNullSafe(F.col("_kept_id")) & (own["_digest"] == F.col("_kept_digest"))
+    own = docs.withColumn(own_digest, text_digest())
+    some_word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = own.where(some_word).join(
+        kept.distinct(), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own_digest) == F.col(digest))
     )
     # Repeated rows agree on id and text; one of them is enough.
     return (
-        chosen.dropDuplicates(["_kept_id", "_kept_digest"]).select(*docs.columns)
-        .unionByName(docs.where(~one_word))
+        chosen.dropDuplicates([id_, digest]).select(*docs.columns).unionByName(docs.where(~some_word))
     )

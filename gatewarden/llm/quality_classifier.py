@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
 from gatewarden.llm.quality_rules import text_counts
-from gatewarden.llm.text_batches import slices, words_of
+from gatewarden.llm.text_batches import slices, unused_names, words_of
 
 #: Labelled documents that the classifier is fitted on at most; chosen by hash of the id.
 SAMPLE_DOCUMENTS = 8_000
@@ -226,11 +226,12 @@ def op2_quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, columns unchanged."""
     site, path = site_of(F.col("source")), path_of(F.col("source"), F.col("lang"))
+    id_, key, site_, path_ = unused_names(docs.columns, "kept_id", "kept_key", "kept_site", "kept_path")
     kept = hierarchical_quality(docs, labels, site, path).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("site").alias("_site"), F.col("path").alias("_path")
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("site").alias(site_), F.col("path").alias(path_)
     )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-        & site.eqNullSafe(F.col("_site")) & path.eqNullSafe(F.col("_path"))
+        F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key))
+        & site.eqNullSafe(F.col(site_)) & path.eqNullSafe(F.col(path_))
     )
     return docs.join(kept, same, "left_semi")

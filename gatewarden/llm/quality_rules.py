@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
-from gatewarden.llm.text_batches import range_hashes, row_sums, slices, window_hashes, words_of
+from gatewarden.llm.text_batches import range_hashes, row_sums, slices, unused_names, window_hashes, words_of
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
           "n_upper", "n_digits", "n_chars_all")
@@ -307,7 +307,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that neither a fixed nor a learned rule rejects, columns unchanged."""
     counted = with_counts(docs.select("doc_id", "text")).select("doc_id", "counts")
     rules = rules_from_labels(computed_once(counted), labels)
-    own = "_counts"
+    (own,) = unused_names(docs.columns, "counts")
     judged = with_counts(docs, own)
     rejected = base_failed(F.col(own)) | rejecting_rule(rules, F.col(own)).isNotNull()
     return judged.where(~rejected).drop(own)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gatewarden.llm.embedding_dedup import op6_embedding_dedup
 from gatewarden.llm.html_wrapper import op10_html_wrapper
 from gatewarden.llm.language_id import op4_language_id
@@ -40,8 +41,10 @@ def queries() -> dict[str, Query]:
         "op8_best_fit_packing": over(op8_best_fit_packing, "documents"),
         "op9_quality_rules": over(op9_quality_rules, "documents", "labels"),
         "op10_html_wrapper": over(op10_html_wrapper, "pages"),
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """None: every corpus query learns, iterates or reads positions that SQL has no words for."""
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

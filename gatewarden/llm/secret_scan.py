@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
-from gatewarden.llm.text_batches import texts_of
+from gatewarden.llm.text_batches import texts_of, unused_names
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "endpoint")
@@ -179,7 +179,9 @@ def with_spans(
     found once and kept with them in the shared folder.
     """
     carried = docs.columns if carried is None else carried
-    found, key, linked = f"{name}_found", f"{name}_key", f"{name}_linked"
+    found, key, link_id, link_key, linked = unused_names(
+        [*docs.columns, name], "found", "text_key", "link_id", "link_key", "linked"
+    )
     kept = computed_once(
         with_parts(docs, found, text).withColumn(key, F.xxhash64(text)).select(*carried, found, key)
     )
@@ -190,25 +192,24 @@ def with_spans(
         .select("doc_id", "text_key", "s.*")
     )
     links = linked_parts(parts, scope).select(
-        F.col("doc_id").alias(f"{name}_id"), F.col("text_key").alias(linked + "_key"), "linked"
+        F.col("doc_id").alias(link_id), F.col("text_key").alias(link_key), F.col("linked").alias(linked)
     )
     joined = kept.join(
-        links,
-        kept["doc_id"].eqNullSafe(links[f"{name}_id"]) & (kept[key] == links[linked + "_key"]),
-        "left",
+        links, F.col("doc_id").eqNullSafe(F.col(link_id)) & (F.col(key) == F.col(link_key)), "left"
     )
     strong = F.transform(
         F.filter(f"{found}.spans", lambda s: ~s["weak"]),
         lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
     )
-    spans = F.array_sort(F.concat(strong, F.coalesce(F.col("linked"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))))
-    return joined.withColumn(
-        name,
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    spans = F.array_sort(F.concat(strong, F.coalesce(F.col(linked), none)))
+    return joined.select(
+        *carried,
         F.struct(
             *[F.col(f"{found}.{c}").alias(c) for c in ("n_assign", "n_access", "n_hex", "base_sha256")],
             spans.alias("spans"),
-        ),
-    ).drop(found, key, linked + "_key", f"{name}_id", "linked")
+        ).alias(name),
+    )
 
 
 def spans_text(spans):
@@ -251,11 +252,10 @@ def without_secrets(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
             out.append(text)
         return pa.array(out, pa.string())
 
-    found = with_spans(docs, "_secrets")
-    text = F.when(F.size("_secrets.spans") > 0, masked("text", "_secrets.spans")).otherwise(F.col("text"))
-    changed = F.size("_secrets.spans") > 0
+    (own,) = unused_names(docs.columns, "secrets")
+    changed = F.size(f"{own}.spans") > 0
+    text = F.when(changed, masked("text", f"{own}.spans")).otherwise(F.col("text"))
+    length = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return (
-        found.withColumn("n_chars", F.when(changed, F.char_length(text).cast("long")).otherwise(F.col("n_chars")))
-        .withColumn("text", text)
-        .select(*docs.columns)
+        with_spans(docs, own).withColumn("text", text).withColumn("n_chars", length).select(*docs.columns)
     )

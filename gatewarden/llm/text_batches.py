@@ -144,3 +144,15 @@ def shingles(part: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings, null as empty."""
     return [x or "" for x in column.to_pylist()]
+
+
+def unused_names(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column has it (letter case ignored)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
