@@ -8,8 +8,8 @@ reaches the Parquet scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from dataclasses import dataclass, replace
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,25 +38,45 @@ def day_of_week(timestamp: Column) -> Column:
 
 @dataclass(frozen=True)
 class Calendar:
-    """Days covered and the working-time rules; hour bounds are inclusive."""
+    """Days covered and the working-time rules; hour bounds are inclusive.
 
-    first_day: date = date(2025, 1, 1)
-    last_day: date = date(2025, 12, 31)
+    Without days it covers all times; ``spanning`` sizes it from data.
+    """
+
+    first_day: date | None = None
+    last_day: date | None = None
     business_hours: tuple[int, int] = (8, 17)
     night_starts: int = 22
     night_ends: int = 6
     early_hours: tuple[int, int] = (6, 7)
     late_hours: tuple[int, int] = (18, 21)
 
+    @classmethod
+    def of_year(cls, year: int) -> Calendar:
+        return cls(date(year, 1, 1), date(year, 12, 31))
+
+    def spanning(self, events: DataFrame) -> Calendar | None:
+        """The same rules over the days from the first event to the last; None without events."""
+        span = events.agg(
+            F.to_date(F.min("event_timestamp")).alias("first"),
+            F.to_date(F.max("event_timestamp")).alias("last"),
+        ).first()
+        if span["first"] is None:
+            return None
+        return replace(self, first_day=span["first"], last_day=span["last"])
+
     @property
     def hours(self) -> int:
         return ((self.last_day - self.first_day).days + 1) * 24
 
     def covers(self, timestamp: Column) -> Column:
         """Whether the calendar has a row for the hour of this time."""
-        return (timestamp >= naive(self.first_day)) & (
-            timestamp < naive(self.last_day + timedelta(days=1))
-        )
+        inside = timestamp.isNotNull()
+        if self.first_day is not None:
+            inside = inside & (timestamp >= naive(self.first_day))
+        if self.last_day is not None:
+            inside = inside & (timestamp < naive(self.last_day) + F.make_dt_interval(F.lit(1)))
+        return inside
 
     def is_weekend(self, dow: Column) -> Column:
         return dow.isin(0, 6)
@@ -95,7 +115,7 @@ class Calendar:
         )
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """The hour dimension over the configured days."""
+        """The hour dimension over the calendar's days, which must be known."""
         hours = spark.range(self.hours).select(
             (naive(self.first_day) + F.make_dt_interval(hours=F.col("id").cast("int"))).alias(
                 "full_timestamp"

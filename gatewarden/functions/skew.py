@@ -1,12 +1,13 @@
 """Joining many rows to a short lookup, whatever the sizes and the skew.
 
-``lookup_join`` measures the lookup. A short one is broadcast, and the rows
-never move. A longer one is joined by shuffle with the heavy keys split: their
-rows get a salt, and the lookup's rows of those keys are repeated per salt.
+``lookup_join`` measures the lookup in bytes. A short one is broadcast, and the
+rows never move. A longer one is joined by shuffle with the heavy keys split:
+their rows get a salt, and the lookup's rows of those keys are repeated per salt.
 
-The list of heavy keys keeps at most ``MAX_LISTED_KEYS`` keys, the heaviest, so
-it is small by construction; any key left out holds less than 1/1000 of the
-rows. Nothing is dropped: unlisted keys join with the single salt 0.
+Every key above the size of a task is split, into as many parts as it needs. At
+most ``LISTED_KEYS`` keys can be heavier than ``total / LISTED_KEYS`` rows, so
+with that as the least size the list of heavy keys is bounded by arithmetic,
+not by a cut. Nothing is dropped: other keys join with the single salt 0.
 """
 
 from __future__ import annotations
@@ -16,22 +17,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+#: Bytes of a lookup that may be sent to every executor.
+BROADCAST_BYTES = 32 << 20
 ROWS_PER_TASK = 2_000_000
-MAX_LISTED_KEYS = 1_000
-MAX_SPLITS = 4_096
+LISTED_KEYS = 500_000
+
+
+def data_bytes(frame: DataFrame) -> int:
+    """Size of the rows: eight bytes a value, and the bytes of texts."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in frame.dtypes if kind == "string"]
+    row = sum(texts, F.lit(8 * len(frame.columns)))
+    return frame.agg(F.sum(row.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str],
                 weights: Callable[[], DataFrame], row_id: str, how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS,
+                broadcast_bytes: int = BROADCAST_BYTES,
                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Join ``rows`` to ``lookup`` (already computed, narrow columns) on ``keys``.
 
     ``weights`` gives, per key, the number of ``rows`` in a column ``weight``; it
     is only called for a long lookup. ``row_id`` varies within a key.
     """
-    if lookup.count() <= broadcast_rows:
+    if data_bytes(lookup) <= broadcast_bytes:
         return rows.join(F.broadcast(lookup), keys, how)
     return spread_join(rows, lookup, keys, heaviest(weights(), keys, rows_per_task), row_id, how)
 
@@ -39,22 +47,20 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str],
 def heaviest(weights: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys above ``rows_per_task`` rows with the number of ``splits`` each needs.
 
-    ``weights`` has one row per key. The order is total, so both sides of a
-    join see the same list even when Spark evaluates it twice.
+    ``weights`` has one row per key. From ``LISTED_KEYS * rows_per_task`` rows
+    on, a key counts as heavy from ``total / LISTED_KEYS`` rows.
     """
-    splits = F.ceil(F.col("weight") / rows_per_task)
-    return (
-        weights.filter(F.col("weight") > rows_per_task)
-        .orderBy(F.desc("weight"), *keys)
-        .limit(MAX_LISTED_KEYS)
-        .select(*keys, F.least(splits, F.lit(MAX_SPLITS)).cast("int").alias("splits"))
+    total = weights.agg(F.sum("weight").alias("total")).first()["total"] or 0
+    least = max(rows_per_task, total // LISTED_KEYS)
+    return weights.filter(F.col("weight") > least).select(
+        *keys, F.ceil(F.col("weight") / least).cast("int").alias("splits")
     )
 
 
 def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], heavy: DataFrame,
                 row_id: str, how: str = "inner") -> DataFrame:
     """Shuffle join with the keys of ``heavy`` spread over their ``splits``."""
-    listed = F.broadcast(heavy)  # at most MAX_LISTED_KEYS rows
+    listed = F.broadcast(heavy)  # at most LISTED_KEYS rows, see heaviest
     splits = F.coalesce("splits", F.lit(1))
     salted_rows = (
         rows.join(listed, keys, "left")

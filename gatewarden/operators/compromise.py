@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gatewarden.functions.clock import epoch_second
 from gatewarden.functions.shared import computed_once
 from gatewarden.functions.skew import lookup_join
 from gatewarden.sources.warehouse import Warehouse
@@ -15,16 +16,10 @@ COLUMNS = (
 )
 
 
-def pair_history(events: DataFrame, failed_after: str | Column | None = None) -> DataFrame:
-    """Failures and successes per (user, address) in one pass.
-
-    ``failed_after`` restricts the failures counted, not the successes.
-    """
+def pair_history(events: DataFrame) -> DataFrame:
+    """Failures and successes per (user, address) in one pass."""
     when, success = F.col("event_timestamp"), F.col("success")
     failed = ~success
-    if failed_after is not None:
-        start = failed_after if isinstance(failed_after, Column) else F.lit(failed_after)
-        failed = failed & (when > start.cast("timestamp_ntz"))
     return events.groupBy("user_id", "source_ip").agg(
         F.count_if(failed).alias("failure_count"),
         F.max(F.when(failed, when)).alias("last_failure"),
@@ -40,17 +35,20 @@ def compromised_same_address(wh: Warehouse, threshold: int = 3, keep_unknown_hos
 
     The history is computed once and keeps only pairs that really have such a
     success, so the success rows usually meet a lookup short enough to
-    broadcast and are not shuffled at all.
+    broadcast and are not shuffled at all. ``failed_after`` restricts the
+    failures counted; a success has to be later still, so both scans skip
+    everything before it.
     """
     keys = ["user_id", "source_ip"]
+    events = wh.events_after(failed_after)
     suspects = computed_once(
-        pair_history(wh.events, failed_after).filter(
+        pair_history(events).filter(
             (F.col("failure_count") >= threshold)
             & (F.col("last_success") > F.col("last_failure"))
         )
     )
     matches = lookup_join(
-        _successes(wh.events),
+        _successes(events),
         suspects.select(*keys, "failure_count", "last_failure"),
         keys,
         lambda: suspects.select(*keys, F.col("success_count").alias("weight")),
@@ -60,31 +58,76 @@ def compromised_same_address(wh: Warehouse, threshold: int = 3, keep_unknown_hos
     return _report(wh, matches, keep_unknown_hosts)
 
 
-def compromised_any_address(wh: Warehouse, threshold: int = 3, keep_unknown_hosts: bool = False,
-                            **join_limits) -> DataFrame:
-    """As above, but the success may come from any address of the user.
+def compromised_any_address(wh: Warehouse, threshold: int = 3,
+                            keep_unknown_hosts: bool = False) -> DataFrame:
+    """Every success of a user later than the last failure from some failing address.
 
-    A success counts once for each failing address it follows.
+    One row per success, from whatever address: how many failing addresses it
+    follows (``failing_addresses``), their failures, and the latest of their
+    last failures. The addresses a success follows are added up along the
+    user's time, never joined to it one by one.
     """
     suspects = computed_once(
         wh.events.filter(~F.col("success"))
-        .groupBy("user_id", F.col("source_ip").alias("failing_ip"))
-        .agg(
-            F.count("*").alias("failure_count"),
-            F.max("event_timestamp").alias("last_failure"),
-        )
-        .filter(F.col("failure_count") >= threshold)
+        .groupBy("user_id", "source_ip")
+        .agg(F.count("*").alias("failures"), F.max("event_timestamp").alias("at"))
+        .filter(F.col("failures") >= threshold)
+        .groupBy("user_id", "at")
+        .agg(F.count("*").alias("addresses"), F.sum("failures").alias("failures"))
     )
-    successes = _successes(wh.events)
-    matches = lookup_join(
-        successes,
-        suspects.select("user_id", "failure_count", "last_failure"),
-        ["user_id"],
-        lambda: successes.groupBy("user_id").agg(F.count("*").alias("weight")),
-        row_id="event_id",
-        **join_limits,
+    marks = suspects.select(
+        "user_id", "at", F.lit(1).alias("kind"), "addresses", "failures", F.col("at").alias("last_failure")
+    )
+    successes = (
+        _successes(wh.events)
+        .join(suspects.select("user_id").distinct(), "user_id", "left_semi")
+        .withColumnRenamed("event_timestamp", "at")
+        .withColumn("kind", F.lit(0))
+    )
+    timeline = successes.unionByName(marks, allowMissingColumns=True).withColumn(
+        "minute", F.floor(epoch_second(F.col("at")) / 60)
+    )
+    followed = _followed(timeline).filter((F.col("kind") == 0) & (F.col("failing_addresses") > 0))
+    return _report(wh, followed.withColumnRenamed("at", "event_timestamp"), keep_unknown_hosts,
+                   "failing_addresses")
+
+
+def _followed(timeline: DataFrame) -> DataFrame:
+    """Add the sums of the marks strictly before each row of a user.
+
+    Time is cut into minutes. Sums within a minute and sums of the minutes
+    before are taken apart, so a window holds the rows of one minute or one row
+    per minute, whatever the user.
+    """
+    sums = {
+        "failing_addresses": lambda: F.sum("addresses"),
+        "failure_count": lambda: F.sum("failures"),
+        "last_failure": lambda: F.max("last_failure"),
+    }
+    # A success comes before the marks of its own moment.
+    within = Window.partitionBy("user_id", "minute").orderBy("at", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    before = Window.partitionBy("user_id").orderBy("minute").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    minutes = timeline.groupBy("user_id", "minute").agg(
+        F.sum("addresses").alias("addresses"), F.sum("failures").alias("failures"),
+        F.max("last_failure").alias("last_failure"),
+    )
+    earlier = minutes.select(
+        "user_id", "minute", *[make().over(before).alias(f"{name}_before") for name, make in sums.items()]
+    )
+    here = timeline.withColumns({f"{name}_here": make().over(within) for name, make in sums.items()})
+    joined = here.join(earlier, ["user_id", "minute"])
+    total = {
+        name: F.coalesce(F.col(f"{name}_before"), F.lit(0)) + F.coalesce(F.col(f"{name}_here"), F.lit(0))
+        for name in ("failing_addresses", "failure_count")
+    }
+    latest = F.coalesce("last_failure_here", "last_failure_before")
+    return joined.drop("failures", "addresses", "last_failure").withColumns(
+        {**total, "last_failure": latest}
     )
-    return _report(wh, matches, keep_unknown_hosts)
 
 
 def _successes(events: DataFrame) -> DataFrame:
@@ -93,7 +136,8 @@ def _successes(events: DataFrame) -> DataFrame:
     )
 
 
-def _report(wh: Warehouse, matches: DataFrame, keep_unknown_hosts: bool) -> DataFrame:
+def _report(wh: Warehouse, matches: DataFrame, keep_unknown_hosts: bool,
+            *more: str) -> DataFrame:
     hosts = wh.hosts.select(
         F.col("host_id").alias("dest_host_id"),
         F.col("hostname").alias("target_host"),
@@ -104,6 +148,6 @@ def _report(wh: Warehouse, matches: DataFrame, keep_unknown_hosts: bool) -> Data
         .join(wh.users, "user_id")
         .join(hosts, "dest_host_id", "left" if keep_unknown_hosts else "inner")
         .withColumnRenamed("event_timestamp", "successful_login_time")
-        .select(*COLUMNS)
+        .select(*COLUMNS, *more)
         .orderBy(F.desc("successful_login_time"), "username", "source_ip", "last_failure")
     )

@@ -210,9 +210,12 @@ def peer_comparison(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
         F.sum("unique_hosts_accessed").alias("hosts"), F.count("*").alias("accounts")
     )
     return (
-        activity.join(means, "department")
+        activity.alias("own").join(
+            means.withColumnRenamed("department", "peers"),
+            F.col("own.department").eqNullSafe(F.col("peers")),  # no department is one too
+        )
         .select(
-            "username", "department", "unique_hosts_accessed",
+            "username", "own.department", "unique_hosts_accessed",
             (F.col("hosts") / F.col("accounts")).alias("department_mean"),
         )
         .orderBy(F.desc("unique_hosts_accessed"), "username")
@@ -307,7 +310,8 @@ def lateral_movement(wh: Warehouse, hosts: int = 10, levels: int = 3,
         )
         .filter((F.col("hosts_reached") > hosts) | (F.size("kinds") >= levels))
     )
-    users = wh.users.filter(~F.col("department").isin(*expected))
+    outside = F.coalesce(~F.col("department").isin(*expected), F.lit(True))
+    users = wh.users.filter(outside)
     return (
         reached.join(users, "user_id")
         .select(

@@ -6,10 +6,12 @@ first collapse the events to the 168 hours of a week and label those.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gatewarden.functions.clock import HIGH_RISK, hour_of
+from gatewarden.functions.clock import HIGH_RISK, Calendar, hour_of
 from gatewarden.functions.numbers import percent
 from gatewarden.functions.severity import heat_level
 from gatewarden.functions.text import joined_members, short_stamp
@@ -281,16 +283,16 @@ def events_by_calendar_join(wh: Warehouse, hours: DataFrame,
 
 
 def calendar_of(wh: Warehouse) -> DataFrame:
-    """Hour dimension sized from the data: whole days from the first event to the last."""
-    span = wh.events.agg(
-        F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last")
-    )
-    start = F.to_date("first").cast("timestamp_ntz")
-    stop = F.to_date("last").cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS")
-    hours = span.filter(F.col("first").isNotNull()).select(
-        F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))).alias("full_timestamp")
-    )
-    return wh.calendar.describe(hours)
+    """Hour dimension sized from the data: whole days from the first event to the last.
+
+    Its rows are made by as many tasks as the session likes. Hours are numbered
+    from the calendar's first day if it has one, else from the first event's.
+    """
+    span = wh.calendar.spanning(wh.events)
+    if span is None:
+        return Calendar.of_year(1970).table(wh.spark).limit(0)
+    hours = span.table(wh.spark).select("full_timestamp")
+    return replace(span, first_day=wh.calendar.first_day or span.first_day).describe(hours)
 
 
 def calendar_span(hours: DataFrame) -> DataFrame:

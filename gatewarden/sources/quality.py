@@ -28,10 +28,12 @@ def constraint_violations(wh: Warehouse) -> DataFrame:
             "username not null": F.col("username").isNull(),
         }),
         _breaches(hosts, "dim_hosts", {
+            "host_id not null": F.col("host_id").isNull(),
             "hostname not null": F.col("hostname").isNull(),
             "asset_criticality allowed": ~criticality.isin(*schemas.CRITICALITIES),
         }),
         _breaches(events, "fact_auth_events", {
+            "event_id not null": F.col("event_id").isNull(),
             "user_id not null": F.col("user_id").isNull(),
             "source_ip not null": F.col("source_ip").isNull(),
             "source_ip well formed": malformed,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,6 +13,10 @@ from gatewarden.functions.clock import Calendar
 from gatewarden.sources import schemas
 
 
+#: The load of events written in batches.
+BATCH_LOAD = "batch"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The tables every job reads.
@@ -55,7 +59,13 @@ class Warehouse:
 
     def events_within(self, as_of: str | None, *, days: int = 0, hours: int = 0) -> DataFrame:
         """Events later than the start of the look-back; no upper bound."""
-        start = lookback_start(as_of, days=days, hours=hours)
+        return self.events_after(lookback_start(as_of, days=days, hours=hours))
+
+    def events_after(self, start: str | Column | None) -> DataFrame:
+        """Events later than a moment; prunes date partitions when there are any."""
+        if start is None:
+            return self.events
+        start = (start if isinstance(start, Column) else F.lit(start)).cast("timestamp_ntz")
         kept = self.events.filter(F.col("event_timestamp") > start)
         if "event_date" in self.events.columns:
             kept = kept.filter(F.col("event_date") >= F.to_date(start))
@@ -113,7 +123,8 @@ def store(path: str, users: DataFrame, hosts: DataFrame, events: DataFrame,
           mode: str = "overwrite") -> None:
     """Write the star as Parquet: ``overwrite`` reloads it, ``append`` adds to it.
 
-    The fact table is partitioned by day. The rebalance hint lets Spark split a
+    The fact table is partitioned by day and load: ``store`` and ``write_events``
+    share one load, a stream has one per batch. The rebalance hint lets Spark split a
     busy day over several writers and merge quiet ones; rows are sorted by user
     and time inside each file so row-group statistics stay narrow.
     """
@@ -123,20 +134,36 @@ def store(path: str, users: DataFrame, hosts: DataFrame, events: DataFrame,
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
+    _event_writer(events, BATCH_LOAD).mode(mode).parquet(f"{path}/fact_auth_events")
+
+
+def replace_load(events: DataFrame, path: str, load: str) -> None:
+    """Write events as one named load; what that load held before is replaced.
+
+    Only the partitions of this load are touched, so it may run again after a
+    failure, next to other loads.
+    """
     (
-        events.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "user_id", "event_timestamp")
-        .write.mode(mode)
-        .partitionBy("event_date")
+        _event_writer(events, load).mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .parquet(f"{path}/fact_auth_events")
     )
 
 
+def _event_writer(events: DataFrame, load: str) -> DataFrameWriter:
+    return (
+        events.withColumn("load", F.lit(load))
+        .hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "user_id", "event_timestamp")
+        .write.partitionBy("event_date", "load")
+    )
+
+
 def open_warehouse(spark: SparkSession, path: str, calendar: Calendar | None = None) -> Warehouse:
     """Open a star written by ``store``."""
     return Warehouse.of(
         read_table(spark, f"{path}/dim_users", schemas.USERS),
         read_table(spark, f"{path}/dim_hosts", schemas.HOSTS),
-        read_table(spark, f"{path}/fact_auth_events", schemas.STORED_EVENTS),
+        read_table(spark, f"{path}/fact_auth_events", schemas.STORED_EVENTS).drop("load"),
         calendar,
     )

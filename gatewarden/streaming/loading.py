@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gatewarden.sources import schemas
-from gatewarden.sources.warehouse import with_event_defaults
+from gatewarden.sources.warehouse import replace_load, with_event_defaults
 
 
 def event_stream(spark: SparkSession, landing: str, source: str = "parquet") -> DataFrame:
@@ -19,18 +21,24 @@ def event_stream(spark: SparkSession, landing: str, source: str = "parquet") ->
 
 def load_events(events: DataFrame, warehouse: str, checkpoint: str,
                 available_now: bool = False) -> StreamingQuery:
-    """Append a stream to ``<warehouse>/fact_auth_events``, exactly once, by day.
+    """Append a stream to the facts of ``warehouse``, exactly once, by day.
 
     ``checkpoint`` is a folder all executors share; a restarted query goes on
-    where it stopped. ``available_now`` loads what is there and ends.
+    where it stopped. Every batch replaces the load that carries its number, so
+    a batch that runs again adds nothing. The table holds plain files only and
+    no sink log, so rows of ``store`` and ``write_events`` stay visible.
+    ``available_now`` loads what is there and ends.
     """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def replace_batch(batch: DataFrame, number: int) -> None:
+        replace_load(batch, warehouse, f"{stream}-{number}")
+
     writer = (
         with_event_defaults(events)
-        .writeStream.format("parquet")
-        .partitionBy("event_date")
+        .writeStream.foreachBatch(replace_batch)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(f"{warehouse}/fact_auth_events")
+    return writer.start()

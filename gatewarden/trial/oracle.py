@@ -89,24 +89,26 @@ GROUP BY source_ip HAVING count(DISTINCT user_id) >= {threshold}
 """)
 
 
-def _compromise(failed_after: str | None, same_ip: bool, host_join: str) -> str:
+_STREAKS = """
+streaks AS (
+  SELECT user_id, source_ip, count(*) AS failure_count, max(event_timestamp) AS last_failure
+  FROM facts WHERE NOT success {window}
+  GROUP BY user_id, source_ip HAVING count(*) >= 3
+)"""
+
+
+def _compromise(failed_after: str | None, host_join: str) -> str:
     window = f"AND event_timestamp > TIMESTAMP '{failed_after}'" if failed_after else ""
-    match = "AND f.source_ip = s.source_ip" if same_ip else ""
     return _sql(f"""
 SELECT username, department, is_privileged, failure_count, last_failure,
        s.event_timestamp AS successful_login_time, s.source_ip,
        hostname AS target_host, asset_criticality
 FROM streaks f
-JOIN facts s ON s.user_id = f.user_id {match}
+JOIN facts s ON s.user_id = f.user_id AND s.source_ip = f.source_ip
             AND s.success AND s.event_timestamp > f.last_failure
 JOIN users u ON u.user_id = s.user_id
 {host_join} JOIN hosts h ON h.host_id = s.dest_host_id
-""", f"""
-streaks AS (
-  SELECT user_id, source_ip, count(*) AS failure_count, max(event_timestamp) AS last_failure
-  FROM facts WHERE NOT success {window}
-  GROUP BY user_id, source_ip HAVING count(*) > 2
-)""")
+""", _STREAKS.format(window=window))
 
 
 _HIGH_VALUE = """
@@ -463,9 +465,11 @@ _VIOLATIONS = _sql("\nUNION ALL\n".join([
     _unique("fact_auth_events", "facts", "event_id"),
     _broken("dim_users", "users", "user_id not null", "user_id IS NULL"),
     _broken("dim_users", "users", "username not null", "username IS NULL"),
+    _broken("dim_hosts", "hosts", "host_id not null", "host_id IS NULL"),
     _broken("dim_hosts", "hosts", "hostname not null", "hostname IS NULL"),
     _broken("dim_hosts", "hosts", "asset_criticality allowed",
             "asset_criticality NOT IN ('CRITICAL', 'HIGH', 'MEDIUM', 'LOW')"),
+    _broken("fact_auth_events", "facts", "event_id not null", "event_id IS NULL"),
     _broken("fact_auth_events", "facts", "user_id not null", "user_id IS NULL"),
     _broken("fact_auth_events", "facts", "source_ip not null", "source_ip IS NULL"),
     _broken("fact_auth_events", "facts", "source_ip well formed",
@@ -481,9 +485,20 @@ _VIOLATIONS = _sql("\nUNION ALL\n".join([
 ORACLE: dict[str, str] = {
     "brute_force": _brute("recent"),
     "password_spraying": _spray("recent"),
-    "compromise_same_ip": _compromise(None, True, "INNER"),
-    "compromise_same_ip_left": _compromise("2024-01-17", True, "LEFT"),
-    "compromise_any_ip": _compromise(None, False, "INNER"),
+    "compromise_same_ip": _compromise(None, "INNER"),
+    "compromise_same_ip_left": _compromise("2024-01-17", "LEFT"),
+    "compromise_any_ip": _sql("""
+SELECT username, department, is_privileged,
+       CAST(sum(failure_count) AS BIGINT) AS failure_count, max(f.last_failure) AS last_failure,
+       s.event_timestamp AS successful_login_time, s.source_ip, hostname AS target_host,
+       asset_criticality, count(*) AS failing_addresses
+FROM streaks f
+JOIN facts s ON s.user_id = f.user_id AND s.success AND s.event_timestamp > f.last_failure
+JOIN users u ON u.user_id = s.user_id
+JOIN hosts h ON h.host_id = s.dest_host_id
+GROUP BY s.event_id, username, department, is_privileged, s.event_timestamp, s.source_ip,
+         hostname, asset_criticality
+""", _STREAKS.format(window="")),
     "critical_asset_attacks": _asset_attacks("attack_count"),
     "critical_asset_attacks_by_text": _asset_attacks("attack_attempts"),
     "critical_asset_summary": _sql("""
@@ -587,7 +602,7 @@ FROM recent
     "hunt_password_spraying_ip": _spray(
         _since("2024-01-01"), 3, "AND source_ip = '198.51.1.66'"
     ),
-    "hunt_compromises": _compromise("2024-01-10", True, "LEFT"),
+    "hunt_compromises": _compromise("2024-01-10", "LEFT"),
     "hunt_external_threats": _external_hunt(_since("2024-01-24"), 5),
     "hunt_privileged_activity": _audit("facts", "LEFT",
                                        "AND event_timestamp > TIMESTAMP '2024-01-28'"),

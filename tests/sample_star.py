@@ -127,7 +127,7 @@ def star(spark: SparkSession, extra_events=(), users=None, hosts=None, events=No
         frame_of_users(spark, users or USERS),
         frame_of_hosts(spark, hosts or HOSTS),
         frame_of_events(spark, rows + list(extra_events)),
-        calendar,
+        calendar or Calendar.of_year(2025),
     )
 
 

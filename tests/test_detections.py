@@ -29,7 +29,9 @@ def test_compromises_agree_on_the_sample(sample):
          "185.220.101.47", "webserver-prod-01", "HIGH"),
     ]
     assert tuples(compromise.compromised_same_address(sample)) == expected
-    assert tuples(compromise.compromised_any_address(sample)) == expected
+    anywhere = compromise.compromised_any_address(sample)
+    assert tuples(anywhere, *compromise.COLUMNS) == expected
+    assert tuples(anywhere, "failing_addresses") == [(1,), (1,)]
 
 
 def test_critical_asset_attacks(sample):

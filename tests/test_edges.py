@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from gatewarden.functions import addresses
 from gatewarden.functions.numbers import percent
-from gatewarden.operators import accounts, assets, brute_force, compromise, external, temporal
-from gatewarden.sources import quality
+from gatewarden.operators import (
+    accounts, assets, brute_force, compromise, external, risk_profiles, temporal,
+)
+from gatewarden.sources import quality, warehouse
 from gatewarden.sources.trial_tables import trial_events
 from tests.sample_star import HOSTS, USERS, event, frame_of_events, star, tuples
 
@@ -121,6 +123,29 @@ def test_host_without_criticality(spark):
     assert rules["asset_criticality allowed"] == 0
 
 
+def test_missing_keys_are_violations(spark):
+    wh = star(spark)
+    nulled = warehouse.Warehouse(
+        wh.users, wh.hosts.withColumn("host_id", F.expr("nullif(host_id, 3)")),
+        wh.events.withColumn("event_id", F.expr("nullif(event_id, 5)")),
+    )
+    rules = {(t, r): n for t, r, n in tuples(quality.constraint_violations(nulled))}
+    assert rules["dim_hosts", "host_id not null"] == 1
+    assert rules["fact_auth_events", "event_id not null"] == 1
+
+
+def test_accounts_without_a_department_are_compared_too(spark):
+    users = [*USERS, (12, "nodept", None, False)]
+    extra = [event(200 + h, 12, h, "10.0.0.7", "S", "2025-01-19 10:00:00") for h in range(1, 10)]
+    extra += [event(220, 12, 10, "10.0.0.7", "S", "2025-01-19 10:00:00")]
+    wh = star(spark, extra, users=users, hosts=[*HOSTS, (10, "extra-01", "LOW", "Lab")])
+    compared = {r["username"]: r for r in risk_profiles.peer_comparison(wh).collect()}
+    assert compared["nodept"]["department_mean"] == 10.0
+    assert compared["nodept"]["unique_hosts_accessed"] == 10
+    moved = tuples(risk_profiles.lateral_movement(wh, hosts=9), "username", "hosts_reached")
+    assert ("nodept", 10) in moved
+
+
 def test_user_without_events(spark):
     users = [*USERS, (12, "idle", "Sales", False)]
     wh = star(spark, users=users)

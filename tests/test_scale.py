@@ -11,7 +11,7 @@ from gatewarden.operators import accounts, assets, brute_force, compromise, exte
 from gatewarden.sources.trial_tables import trial_warehouse
 from tests.sample_star import event, star
 
-FORCED = {"broadcast_rows": 0, "rows_per_task": 50}
+FORCED = {"broadcast_bytes": 0, "rows_per_task": 50}
 
 
 @pytest.fixture(scope="module")
@@ -43,14 +43,29 @@ def test_split_compromises_equal_broadcast_ones(skewed):
     assert same(broadcast, compromise.compromised_same_address(skewed, **FORCED))
 
 
-def test_split_any_address_equals_broadcast(skewed):
-    broadcast = compromise.compromised_any_address(skewed)
-    assert same(broadcast, compromise.compromised_any_address(skewed, **FORCED))
+def test_any_address_gives_one_row_per_success(skewed):
+    """Equal to following every failing address one by one."""
+    found = compromise.compromised_any_address(skewed)
+    failing = (
+        skewed.events.filter("not success").groupBy("user_id", F.col("source_ip").alias("ip"))
+        .agg(F.count("*").alias("n"), F.max("event_timestamp").alias("last"))
+        .filter("n >= 3")
+    )
+    pairs = skewed.events.filter("success").join(failing, "user_id").filter(
+        F.col("event_timestamp") > F.col("last")
+    )
+    expected = pairs.groupBy("event_id", "event_timestamp", "source_ip").agg(
+        F.count("*").alias("k"), F.sum("n").alias("n"), F.max("last").alias("last")
+    ).select("event_timestamp", "source_ip", "k", "n", "last")
+    assert expected.count() > 500
+    assert same(expected, found.select(
+        "successful_login_time", "source_ip", "failing_addresses", "failure_count", "last_failure"
+    ).toDF(*expected.columns))
 
 
 def test_split_scenarios_equal_broadcast_ones(skewed):
     broadcast = scenarios.scenario_classification(skewed)
-    split = scenarios.scenario_classification(skewed, broadcast_rows=0, rows_per_task=5)
+    split = scenarios.scenario_classification(skewed, broadcast_bytes=0, rows_per_task=5)
     assert same(broadcast, split)
 
 
@@ -77,10 +92,25 @@ def test_spread_left_join_keeps_unmatched_rows(spark, skewed):
     assert joined.filter("note is null").select("user_id").distinct().count() == 10
 
 
-def test_listed_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_LISTED_KEYS", 3)
-    weights = spark.range(10).select(F.col("id").alias("k"), (F.col("id") + 5).alias("weight"))
-    assert [r["k"] for r in skew.heaviest(weights, ["k"], 4).orderBy("k").collect()] == [7, 8, 9]
+def test_every_heavy_key_is_split(spark):
+    weights = spark.range(5_000).select(F.col("id").alias("k"), (F.col("id") + 5).alias("weight"))
+    heavy = skew.heaviest(weights, ["k"], 30)
+    assert heavy.count() == 4_974
+    assert heavy.filter(F.col("splits") != F.ceil((F.col("k") + 5) / 30)).isEmpty()
+
+
+def test_the_list_of_heavy_keys_is_bounded_by_the_total(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LISTED_KEYS", 20)
+    weights = spark.range(1_000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("weight"))
+    assert skew.heaviest(weights, ["k"], 10).count() <= 20
+    one = spark.range(1).select(F.col("id").alias("k"), F.lit(10**9).alias("weight"))
+    assert skew.heaviest(one, ["k"], 10_000).first()["splits"] == 20
+
+
+def test_size_of_a_lookup(spark):
+    frame = spark.createDataFrame([(1, "abc"), (2, "é"), (3, None)], "k bigint, t string")
+    assert skew.data_bytes(frame) == 3 * 16 + 3 + 2
+    assert skew.data_bytes(frame.filter("false")) == 0
 
 
 def plan_of(frame) -> str:

@@ -6,8 +6,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from gatewarden.operators import brute_force, scenarios
-from gatewarden.plans import dashboard
+from gatewarden.operators import brute_force, compromise, scenarios
+from gatewarden.plans import dashboard, hunts
 from gatewarden.sources import schemas, sinks, warehouse
 from tests.sample_star import (
     HOSTS, USERS, event, frame_of_events, frame_of_hosts, frame_of_users, sample_events, star,
@@ -60,6 +60,24 @@ def test_external_flag_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(is_external,true)" in plan
 
 
+def test_a_look_back_prunes_both_scans(spark, tmp_path):
+    warehouse.store(
+        str(tmp_path), frame_of_users(spark), frame_of_hosts(spark),
+        frame_of_events(spark, sample_events()),
+    )
+    wh = warehouse.open_warehouse(spark, str(tmp_path))
+    start = warehouse.lookback_start("2025-01-21 00:00:00", days=1)
+    for frame in (
+        compromise.pair_history(wh.events_after(start)),
+        hunts.hunt_compromises(wh, as_of="2025-01-21 00:00:00", days=1),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        scan = next(x for x in plan.splitlines() if "FileScan" in x and "event_timestamp" in x)
+        assert "PartitionFilters: [isnotnull(event_date" in scan and ">= 2025-01-20" in scan
+        assert "GreaterThan(event_timestamp,2025-01-20T00:00)" in scan
+    assert hunts.hunt_compromises(wh, as_of="2025-01-21 00:00:00", days=1).count() == 2
+
+
 def test_defaults(spark):
     raw = spark.createDataFrame(
         [(1, 1, None, "10.0.0.1/32", None, True, sample_events()[0][6], None)], schemas.EVENTS
@@ -91,7 +109,7 @@ def text_of(path) -> str:
 
 
 def test_json_lines(spark, sample, tmp_path):
-    sinks.export(brute_force.brute_force(sample), str(tmp_path / "out.json"))
+    sinks.write_json_lines(brute_force.brute_force(sample), str(tmp_path / "out.json"))
     rows = [json.loads(line) for line in text_of(tmp_path / "out.json").split("\n") if line]
     assert rows[0] == {
         "username": "admin", "department": "IT Security", "is_privileged": True,
@@ -100,6 +118,17 @@ def test_json_lines(spark, sample, tmp_path):
     }
 
 
+def test_exported_json_is_one_array_in_row_order(spark, sample, tmp_path):
+    found = brute_force.brute_force(sample, threshold=1)
+    assert sinks.export(found, str(tmp_path / "out.json"))
+    rows = json.loads(text_of(tmp_path / "out.json"))
+    expected = [(r["username"], r["failed_attempts"], r["source_ip"]) for r in found.collect()]
+    assert [(r["username"], r["failed_attempts"], r["source_ip"]) for r in rows] == expected
+    assert list(rows[0]) == found.columns
+    assert sinks.export(found.filter("false"), str(tmp_path / "none.json"))
+    assert json.loads(text_of(tmp_path / "none.json")) == []
+
+
 def test_json_array(spark, sample, tmp_path):
     frame = sample.events.select("event_id", "dest_host_id", "event_timestamp")
     sinks.write_lines(sinks.json_array_lines(frame, "event_id"), str(tmp_path / "array"))

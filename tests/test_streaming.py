@@ -1,5 +1,7 @@
 """Streams over files of the sample events."""
 
+from pyspark.sql import functions as F
+
 from gatewarden.operators import scenarios
 from gatewarden.sources import schemas, warehouse
 from gatewarden.sources.warehouse import open_warehouse
@@ -63,6 +65,50 @@ def test_spraying_alerts(spark, tmp_path):
     ]
 
 
+def test_batch_and_stream_loads_share_a_table(spark, tmp_path):
+    path, rows = str(tmp_path / "wh"), sample_events()
+    frame = frame_of_events(spark, rows)
+
+    def part(first, last):
+        return warehouse.with_event_defaults(frame.filter(F.col("event_id").between(first, last)))
+
+    def stream(folder="checkpoint"):
+        load_events(
+            event_stream(spark, str(tmp_path / "in")), path, str(tmp_path / folder), available_now=True
+        ).awaitTermination()
+
+    def ids():
+        return sorted(r["event_id"] for r in open_warehouse(spark, path).events.collect())
+
+    warehouse.store(path, frame_of_users(spark), frame_of_hosts(spark), frame.filter("event_id <= 20"))
+    landed(spark, tmp_path / "in", rows[20:30])
+    stream()
+    assert ids() == list(range(1, 31))
+    warehouse.write_events(part(31, 46), path)
+    assert ids() == list(range(1, 47))
+    stream()  # a restart without new files
+    assert ids() == list(range(1, 47))
+    # the batch runs again: its commit is gone, its offsets are there
+    (tmp_path / "checkpoint" / "commits" / "0").unlink()
+    for left in (tmp_path / "checkpoint" / "commits").glob(".0*"):
+        left.unlink()
+    stream()
+    assert ids() == list(range(1, 47))
+    assert open_warehouse(spark, path).events.columns[-1] == "event_date"
+
+
+def test_a_table_may_begin_with_a_stream(spark, tmp_path):
+    path, rows = str(tmp_path / "wh"), sample_events()
+    warehouse.with_user_defaults(frame_of_users(spark)).write.parquet(f"{path}/dim_users")
+    warehouse.with_host_defaults(frame_of_hosts(spark)).write.parquet(f"{path}/dim_hosts")
+    landed(spark, tmp_path / "in", rows[:10])
+    load_events(
+        event_stream(spark, str(tmp_path / "in")), path, str(tmp_path / "c"), available_now=True
+    ).awaitTermination()
+    warehouse.write_events(warehouse.with_event_defaults(frame_of_events(spark, rows[10:])), path)
+    assert open_warehouse(spark, path).events.count() == 46
+
+
 def test_continuous_loading(spark, sample, tmp_path):
     warehouse.store(
         str(tmp_path / "wh"), frame_of_users(spark), frame_of_hosts(spark),

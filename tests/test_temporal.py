@@ -8,11 +8,14 @@ from gatewarden.functions import clock
 from gatewarden.functions.clock import Calendar
 from gatewarden.operators import temporal
 from gatewarden.sources import quality
-from tests.sample_star import at, event, sample_events, star, tuples
+from gatewarden.sources import warehouse
+from tests.sample_star import (
+    at, event, frame_of_events, frame_of_hosts, frame_of_users, sample_events, star, tuples,
+)
 
 
 def test_calendar_counts(spark):
-    hours = Calendar().table(spark)
+    hours = Calendar.of_year(2025).table(spark)
     counts = hours.agg(
         F.count("*"), F.count_if("is_business_hours"), F.count_if("is_night_shift"),
         F.count_if("is_weekend"), F.max("time_id"), F.countDistinct("full_timestamp"),
@@ -25,7 +28,7 @@ def test_calendar_counts(spark):
 
 
 def test_calendar_row(spark):
-    row = Calendar().table(spark).filter("full_timestamp = '2025-01-19 03:00:00'").first()
+    row = Calendar.of_year(2025).table(spark).filter("full_timestamp = '2025-01-19 03:00:00'").first()
     assert row.asDict() == {
         "time_id": 436, "full_timestamp": datetime(2025, 1, 19, 3), "date": date(2025, 1, 19),
         "year": 2025, "quarter": 1, "month": 1, "month_name": "January", "week_of_year": 3,
@@ -36,7 +39,7 @@ def test_calendar_row(spark):
 
 
 def test_calendar_day(spark):
-    rows = tuples(temporal.calendar_day(Calendar().table(spark)))
+    rows = tuples(temporal.calendar_day(Calendar.of_year(2025).table(spark)))
     assert len(rows) == 10
     assert rows[8] == (at(20, "08:00:00"), "Monday", 8, False, True, False, "NORMAL")
 
@@ -45,7 +48,7 @@ def test_calendar_ignores_the_session_zone(spark):
     """2025-03-09 02:30 does not exist in New York; zone-free time keeps it."""
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        hours = Calendar().table(spark)
+        hours = Calendar.of_year(2025).table(spark)
         assert hours.count() == hours.select("full_timestamp").distinct().count() == 8760
         gap = hours.filter("full_timestamp = timestamp_ntz'2025-03-09 02:00:00'")
         assert tuples(gap, "hour", "time_id") == [(2, 1611)]
@@ -174,7 +177,7 @@ def test_hour_boundaries(spark):
 
 
 def test_changed_working_hours(spark):
-    calendar = Calendar(business_hours=(9, 16), night_starts=20, night_ends=7)
+    calendar = Calendar(date(2025, 1, 1), date(2025, 12, 31), business_hours=(9, 16), night_starts=20, night_ends=7)
     wh = star(spark, calendar=calendar)
     rows = tuples(temporal.business_hours_comparison(wh), "is_business_hours", "total_attacks")
     inside = sum(1 for e in sample_events() if e[6].day == 20 and 9 <= e[6].hour <= 16)
@@ -187,3 +190,16 @@ def test_calendar_sized_from_data(spark, sample):
         (72, datetime(2025, 1, 18), datetime(2025, 1, 20, 23))
     ]
     assert temporal.calendar_of(star(spark, events=[])).count() == 0
+
+
+def test_default_calendar_covers_every_year(spark, tmp_path):
+    rows = [*sample_events(), event(100, 1, 1, "10.0.0.1", "F", "2031-03-09 02:30:00")]
+    warehouse.store(str(tmp_path), frame_of_users(spark), frame_of_hosts(spark), frame_of_events(spark, rows))
+    wh = warehouse.open_warehouse(spark, str(tmp_path))
+    assert tuples(quality.calendar_coverage(wh)) == [(47, 47, 0)]
+    assert temporal.week_cells(wh, None).agg(F.sum("events")).first()[0] == 47
+    hours = temporal.calendar_of(wh)
+    first, last = datetime(2025, 1, 18), datetime(2031, 3, 9, 23)
+    assert tuples(temporal.calendar_span(hours)) == [((last - first).days * 24 + 24, first, last)]
+    far = star(spark, [event(101, 1, 1, "10.0.0.1", "F", "2525-12-31 23:59:59")], calendar=Calendar())
+    assert temporal.calendar_of(far).filter("year = 2525").count() == 8760
