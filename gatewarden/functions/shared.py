@@ -28,16 +28,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application].name
 
 
+def results_folder(spark: SparkSession) -> str:
+    """The subfolder of this application's shared results."""
+    return f"{shared_folder(spark).rstrip('/')}/gatewarden/{spark.sparkContext.applicationId}"
+
+
+def remove_shared_results(spark: SparkSession) -> bool:
+    """Delete all shared results of this application; True if there were any.
+
+    Call it when no result that was built from them is needed any more: they
+    are read lazily. Other applications' folders are not touched.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(results_folder(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(system.delete(folder, True))
+
+
 def computed_once(frame: DataFrame) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
     Later parts then scan only the columns they need of a small columnar
     table, a lost executor costs no recomputation of the events, and Spark
     plans with the table's true size. All tables of an application lie in one
-    subfolder, to be removed when it has ended.
+    subfolder, which ``remove_shared_results`` removes when its jobs are done.
     """
     spark = frame.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark).rstrip('/')}/gatewarden/{application}/{uuid.uuid4().hex}"
+    path = f"{results_folder(spark)}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

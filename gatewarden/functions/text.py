@@ -13,23 +13,15 @@ MONTHS = (
 DAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
-def joined(values: Column, separator: str = ", ") -> Column:
-    """Sorted, joined members of an array; NULL when there are none."""
-    return F.nullif(F.array_join(F.sort_array(values), separator), F.lit(""))
-
-
 def joined_members(value: Column, separator: str = ", ") -> Column:
-    """Aggregate: values joined in ascending order.
+    """Aggregate: values joined in ascending order; NULL when there are none.
 
-    Callers group by the value first, so each arrives once and a list holds
-    distinct members only, never raw events.
+    Only for values of a small fixed domain, such as minutes of a year; callers
+    group by the value first. Users and addresses are given as rows instead
+    (``functions.members``).
     """
-    return joined(F.collect_list(value), separator)
-
-
-def joined_distinct(value: Column, separator: str = ", ") -> Column:
-    """Aggregate: distinct values joined in ascending order."""
-    return joined(F.collect_set(value), separator)
+    values = F.array_join(F.sort_array(F.collect_list(value)), separator)
+    return F.nullif(values, F.lit(""))
 
 
 def month_name(timestamp: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewarden.functions.text import joined_distinct, joined_members
+from gatewarden.functions.members import with_group_counts
+from gatewarden.functions.shared import computed_once
 from gatewarden.operators import FLOOR
 from gatewarden.sources.warehouse import Warehouse
 
@@ -31,22 +32,28 @@ def urgency() -> F.Column:
     )
 
 
-def critical_asset_attacks(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """Per (host, user): attack_count, unique_attackers, attacker_ips."""
-    return (
+def critical_asset_attacks(wh: Warehouse, since: str | None = FLOOR,
+                           **join_limits) -> DataFrame:
+    """Per (host, user): attack_count, unique_attackers; one row per attacker_ip."""
+    keys = ["host_id", "user_id"]
+    cells = computed_once(
         failed_against_hosts(wh, since, "user_id", "source_ip")
-        .groupBy("host_id", "hostname", "asset_criticality", "location", "user_id")
-        .agg(
-            F.sum("attempts").alias("attack_count"),
-            F.count("*").alias("unique_attackers"),
-            joined_members(F.col("source_ip")).alias("attacker_ips"),
-        )
+        .select(*keys, "hostname", "asset_criticality", "location", "source_ip", "attempts")
         .join(wh.users.select("user_id", "username", "is_privileged"), "user_id")
+        .withColumnRenamed("source_ip", "attacker_ip")
+    )
+    groups = computed_once(
+        cells.groupBy(*keys).agg(
+            F.sum("attempts").alias("attack_count"), F.count("*").alias("unique_attackers")
+        )
+    )
+    return (
+        with_group_counts(cells, groups, keys, "unique_attackers", "attacker_ip", **join_limits)
         .select(
             "hostname", "asset_criticality", "location", "username", "is_privileged",
-            "attack_count", "unique_attackers", "attacker_ips",
+            "attack_count", "unique_attackers", "attacker_ip",
         )
-        .orderBy(urgency(), F.desc("attack_count"), "hostname", "username")
+        .orderBy(urgency(), F.desc("attack_count"), "hostname", "username", "attacker_ip")
     )
 
 
@@ -56,39 +63,58 @@ def critical_asset_attacks_by_text(wh: Warehouse, since: str | None = FLOOR) ->
         critical_asset_attacks(wh, since)
         .withColumnRenamed("attack_count", "attack_attempts")
         .orderBy(
-            F.desc("asset_criticality"), F.desc("attack_attempts"), "hostname", "username"
+            F.desc("asset_criticality"), F.desc("attack_attempts"), "hostname", "username",
+            "attacker_ip",
         )
     )
 
 
-def critical_asset_summary(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """Per host: total_attacks, users_targeted, unique_attackers, attacker_ips."""
-    known = failed_against_hosts(wh, since, "user_id", "source_ip").join(
-        wh.users.select("user_id"), "user_id"
+def critical_asset_summary(wh: Warehouse, since: str | None = FLOOR,
+                           **join_limits) -> DataFrame:
+    """Per host: total_attacks, users_targeted, unique_attackers; one row per attacker_ip."""
+    keys = ["hostname", "asset_criticality"]
+    known = computed_once(
+        failed_against_hosts(wh, since, "user_id", "source_ip")
+        .select("user_id", *keys, "source_ip", "attempts")
+        .join(wh.users.select("user_id"), "user_id")
     )
-    return (
-        known.groupBy("hostname", "asset_criticality")
-        .agg(
+    groups = computed_once(
+        known.groupBy(*keys).agg(
             F.sum("attempts").alias("total_attacks"),
             F.countDistinct("user_id").alias("users_targeted"),
             F.countDistinct("source_ip").alias("unique_attackers"),
-            joined_distinct(F.col("source_ip")).alias("attacker_ips"),
         )
-        .orderBy("asset_criticality", F.desc("total_attacks"), "hostname")
+    )
+    members = known.select(*keys, F.col("source_ip").alias("attacker_ip")).distinct()
+    return (
+        with_group_counts(members, groups, keys, "unique_attackers", "attacker_ip", **join_limits)
+        .select(*keys, "total_attacks", "users_targeted", "unique_attackers", "attacker_ip")
+        .orderBy("asset_criticality", F.desc("total_attacks"), "hostname", "attacker_ip")
     )
 
 
-def critical_asset_hunt(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """Per host with location and the attacking addresses; users are not joined."""
-    return (
+def critical_asset_hunt(wh: Warehouse, since: str | None = FLOOR, **join_limits) -> DataFrame:
+    """Per host with location: attack_count, unique_attackers; one row per attacker_ip.
+
+    Users are not joined.
+    """
+    cells = computed_once(
         failed_against_hosts(wh, since, "source_ip")
-        .groupBy("hostname", "asset_criticality", "location")
-        .agg(
-            F.sum("attempts").alias("attack_count"),
-            F.count("*").alias("unique_attackers"),
-            joined_members(F.col("source_ip")).alias("attacker_ips"),
+        .select("host_id", "hostname", "asset_criticality", "location", "attempts",
+                F.col("source_ip").alias("attacker_ip"))
+    )
+    groups = computed_once(
+        cells.groupBy("host_id").agg(
+            F.sum("attempts").alias("attack_count"), F.count("*").alias("unique_attackers")
         )
-        .orderBy(F.desc("attack_count"), "hostname")
+    )
+    return (
+        with_group_counts(
+            cells, groups, ["host_id"], "unique_attackers", "attacker_ip", **join_limits
+        )
+        .select("hostname", "asset_criticality", "location", "attack_count", "unique_attackers",
+                "attacker_ip")
+        .orderBy(F.desc("attack_count"), "hostname", "attacker_ip")
     )
 
 

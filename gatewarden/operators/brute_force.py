@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewarden.functions.text import joined_members
+from gatewarden.functions.members import with_group_counts
+from gatewarden.functions.shared import computed_once
 from gatewarden.operators import FLOOR
 from gatewarden.sources.warehouse import Warehouse
 
@@ -43,27 +44,37 @@ def brute_force(wh: Warehouse, threshold: int | Column = 3, since: str | None =
 
 
 def password_spraying(wh: Warehouse, threshold: int = 5, since: str | None = FLOOR,
-                      ip_address: str | None = None) -> DataFrame:
-    """Addresses failing against ``threshold`` users or more.
+                      ip_address: str | None = None, **join_limits) -> DataFrame:
+    """Addresses failing against ``threshold`` users or more, one row per account.
 
-    Events collapse to (user, address) before anything is gathered per address,
-    so counting users needs no second distinct pass and a list holds each
-    account once.
+    → source_ip, users_targeted, total_attempts, attack_start, attack_end,
+    targeted_account. Events collapse to (address, user) before anything is
+    counted per address, so counting users needs no second distinct pass.
     """
     events = wh.events_since(since)
     if ip_address is not None:
         events = events.filter(F.col("source_ip") == ip_address)
-    return (
-        failed_pairs(events)
-        .join(wh.users.select("user_id", "username"), "user_id")
-        .groupBy("source_ip")
+    pairs = computed_once(
+        failed_pairs(events).join(wh.users.select("user_id", "username"), "user_id").drop("user_id")
+    )
+    groups = computed_once(
+        pairs.groupBy("source_ip")
         .agg(
             F.count("*").alias("users_targeted"),
             F.sum("failed_attempts").alias("total_attempts"),
             F.min("first_attempt").alias("attack_start"),
             F.max("last_attempt").alias("attack_end"),
-            joined_members(F.col("username")).alias("targeted_accounts"),
         )
         .filter(F.col("users_targeted") >= threshold)
-        .orderBy(F.desc("users_targeted"), "source_ip")
+    )
+    members = pairs.select("source_ip", F.col("username").alias("targeted_account"))
+    return (
+        with_group_counts(
+            members, groups, ["source_ip"], "users_targeted", "targeted_account", **join_limits
+        )
+        .select(
+            "source_ip", "users_targeted", "total_attempts", "attack_start", "attack_end",
+            "targeted_account",
+        )
+        .orderBy(F.desc("users_targeted"), "source_ip", "targeted_account")
     )

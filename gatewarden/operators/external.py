@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewarden.functions.members import with_group_counts
 from gatewarden.functions.severity import actor_severity
-from gatewarden.functions.text import joined_members
+from gatewarden.functions.shared import computed_once
 from gatewarden.operators import FLOOR
 from gatewarden.operators.accounts import activity_cells
 from gatewarden.sources.warehouse import Warehouse
@@ -82,25 +83,34 @@ def external_threats(wh: Warehouse, min_attempts: int = 1, since: str | None = N
     )
 
 
-def threat_actors(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """External addresses with their accounts and a severity."""
-    return rate_actors(_user_cells(wh, since))
+def threat_actors(wh: Warehouse, since: str | None = FLOOR, **join_limits) -> DataFrame:
+    """External addresses with a severity, one row per account of each."""
+    return rate_actors(computed_once(_user_cells(wh, since)), **join_limits)
 
 
-def rate_actors(cells: DataFrame) -> DataFrame:
-    """Severity-rated actors from (address, user) cells with usernames."""
-    return (
-        cells.groupBy(F.col("source_ip").alias("ip_address"))
-        .agg(
+def rate_actors(cells: DataFrame, **join_limits) -> DataFrame:
+    """Severity-rated actors from stored (address, user) cells with usernames.
+
+    → ip_address, total_attempts, successful, failed, users_targeted, username,
+    severity; the counts repeat on every account's row.
+    """
+    groups = computed_once(
+        cells.groupBy("source_ip").agg(
             F.sum("events").alias("total_attempts"),
             F.sum("successes").alias("successful"),
             F.sum("failures").alias("failed"),
             F.count("*").alias("users_targeted"),
-            joined_members(F.col("username")).alias("usernames"),
         )
-        .withColumn(
-            "severity",
-            actor_severity(F.col("successful"), F.col("failed"), F.col("users_targeted")),
+    )
+    severity = actor_severity(F.col("successful"), F.col("failed"), F.col("users_targeted"))
+    return (
+        with_group_counts(
+            cells.select("source_ip", "username"), groups, ["source_ip"], "users_targeted",
+            "username", **join_limits,
+        )
+        .select(
+            F.col("source_ip").alias("ip_address"), "total_attempts", "successful", "failed",
+            "users_targeted", "username", severity.alias("severity"),
         )
-        .orderBy(F.desc("successful"), F.desc("total_attempts"), "ip_address")
+        .orderBy(F.desc("successful"), F.desc("total_attempts"), "ip_address", "username")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gatewarden.functions.clock import HIGH_RISK, Calendar, hour_of
 from gatewarden.functions.numbers import percent
 from gatewarden.functions.severity import heat_level
+from gatewarden.functions.shared import computed_once
 from gatewarden.functions.text import joined_members, short_stamp
 from gatewarden.operators import FLOOR
 from gatewarden.sources.warehouse import Warehouse
@@ -22,18 +23,28 @@ from gatewarden.sources.warehouse import Warehouse
 IT_DEPARTMENTS = ("IT Security", "IT Ops", "IT Support")
 
 
-def week_cells(wh: Warehouse, since: str | None) -> DataFrame:
-    """Events per weekday and hour, labelled (at most 168 rows)."""
-    cells = (
+def hour_cells(wh: Warehouse, since: str | None, *keys: str) -> DataFrame:
+    """Events, failures and successes per weekday, hour and the extra keys."""
+    return (
         wh.calendar.place(wh.events_since(since))
-        .groupBy("day_of_week", "hour")
+        .groupBy("day_of_week", "hour", *keys)
         .agg(
             F.count("*").alias("events"),
             F.count_if(~F.col("success")).alias("failures"),
             F.count_if("success").alias("successes"),
         )
     )
-    return wh.calendar.with_flags(cells)
+
+
+def week_cells(wh: Warehouse, since: str | None, cells: DataFrame | None = None) -> DataFrame:
+    """Events per weekday and hour, labelled (at most 168 rows); ``cells`` may be finer ones."""
+    if cells is None:
+        found = hour_cells(wh, since)
+    else:
+        found = cells.groupBy("day_of_week", "hour").agg(
+            *[F.sum(name).alias(name) for name in ("events", "failures", "successes")]
+        )
+    return wh.calendar.with_flags(found)
 
 
 def attacks_by_hour(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
@@ -54,10 +65,11 @@ def attacks_by_hour(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     )
 
 
-def hourly_attacks(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
+def hourly_attacks(wh: Warehouse, since: str | None = FLOOR,
+                   cells: DataFrame | None = None) -> DataFrame:
     """Failures per (hour, is_business_hours, risk_period) in hour order."""
     return (
-        week_cells(wh, since)
+        week_cells(wh, since, cells)
         .filter(F.col("failures") > 0)
         .groupBy("hour", "is_business_hours", "risk_period")
         .agg(F.sum("failures").alias("attack_count"))
@@ -66,17 +78,16 @@ def hourly_attacks(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     )
 
 
-def _working_time(wh: Warehouse, since: str | None, column: str, name: str) -> DataFrame:
+def _working_time(wh: Warehouse, cells: DataFrame, column: str, name: str) -> DataFrame:
     """Per is_business_hours: events, successes, and the distinct values of a column.
 
-    Values are counted as rows of a group-by, so the two groups are only merged
-    from counts.
+    ``cells`` are hour cells with that column. Values are counted as rows of a
+    group-by, so the two groups are only merged from counts.
     """
-    placed = wh.calendar.place(wh.events_since(since))
     flag = wh.calendar.is_business_hours(F.col("day_of_week"), F.col("hour"))
     return (
-        placed.groupBy(flag.alias("is_business_hours"), column)
-        .agg(F.count("*").alias("events"), F.count_if("success").alias("successes"))
+        cells.groupBy(flag.alias("is_business_hours"), column)
+        .agg(F.sum("events").alias("events"), F.sum("successes").alias("successes"))
         .groupBy("is_business_hours")
         .agg(
             F.sum("events").alias("total_attacks"),
@@ -88,9 +99,10 @@ def _working_time(wh: Warehouse, since: str | None, column: str, name: str) -> D
 
 def business_hours_comparison(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     """All events inside and outside business hours, with the success rate."""
-    targets = _working_time(wh, since, "user_id", "unique_targets")
+    cells = computed_once(hour_cells(wh, since, "user_id", "source_ip"))
+    targets = _working_time(wh, cells, "user_id", "unique_targets")
     return (
-        _working_time(wh, since, "source_ip", "unique_attackers")
+        _working_time(wh, cells, "source_ip", "unique_attackers")
         .join(targets.select("is_business_hours", "unique_targets"), "is_business_hours")
         .select(
             "is_business_hours", "total_attacks", "unique_attackers", "unique_targets",
@@ -102,11 +114,14 @@ def business_hours_comparison(wh: Warehouse, since: str | None = FLOOR) -> DataF
     )
 
 
-def business_hours_dashboard(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
+def business_hours_dashboard(wh: Warehouse, since: str | None = FLOOR,
+                             cells: DataFrame | None = None) -> DataFrame:
     """The same two rows under a label, with the number of successes."""
+    if cells is None:
+        cells = hour_cells(wh, since, "source_ip")
     period = F.when(F.col("is_business_hours"), "Business Hours").otherwise("Off-Hours")
     return (
-        _working_time(wh, since, "source_ip", "unique_attackers")
+        _working_time(wh, cells, "source_ip", "unique_attackers")
         .select(
             period.alias("period"), "total_attacks", "unique_attackers", "successful_attempts"
         )
@@ -114,10 +129,11 @@ def business_hours_dashboard(wh: Warehouse, since: str | None = FLOOR) -> DataFr
     )
 
 
-def day_of_week_pattern(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
+def day_of_week_pattern(wh: Warehouse, since: str | None = FLOOR,
+                        cells: DataFrame | None = None) -> DataFrame:
     """Events, failures and successes per weekday, Sunday first."""
     return (
-        week_cells(wh, since)
+        week_cells(wh, since, cells)
         .groupBy("day_name", "is_weekend", "day_of_week")
         .agg(
             F.sum("events").alias("event_count"),
@@ -129,8 +145,9 @@ def day_of_week_pattern(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     )
 
 
-def day_of_week_dashboard(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    return day_of_week_pattern(wh, since).drop("successful_logins")
+def day_of_week_dashboard(wh: Warehouse, since: str | None = FLOOR,
+                          cells: DataFrame | None = None) -> DataFrame:
+    return day_of_week_pattern(wh, since, cells).drop("successful_logins")
 
 
 def high_risk_period_attacks(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:

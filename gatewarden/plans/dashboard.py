@@ -21,6 +21,7 @@ from gatewarden.operators.scenarios import pair_rollup, scenario_classification
 from gatewarden.operators.temporal import (
     business_hours_dashboard,
     day_of_week_dashboard,
+    hour_cells,
     hourly_attacks,
 )
 from gatewarden.sources.warehouse import Warehouse
@@ -33,7 +34,11 @@ TEMPORAL_KEY = "temporal_analysis"
 
 def dashboard_records(wh: Warehouse, since: str | None = FLOOR, temporal: bool = False,
                       rollup: DataFrame | None = None) -> DataFrame:
-    """→ section, section_no, rank (orders a section), record (JSON text)."""
+    """→ section, section_no, rank (orders a section), record (JSON text).
+
+    The events are read at most three times: for the (user, address) rollup,
+    the attacked hosts, and the hours. Actors have one record per account.
+    """
     if rollup is None:
         rollup = computed_once(pair_rollup(wh, since))
     frames = {
@@ -43,8 +48,11 @@ def dashboard_records(wh: Warehouse, since: str | None = FLOOR, temporal: bool =
             [_down(F.col("event_count")), F.col("scenario")],
         ),
         "threat_actors": (
-            rate_actors(_actor_cells(wh, rollup)),
-            [_down(F.col("successful")), _down(F.col("total_attempts")), F.col("ip_address")],
+            rate_actors(computed_once(_actor_cells(wh, rollup))),
+            [
+                _down(F.col("successful")), _down(F.col("total_attempts")), F.col("ip_address"),
+                F.col("username"),
+            ],
         ),
         "critical_assets": (
             critical_assets_dashboard(wh, since),
@@ -53,13 +61,15 @@ def dashboard_records(wh: Warehouse, since: str | None = FLOOR, temporal: bool =
     }
     if temporal:
         day_number = F.array_position(F.array(*map(F.lit, DAYS)), F.col("day_name"))
+        # One pass feeds all three sections.
+        cells = computed_once(hour_cells(wh, since, "source_ip"))
         frames |= {
             "hourly_attacks": (
-                hourly_attacks(wh, since),
+                hourly_attacks(wh, since, cells),
                 [_up(F.col("hour")), _up(F.col("is_business_hours").cast("int"))],
             ),
-            "business_hours": (business_hours_dashboard(wh, since), [F.col("period")]),
-            "day_of_week": (day_of_week_dashboard(wh, since), [_up(day_number)]),
+            "business_hours": (business_hours_dashboard(wh, since, cells), [F.col("period")]),
+            "day_of_week": (day_of_week_dashboard(wh, since, cells), [_up(day_number)]),
         }
     parts = [
         _records(frame, number, section, order)
@@ -89,8 +99,10 @@ def _summary(rollup: DataFrame) -> DataFrame:
 
 
 def _actor_cells(wh: Warehouse, rollup: DataFrame) -> DataFrame:
-    return rollup.filter(F.col("is_external") & (F.col("events") > 0)).join(
-        wh.users.select("user_id", "username"), "user_id"
+    return (
+        rollup.filter(F.col("is_external") & (F.col("events") > 0))
+        .join(wh.users.select("user_id", "username"), "user_id")
+        .select("source_ip", "username", "events", "successes", "failures")
     )
 
 

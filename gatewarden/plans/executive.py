@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatewarden.functions.members import with_group_counts
 from gatewarden.functions.numbers import percent
 from gatewarden.functions.shared import computed_once
-from gatewarden.functions.text import joined, joined_members, minute_stamp
+from gatewarden.functions.text import minute_stamp
 from gatewarden.operators import FLOOR
 from gatewarden.operators.scenarios import pair_rollup
 from gatewarden.plans import executive_texts as T
@@ -27,22 +28,25 @@ def executive_dashboard(wh: Warehouse, since: str | None = FLOOR,
                         rollup: DataFrame | None = None) -> DataFrame:
     """→ category, metric, value, details, severity.
 
-    Six parts: four read the (user, address) rollup, two scan the host and the
-    time column of recent failures. Each part yields all its rows from one
-    aggregate.
+    The events are read twice: for the (user, address) rollup, and for recent
+    failures per host and day. Rows that name several addresses or accounts
+    come once per name, with the same metric and value.
     """
     if rollup is None:
         rollup = computed_once(pair_rollup(wh, since))
+    failures = computed_once(_host_days(wh, since))
     parts = [
-        _address_rows(rollup),
-        _user_rows(wh, rollup),
-        _brute_force_row(wh, rollup),
+        *_address_rows(rollup),
+        *_user_rows(wh, rollup),
+        _brute_force_rows(wh, rollup),
         _actor_rows(wh, rollup),
-        _host_rows(wh, since),
-        _peak_day_row(wh, since),
+        _host_rows(wh, failures),
+        _peak_day_row(failures),
     ]
     rank = F.array_position(F.array(*map(F.lit, T.CATEGORIES)), F.col("category"))
-    return reduce(DataFrame.unionByName, parts).orderBy(rank, "category", "metric")
+    return reduce(DataFrame.unionByName, parts).orderBy(
+        rank, "category", "metric", "details"
+    )
 
 
 def _line(category: str, metric: str | Column, value: Column, details: str | Column,
@@ -64,13 +68,24 @@ def _lines(aggregate: DataFrame, *lines: Column) -> DataFrame:
     return aggregate.select(F.inline(F.array(*lines))).filter(F.col("metric").isNotNull())
 
 
+def _listed(members: DataFrame, number: int, category: str, metric: str, unit: str,
+            severity: str) -> DataFrame:
+    """One row per ``member`` text, the number repeated; one without details if there are none."""
+    def line(details: Column) -> Column:
+        return _line(category, metric, F.lit(f"{number} {unit}"), details, severity)
+
+    if not number:
+        return members.sparkSession.range(1).select(F.inline(F.array(line(F.lit(None)))))
+    return members.select(F.inline(F.array(line(F.col("member")))))
+
+
 def _count(number: Column, unit: str) -> Column:
     return F.concat(F.coalesce(number, F.lit(0)).cast("string"), F.lit(f" {unit}"))
 
 
-def _address_rows(rollup: DataFrame) -> DataFrame:
+def _address_rows(rollup: DataFrame) -> list[DataFrame]:
     """Everything that counts events or addresses."""
-    per_address = (
+    per_address = computed_once(
         rollup.filter(F.col("events") > 0)
         .groupBy("source_ip", "is_external")
         .agg(
@@ -96,8 +111,6 @@ def _address_rows(rollup: DataFrame) -> DataFrame:
         F.max("last_failure").alias("last_failure"),
         F.count_if(external).alias("external"),
         F.count_if(external & (F.col("failures") > 0)).alias("to_block"),
-        F.count_if(sprays).alias("sprays"),
-        F.collect_list(F.when(sprays, spray_text)).alias("spray_texts"),
         F.min_by(
             F.struct("source_ip", "events", "successes", "users"),
             F.when(external, F.struct(-F.col("successes"), -F.col("events"), "source_ip")),
@@ -107,7 +120,11 @@ def _address_rows(rollup: DataFrame) -> DataFrame:
         F.coalesce(name, F.lit(0)) for name in ("failures", "successes", "events")
     )
     worst = F.col("worst")
-    return _lines(
+    spraying = computed_once(per_address.filter(sprays).select(spray_text.alias("member")))
+    listed = _listed(
+        spraying, spraying.count(), T.INCIDENTS, T.SPRAYING_DETECTED, T.ATTACKS, T.RED
+    )
+    return [listed, _lines(
         totals,
         _line(T.OVERALL, T.TOTAL_EVENTS, _count(events, T.EVENTS), "", ""),
         _line(T.OVERALL, T.FAILED_LOGINS, _count(failures, T.ATTEMPTS),
@@ -118,8 +135,6 @@ def _address_rows(rollup: DataFrame) -> DataFrame:
         _line(T.OVERALL, T.EXTERNAL_SOURCES, _count(F.col("external"), T.SOURCES),
               T.NOT_INTERNAL,
               F.when(F.col("external") > EXTERNAL_RED, T.RED).otherwise(T.YELLOW)),
-        _line(T.INCIDENTS, T.SPRAYING_DETECTED,
-              _count(F.col("sprays"), T.ATTACKS), joined(F.col("spray_texts")), T.RED),
         _line(T.TOP_THREATS, F.concat(F.lit(T.MOST_DANGEROUS_IP), worst["source_ip"]),
               F.concat(_count(worst["events"], "attack(s) ("),
                        _count(worst["successes"], "succeeded)")),
@@ -130,10 +145,10 @@ def _address_rows(rollup: DataFrame) -> DataFrame:
               T.LAST_FAILED_LOGIN, T.PIN),
         _line(T.RECOMMENDATIONS, T.IPS_TO_BLOCK, _count(F.col("to_block"), T.ADDRESSES),
               T.FAILED_EXTERNAL, T.ORANGE),
-    )
+    )]
 
 
-def _user_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
+def _user_rows(wh: Warehouse, rollup: DataFrame) -> list[DataFrame]:
     """Everything that counts users; only the named rows need the dimension."""
     per_user = rollup.groupBy("user_id").agg(
         F.sum("events").alias("events"),
@@ -142,13 +157,15 @@ def _user_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
             (F.col("ever_failed") >= BRUTE_FAILURES) & (F.col("ever_succeeded") > 0)
         ).alias("compromised"),
     )
-    named = per_user.join(wh.users, "user_id", "left")
+    named = computed_once(
+        per_user.join(
+            wh.users.select("user_id", "username", "department", "is_privileged"), "user_id", "left"
+        )
+    )
     privileged = F.coalesce("is_privileged", F.lit(False))
     admin = privileged & (F.col("events") > 0)
     attacked = F.col("username").isNotNull() & (F.col("failures") > 0)
     totals = named.agg(
-        F.count_if(admin).alias("admins"),
-        F.collect_list(F.when(admin, F.col("username"))).alias("admin_names"),
         F.min_by(
             F.struct("username", "department", privileged.alias("privileged"), "failures"),
             F.when(attacked, F.struct(-F.col("failures"), "username")),
@@ -157,10 +174,12 @@ def _user_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
         F.count_if(F.col("failures") >= TRAINING_FAILURES).alias("to_train"),
     )
     target = F.col("target")
-    return _lines(
+    admins = named.filter(admin).select(F.col("username").alias("member"))
+    listed = _listed(
+        admins, admins.count(), T.OVERALL, T.PRIVILEGED_ACTIVE, T.ACCOUNTS, T.LOCK
+    )
+    return [listed, _lines(
         totals,
-        _line(T.OVERALL, T.PRIVILEGED_ACTIVE, _count(F.col("admins"), T.ACCOUNTS),
-              joined(F.col("admin_names")), T.LOCK),
         _line(T.TOP_THREATS, F.concat(F.lit(T.MOST_ATTACKED_USER), target["username"]),
               _count(target["failures"], T.ATTACKS),
               F.concat(target["department"],
@@ -171,39 +190,38 @@ def _user_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
               T.RESET_PASSWORDS, T.RED),
         _line(T.RECOMMENDATIONS, T.USERS_TO_TRAIN, _count(F.col("to_train"), T.USERS),
               T.SUSPICIOUS_USERS, T.YELLOW),
-    )
+    )]
 
 
-def _brute_force_row(wh: Warehouse, rollup: DataFrame) -> DataFrame:
-    """Users with enough failures and any success from the same address."""
-    pairs = rollup.filter((F.col("failures") >= BRUTE_FAILURES) & (F.col("successes") > 0)).join(
-        wh.users.select("user_id", "username"), "user_id"
-    )
-    totals = pairs.agg(
-        F.countDistinct("user_id").alias("users"),
-        F.collect_list(F.concat("username", F.lit(" from "), "source_ip")).alias("entries"),
-    )
-    return _lines(
-        totals,
-        _line(T.INCIDENTS, T.SUCCESSFUL_BRUTE, _count(F.col("users"), T.BRUTES),
-              joined(F.col("entries"), "; "), T.RED),
+def _brute_force_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
+    """Users with enough failures and any success from the same address; a row per pair."""
+    pairs = computed_once(
+        rollup.filter((F.col("failures") >= BRUTE_FAILURES) & (F.col("successes") > 0))
+        .join(wh.users.select("user_id", "username"), "user_id")
+        .select("user_id", F.concat("username", F.lit(" from "), "source_ip").alias("member"))
     )
+    users = pairs.select("user_id").distinct().count()
+    return _listed(pairs, users, T.INCIDENTS, T.SUCCESSFUL_BRUTE, T.BRUTES, T.RED)
 
 
 def _actor_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
-    """One row per external address."""
-    actors = (
+    """One row per external address and account."""
+    cells = computed_once(
         rollup.filter(F.col("is_external") & (F.col("events") > 0))
         .join(wh.users.select("user_id", "username"), "user_id")
-        .groupBy("source_ip")
-        .agg(
+        .select("source_ip", "username", "events", "failures", "successes")
+    )
+    groups = computed_once(
+        cells.groupBy("source_ip").agg(
             F.sum("events").alias("events"),
             F.sum("failures").alias("failures"),
             F.sum("successes").alias("successes"),
             F.count("*").alias("users"),
-            joined_members(F.col("username")).alias("names"),
         )
     )
+    actors = with_group_counts(
+        cells.select("source_ip", "username"), groups, ["source_ip"], "users", "username"
+    )
     succeeded = F.col("successes") > 0
     verdict = (
         F.when(succeeded & (F.col("failures") >= BRUTE_FAILURES), T.ACTOR_BRUTE_FORCE)
@@ -214,17 +232,28 @@ def _actor_rows(wh: Warehouse, rollup: DataFrame) -> DataFrame:
     return _lines(
         actors,
         _line(T.ACTORS, F.col("source_ip"), _count(F.col("events"), T.ATTEMPTS),
-              F.col("names"), verdict),
+              F.col("username"), verdict),
     )
 
 
-def _host_rows(wh: Warehouse, since: str | None) -> DataFrame:
-    """Failures per host, from the host column of the fact table."""
-    per_host = (
+def _host_days(wh: Warehouse, since: str | None) -> DataFrame:
+    """Recent failures per host, which may be unknown, and day."""
+    return (
         wh.events_since(since)
-        .filter(~F.col("success") & F.col("dest_host_id").isNotNull())
-        .groupBy(F.col("dest_host_id").alias("host_id"))
+        .filter(~F.col("success"))
+        .groupBy(
+            F.col("dest_host_id").alias("host_id"), F.to_date("event_timestamp").alias("day")
+        )
         .agg(F.count("*").alias("failures"))
+    )
+
+
+def _host_rows(wh: Warehouse, host_days: DataFrame) -> DataFrame:
+    """Failures per known host."""
+    per_host = (
+        host_days.filter(F.col("host_id").isNotNull())
+        .groupBy("host_id")
+        .agg(F.sum("failures").alias("failures"))
         .join(wh.hosts, "host_id")
     )
     critical = F.coalesce(F.col("asset_criticality") == "CRITICAL", F.lit(False))
@@ -251,13 +280,11 @@ def _host_rows(wh: Warehouse, since: str | None) -> DataFrame:
     )
 
 
-def _peak_day_row(wh: Warehouse, since: str | None) -> DataFrame:
+def _peak_day_row(host_days: DataFrame) -> DataFrame:
     """The day with the most failures, the earliest on a tie."""
     per_day = (
-        wh.events_since(since)
-        .filter(~F.col("success"))
-        .groupBy(F.to_date("event_timestamp").alias("day"))
-        .agg(F.count("*").alias("failures"))
+        host_days.groupBy("day")
+        .agg(F.sum("failures").alias("failures"))
         .orderBy(F.desc("failures"), "day")
         .limit(1)
     )

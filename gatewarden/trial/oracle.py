@@ -50,9 +50,10 @@ hours AS (
          CAST(hour(h) AS INTEGER) AS hour, CAST(0 AS INTEGER) AS minute,
          dayofweek(h) IN (0, 6) AS is_weekend,
          dayofweek(h) NOT IN (0, 6) AND hour(h) >= 8 AND hour(h) <= 17 AS is_business_hours,
-         hour(h) NOT BETWEEN 6 AND 21 AS is_night_shift,
-         CASE WHEN dayofweek(h) IN (0, 6) OR hour(h) NOT BETWEEN 6 AND 21 THEN 'HIGH_RISK'
-              WHEN hour(h) BETWEEN 8 AND 17 THEN 'NORMAL' ELSE 'MEDIUM_RISK' END AS risk_period
+         hour(h) >= 22 OR hour(h) < 6 AS is_night_shift,
+         CASE WHEN dayofweek(h) IN (0, 6) OR hour(h) >= 22 OR hour(h) < 6 THEN 'HIGH_RISK'
+              WHEN hour(h) IN (6, 7) OR hour(h) BETWEEN 18 AND 21 THEN 'MEDIUM_RISK'
+              ELSE 'NORMAL' END AS risk_period
   FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
                                       TIMESTAMP '2024-12-31 23:00:00', INTERVAL 1 HOUR)) AS h)
 )
@@ -80,13 +81,15 @@ GROUP BY ALL HAVING count(*) >= {threshold}
 
 def _spray(events: str, threshold: int = 5, extra: str = "") -> str:
     return _sql(f"""
-SELECT source_ip, count(DISTINCT user_id) AS users_targeted, count(*) AS total_attempts,
-       min(event_timestamp) AS attack_start, max(event_timestamp) AS attack_end,
-       string_agg(DISTINCT username, ', ' ORDER BY username) AS targeted_accounts
-FROM {events} JOIN users USING (user_id)
-WHERE NOT success {extra}
-GROUP BY source_ip HAVING count(DISTINCT user_id) >= {threshold}
-""")
+SELECT sprayers.*, username AS targeted_account
+FROM sprayers JOIN (SELECT DISTINCT source_ip, username FROM failed) USING (source_ip)
+""", f"""
+failed AS (SELECT * FROM {events} JOIN users USING (user_id) WHERE NOT success {extra}),
+sprayers AS (
+  SELECT source_ip, count(DISTINCT user_id) AS users_targeted, count(*) AS total_attempts,
+         min(event_timestamp) AS attack_start, max(event_timestamp) AS attack_end
+  FROM failed GROUP BY source_ip HAVING count(DISTINCT user_id) >= {threshold}
+)""")
 
 
 _STREAKS = """
@@ -114,27 +117,34 @@ JOIN users u ON u.user_id = s.user_id
 _HIGH_VALUE = """
 hits AS (
   SELECT * FROM {events} e JOIN hosts h ON h.host_id = e.dest_host_id
-  WHERE NOT success AND asset_criticality <> 'MEDIUM' AND asset_criticality <> 'LOW'
+  WHERE NOT success AND asset_criticality IN ('CRITICAL', 'HIGH')
 )"""
 
 
 def _asset_attacks(count_name: str) -> str:
-    return _sql(f"""
-SELECT hostname, asset_criticality, location, username, is_privileged,
-       count(*) AS {count_name}, count(DISTINCT source_ip) AS unique_attackers,
-       string_agg(DISTINCT source_ip, ', ' ORDER BY source_ip) AS attacker_ips
-FROM hits JOIN users USING (user_id)
-GROUP BY hostname, asset_criticality, location, username, is_privileged
-""", _HIGH_VALUE.format(events="recent"))
+    return _sql("""
+SELECT groups.*, source_ip AS attacker_ip
+FROM groups JOIN (SELECT DISTINCT hostname, username, source_ip FROM known)
+  USING (hostname, username)
+""", _HIGH_VALUE.format(events="recent"), f"""
+known AS (SELECT * FROM hits JOIN users USING (user_id)),
+groups AS (
+  SELECT hostname, asset_criticality, location, username, is_privileged,
+         count(*) AS {count_name}, count(DISTINCT source_ip) AS unique_attackers
+  FROM known GROUP BY hostname, asset_criticality, location, username, is_privileged
+)""")
 
 
 def _asset_hunt(events: str) -> str:
     return _sql("""
-SELECT hostname, asset_criticality, location, count(*) AS attack_count,
-       count(DISTINCT source_ip) AS unique_attackers,
-       string_agg(DISTINCT source_ip, ', ' ORDER BY source_ip) AS attacker_ips
-FROM hits GROUP BY hostname, asset_criticality, location
-""", _HIGH_VALUE.format(events=events))
+SELECT groups.*, source_ip AS attacker_ip
+FROM groups JOIN (SELECT DISTINCT hostname, source_ip FROM hits) USING (hostname)
+""", _HIGH_VALUE.format(events=events), """
+groups AS (
+  SELECT hostname, asset_criticality, location, count(*) AS attack_count,
+         count(DISTINCT source_ip) AS unique_attackers
+  FROM hits GROUP BY hostname, asset_criticality, location
+)""")
 
 
 def _audit(events: str, host_join: str, extra: str = "") -> str:
@@ -183,26 +193,28 @@ _ACTORS = """
 actors AS (
   SELECT source_ip AS ip_address, count(*) AS total_attempts,
          count(*) FILTER (success) AS successful, count(*) FILTER (NOT success) AS failed,
-         count(DISTINCT user_id) AS users_targeted,
-         string_agg(DISTINCT username, ', ' ORDER BY username) AS usernames
+         count(DISTINCT user_id) AS users_targeted
   FROM recent JOIN users USING (user_id) WHERE is_external GROUP BY source_ip
 ),
 rated AS (
-  SELECT *, CASE WHEN successful > 0 AND failed > 2 THEN 'Critical'
-                 WHEN users_targeted > 4 THEN 'High'
-                 WHEN successful > 0 THEN 'Medium' ELSE 'Low' END AS severity
+  SELECT actors.*, username,
+         CASE WHEN successful > 0 AND failed >= 3 THEN 'Critical'
+              WHEN users_targeted >= 5 THEN 'High'
+              WHEN successful > 0 THEN 'Medium' ELSE 'Low' END AS severity
   FROM actors
+  JOIN (SELECT DISTINCT source_ip AS ip_address, username FROM recent JOIN users USING (user_id))
+    USING (ip_address)
 )"""
 
 _SCENARIOS = """
 sprayers AS (
   SELECT source_ip FROM facts WHERE NOT success
-  GROUP BY source_ip HAVING count(DISTINCT user_id) > 4
+  GROUP BY source_ip HAVING count(DISTINCT user_id) >= 5
 ),
 forced AS (
   SELECT DISTINCT user_id FROM (
     SELECT user_id FROM facts WHERE NOT success
-    GROUP BY user_id, source_ip HAVING count(*) > 2)
+    GROUP BY user_id, source_ip HAVING count(*) >= 3)
 ),
 classed AS (
   SELECT success,
@@ -210,7 +222,7 @@ classed AS (
               WHEN is_external AND user_id IN (FROM forced) THEN 'Brute Force'
               WHEN user_id = 11 THEN 'Service Account'
               WHEN NOT is_external AND dayofweek(event_timestamp) NOT IN (0, 6)
-                   AND hour(event_timestamp) >= 8 AND hour(event_timestamp) < 19
+                   AND hour(event_timestamp) BETWEEN 8 AND 18
               THEN 'Normal Activity' ELSE 'Other' END AS scenario
   FROM recent
 ),
@@ -282,10 +294,10 @@ records AS (
   FROM scenarios
   UNION ALL
   SELECT 2, 'threat_actors',
-         concat_ws('|', {_rank("-successful")}, {_rank("-total_attempts")}, ip_address),
+         concat_ws('|', {_rank("-successful")}, {_rank("-total_attempts")}, ip_address, username),
          CAST(to_json({{'ip_address': ip_address, 'total_attempts': total_attempts,
                   'successful': successful, 'failed': failed,
-                  'users_targeted': users_targeted, 'usernames': usernames,
+                  'users_targeted': users_targeted, 'username': username,
                   'severity': severity}}) AS VARCHAR)
   FROM rated
   UNION ALL
@@ -363,23 +375,18 @@ SELECT '📊 OVERALL METRICS', 'External Attack Sources', external_ips || ' sour
        'Non-internal IPs', if(external_ips > 3, '🔴', '🟡') FROM kpi
 UNION ALL
 SELECT '📊 OVERALL METRICS', 'Privileged Accounts Active',
-       count(DISTINCT user_id) || ' account(s)',
-       string_agg(DISTINCT username, ', ' ORDER BY username), '🔐'
-FROM recent JOIN users USING (user_id) WHERE is_privileged
+       count(*) OVER () || ' account(s)', username, '🔐'
+FROM (SELECT DISTINCT username FROM recent JOIN users USING (user_id) WHERE is_privileged)
 UNION ALL
-SELECT '🚨 CRITICAL INCIDENTS', 'Successful Brute', count(DISTINCT user_id) || ' brute(s)',
-       string_agg(username || ' from ' || source_ip, '; '
-                  ORDER BY username || ' from ' || source_ip), '🔴'
-FROM (SELECT user_id, source_ip FROM recent GROUP BY user_id, source_ip
-      HAVING count(*) FILTER (NOT success) > 2 AND bool_or(success))
-JOIN users USING (user_id)
+SELECT '🚨 CRITICAL INCIDENTS', 'Successful Brute',
+       (SELECT count(DISTINCT user_id) FROM brutes) || ' brute(s)',
+       username || ' from ' || source_ip, '🔴'
+FROM brutes
 UNION ALL
 SELECT '🚨 CRITICAL INCIDENTS', 'Password Spraying Attacks Detected',
-       count(*) || ' attack(s)',
-       string_agg(format('{{}} ({{}} users)', source_ip, n), ', '
-                  ORDER BY format('{{}} ({{}} users)', source_ip, n)), '🔴'
+       count(*) OVER () || ' attack(s)', format('{{}} ({{}} users)', source_ip, n), '🔴'
 FROM (SELECT source_ip, count(DISTINCT user_id) AS n FROM recent WHERE NOT success
-      GROUP BY source_ip HAVING count(DISTINCT user_id) > 4)
+      GROUP BY source_ip HAVING count(DISTINCT user_id) >= 5)
 UNION ALL
 SELECT '🚨 CRITICAL INCIDENTS', 'Attacks on CRITICAL Assets', count(*) || ' attack(s)',
        count(DISTINCT hostname) || ' servers targeted', '🔴'
@@ -413,7 +420,7 @@ UNION ALL
         count(*) || ' attack(s)', '📊'
  FROM recent WHERE NOT success GROUP BY day ORDER BY count(*) DESC, day LIMIT 1)
 UNION ALL
-SELECT '👤 THREAT ACTORS', ip_address, total_attempts || ' attempt(s)', usernames,
+SELECT '👤 THREAT ACTORS', ip_address, total_attempts || ' attempt(s)', username,
        CASE severity WHEN 'Critical' THEN '🔴 Successful Brute Force'
                      WHEN 'High' THEN '🔴 Password Spraying'
                      WHEN 'Medium' THEN '🟡 Successful External Login'
@@ -424,7 +431,7 @@ SELECT '✅ RECOMMENDATIONS', 'Immediate Actions Required',
        count(DISTINCT user_id) || ' action(s)',
        'Compromised accounts needing password reset', '🔴'
 FROM (SELECT user_id FROM facts GROUP BY user_id, source_ip
-      HAVING count(*) FILTER (NOT success) > 2 AND bool_or(success))
+      HAVING count(*) FILTER (NOT success) >= 3 AND bool_or(success))
 UNION ALL
 SELECT '✅ RECOMMENDATIONS', 'IPs to Block', count(DISTINCT source_ip) || ' IP(s)',
        'External IPs with failed attacks', '🟠'
@@ -432,8 +439,13 @@ FROM recent WHERE is_external AND NOT success
 UNION ALL
 SELECT '✅ RECOMMENDATIONS', 'Users Requiring Training', count(*) || ' user(s)',
        'Users with suspicious activity patterns', '🟡'
-FROM (SELECT user_id FROM recent WHERE NOT success GROUP BY user_id HAVING count(*) > 2)
-""", _KPI, _ACTORS, _HIGH_VALUE.format(events="recent"))
+FROM (SELECT user_id FROM recent WHERE NOT success GROUP BY user_id HAVING count(*) >= 3)
+""", _KPI, _ACTORS, _HIGH_VALUE.format(events="recent"), """
+brutes AS (
+  SELECT user_id, username, source_ip FROM recent JOIN users USING (user_id)
+  GROUP BY user_id, username, source_ip
+  HAVING count(*) FILTER (NOT success) >= 3 AND bool_or(success)
+)""")
 
 _DAYS_WITH_EVENTS = """
 span AS (SELECT CAST(min(ts) AS DATE) AS first, CAST(max(ts) AS DATE) AS last FROM events),
@@ -502,12 +514,15 @@ GROUP BY s.event_id, username, department, is_privileged, s.event_timestamp, s.s
     "critical_asset_attacks": _asset_attacks("attack_count"),
     "critical_asset_attacks_by_text": _asset_attacks("attack_attempts"),
     "critical_asset_summary": _sql("""
-SELECT hostname, asset_criticality, count(*) AS total_attacks,
-       count(DISTINCT user_id) AS users_targeted,
-       count(DISTINCT source_ip) AS unique_attackers,
-       string_agg(DISTINCT source_ip, ', ' ORDER BY source_ip) AS attacker_ips
-FROM hits JOIN users USING (user_id) GROUP BY hostname, asset_criticality
-""", _HIGH_VALUE.format(events="recent")),
+SELECT groups.*, source_ip AS attacker_ip
+FROM groups JOIN (SELECT DISTINCT hostname, source_ip FROM known) USING (hostname)
+""", _HIGH_VALUE.format(events="recent"), """
+known AS (SELECT * FROM hits JOIN users USING (user_id)),
+groups AS (
+  SELECT hostname, asset_criticality, count(*) AS total_attacks,
+         count(DISTINCT user_id) AS users_targeted, count(DISTINCT source_ip) AS unique_attackers
+  FROM known GROUP BY hostname, asset_criticality
+)"""),
     "critical_asset_hunt": _asset_hunt("recent"),
     "critical_assets_dashboard": _sql(
         "SELECT * FROM asset_counts", _HIGH_VALUE.format(events="recent"), _DASHBOARD_ASSETS

@@ -6,7 +6,7 @@ from gatewarden.operators import scenarios
 from gatewarden.plans import dashboard, executive, executive_texts
 from tests.sample_star import event, star, tuples
 
-SPRAYED = "dbaker, jsmith, kwilson, lbrown, mjones, rjohnson, schen, tgarcia"
+SPRAYED = ("dbaker", "jsmith", "kwilson", "lbrown", "mjones", "rjohnson", "schen", "tgarcia")
 SCENARIOS = [
     ("Normal Activity", 14, 5, 9), ("Other", 10, 4, 6), ("Service Account", 9, 0, 9),
     ("Password Spraying", 8, 8, 0), ("Brute Force", 5, 4, 1),
@@ -16,14 +16,16 @@ OVERALL, INCIDENTS, TOP, TIMELINE, ACTORS, ADVICE = executive_texts.CATEGORIES
 EXECUTIVE = [
     (OVERALL, "External Attack Sources", "7 source(s)", "Non-internal IPs", "🔴"),
     (OVERALL, "Failed Login Attempts", "21 attempt(s)", "45.7%", "⚠️"),
-    (OVERALL, "Privileged Accounts Active", "3 account(s)", "admin, jdoe-admin, svc-backup", "🔐"),
+    (OVERALL, "Privileged Accounts Active", "3 account(s)", "admin", "🔐"),
+    (OVERALL, "Privileged Accounts Active", "3 account(s)", "jdoe-admin", "🔐"),
+    (OVERALL, "Privileged Accounts Active", "3 account(s)", "svc-backup", "🔐"),
     (OVERALL, "Successful Logins", "25 login(s)", "54.3%", "✅"),
     (OVERALL, "Total Security Events", "46 event(s)", "", ""),
     (INCIDENTS, "Attacks on CRITICAL Assets", "10 attack(s)", "2 servers targeted", "🔴"),
     (INCIDENTS, "Password Spraying Attacks Detected", "1 attack(s)", "198.51.100.42 (8 users)",
      "🔴"),
-    (INCIDENTS, "Successful Brute", "2 brute(s)",
-     "admin from 185.220.101.47; dbaker from 10.0.3.78", "🔴"),
+    (INCIDENTS, "Successful Brute", "2 brute(s)", "admin from 185.220.101.47", "🔴"),
+    (INCIDENTS, "Successful Brute", "2 brute(s)", "dbaker from 10.0.3.78", "🔴"),
     (TOP, "Most Attacked Server: dc-corp-01", "6 attack(s)", "CRITICAL criticality", "🔴"),
     (TOP, "Most Attacked User: admin", "4 attack(s)", "IT Security (PRIVILEGED)", "🔴"),
     (TOP, "Most Dangerous IP: 203.0.113.88", "2 attack(s) (2 succeeded)", "2 user(s) targeted",
@@ -33,10 +35,12 @@ EXECUTIVE = [
     (TIMELINE, "Peak Attack Day", "2025-01-20", "10 attack(s)", "📊"),
     (ACTORS, "103.28.48.12", "1 attempt(s)", "lbrown", "🟡 Successful External Login"),
     (ACTORS, "185.220.101.47", "5 attempt(s)", "admin", "🔴 Successful Brute Force"),
-    (ACTORS, "198.51.100.42", "8 attempt(s)", SPRAYED, "🔴 Password Spraying"),
-    (ACTORS, "203.0.113.88", "2 attempt(s)", "jsmith, lbrown", "🟡 Successful External Login"),
+    *[(ACTORS, "198.51.100.42", "8 attempt(s)", name, "🔴 Password Spraying") for name in SPRAYED],
+    (ACTORS, "203.0.113.88", "2 attempt(s)", "jsmith", "🟡 Successful External Login"),
+    (ACTORS, "203.0.113.88", "2 attempt(s)", "lbrown", "🟡 Successful External Login"),
     (ACTORS, "45.142.212.61", "1 attempt(s)", "lbrown", "🟢 Blocked"),
-    (ACTORS, "67.180.93.22", "2 attempt(s)", "lbrown, mjones", "🟡 Successful External Login"),
+    (ACTORS, "67.180.93.22", "2 attempt(s)", "lbrown", "🟡 Successful External Login"),
+    (ACTORS, "67.180.93.22", "2 attempt(s)", "mjones", "🟡 Successful External Login"),
     (ACTORS, "73.241.12.56", "1 attempt(s)", "tgarcia", "🟡 Successful External Login"),
     (ADVICE, "IPs to Block", "3 IP(s)", "External IPs with failed attacks", "🟠"),
     (ADVICE, "Immediate Actions Required", "2 action(s)",
@@ -136,14 +140,17 @@ def test_dashboard_document(sample):
         "total_events": 46, "failed_logins": 21, "successful_logins": 25, "external_threats": 7
     }
     assert [tuple(row.values()) for row in content["scenarios"]] == SCENARIOS
-    assert [row["ip_address"] for row in content["threat_actors"]] == [
+    actors = content["threat_actors"]
+    assert list(dict.fromkeys(row["ip_address"] for row in actors)) == [
         "203.0.113.88", "67.180.93.22", "185.220.101.47", "103.28.48.12", "73.241.12.56",
         "198.51.100.42", "45.142.212.61",
     ]
-    assert content["threat_actors"][2] == {
+    assert [row for row in actors if row["ip_address"] == "185.220.101.47"] == [{
         "ip_address": "185.220.101.47", "total_attempts": 5, "successful": 1, "failed": 4,
-        "users_targeted": 1, "usernames": "admin", "severity": "Critical",
-    }
+        "users_targeted": 1, "username": "admin", "severity": "Critical",
+    }]
+    sprayed = [row["username"] for row in actors if row["ip_address"] == "198.51.100.42"]
+    assert tuple(sprayed) == SPRAYED
     assert [tuple(row.values()) for row in content["critical_assets"]] == [
         ("dc-corp-01", "CRITICAL", 6, 2), ("webserver-prod-01", "HIGH", 6, 3),
         ("database-prod-01", "CRITICAL", 4, 3), ("vpn-gateway", "HIGH", 4, 4),
@@ -163,6 +170,35 @@ def test_temporal_document(sample):
     ]
 
 
+class Scans:
+    """Counts the runs over a star's events: each run of a job reads a counted column."""
+
+    def __init__(self, wh):
+        self.seen = wh.spark.sparkContext.accumulator(0)
+        self.rows = wh.events.count()
+        seen = self.seen
+
+        def counted(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        self.wh = wh.with_events(wh.events.mapInArrow(counted, wh.events.schema))
+
+    @property
+    def passes(self) -> float:
+        return self.seen.value / self.rows
+
+
+def test_reports_read_the_events_few_times(sample):
+    scans = Scans(sample)
+    executive.executive_dashboard(scans.wh).collect()
+    assert scans.passes == 2
+    scans = Scans(sample)
+    dashboard.dashboard_document(scans.wh, "now", temporal=True).collect()
+    assert scans.passes == 3
+
+
 def test_document_without_events(spark):
     content = document(dashboard.dashboard_document(star(spark, events=[]), "now", temporal=True))
     assert content["summary"]["total_events"] == 0

@@ -143,6 +143,18 @@ def test_shared_results_use_the_named_folder(spark, shared_dir):
     assert len(set(folder.glob("*")) - before) == 1
 
 
+def test_shared_results_can_be_removed(spark, shared_dir):
+    folder = shared_dir / "gatewarden" / spark.sparkContext.applicationId
+    other = shared_dir / "gatewarden" / "another-application"
+    other.mkdir(parents=True, exist_ok=True)
+    shared.computed_once(spark.range(3)).count()
+    assert folder.exists()
+    assert shared.remove_shared_results(spark)
+    assert not folder.exists() and other.exists()
+    assert not shared.remove_shared_results(spark)
+    assert shared.computed_once(spark.range(3)).count() == 3
+
+
 class Session:
     """The two things ``shared_folder`` asks of a session."""
 
