@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from gatewarden.functions.clock import epoch_second
 
 
+#: Seconds of a span in which running totals are kept apart.
+SPAN = 3600
+
+
 def second_cells(events: DataFrame, *keys: str | Column, **measures: Column) -> DataFrame:
     """Events collapsed to (keys, ``second``) with the given aggregates."""
     second = epoch_second(F.col("event_timestamp")).alias("second")
@@ -78,6 +82,67 @@ def following(cells: DataFrame, keys: list[str], seconds: int, columns: list[str
     )
 
 
+def distinct_trailing(cells: DataFrame, keys: list[str], member: str, seconds: int,
+                      name: str) -> DataFrame:
+    """Per key and second of ``cells``: how many members occurred in the last ``seconds``.
+
+    → keys, ``second``, ``name``; the cell's own second counts. A member counts
+    from a cell without another in the period before, until the period after
+    its last cell is over; those beginnings and ends are added up along the
+    key's time. Work is linear in the cells, however long the period.
+    """
+    own = cells.select(*keys, member, "second").distinct().withColumn("_hit", F.lit(1))
+    linked = following(
+        trailing(own, [*keys, member], seconds, "_hit", "_before", inclusive=False),
+        [*keys, member], seconds, [],
+    )
+
+    def change(time: Column, delta: Column, asked: bool) -> Column:
+        return F.struct(
+            time.alias("second"), delta.cast("bigint").alias("_delta"), F.lit(asked).alias("_asked")
+        )
+
+    changes = linked.select(*keys, F.inline(F.array(
+        change(F.col("second"), F.when(F.col("_before") == 0, 1).otherwise(0), True),
+        change(F.col("second") + seconds + 1,
+               F.when(F.col("next_second").isNull(), -1).otherwise(0), False),
+    )))
+    steps = (
+        changes.groupBy(*keys, "second")
+        .agg(F.sum("_delta").alias("_delta"), F.bool_or("_asked").alias("_asked"))
+        .withColumn("_span", F.floor(F.col("second") / SPAN))
+    )
+    return (
+        running_total(steps, keys, "_delta", name)
+        .filter("_asked")
+        .select(*keys, "second", name)
+    )
+
+
+def running_total(steps: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``measure`` of the key up to the row's second.
+
+    ``steps`` has one row per key and second, and its ``_span``. Sums within a
+    span and sums of the spans before are taken apart, so no window holds more
+    than the seconds of a span or the spans of a key.
+    """
+    within = Window.partitionBy(*keys, "_span").orderBy("second").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (
+        steps.groupBy(*keys, "_span")
+        .agg(F.sum(measure).alias("_sum"))
+        .select(*keys, "_span", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_earlier"))
+    )
+    return (
+        steps.withColumn("_here", F.sum(measure).over(within))
+        .join(spans, [*keys, "_span"])
+        .withColumn(name, F.col("_earlier") + F.col("_here"))
+        .drop("_here", "_earlier", "_span")
+    )
+
+
 def moment(second: Column) -> Column:
     """Zone-free timestamp of a whole second."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

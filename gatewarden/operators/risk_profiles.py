@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewarden.functions.addresses import PRIVATE_NETWORKS, external_flag
+from gatewarden.functions.rolling import distinct_trailing, second_cells, trailing
 from gatewarden.functions.severity import threat_level
+from gatewarden.functions.shared import computed_once
 from gatewarden.operators import FLOOR
 from gatewarden.operators.accounts import account_activity, activity_cells
 from gatewarden.operators.brute_force import failed_pairs
@@ -119,24 +121,21 @@ def external_daily_activity(wh: Warehouse, since: str | None = FLOOR) -> DataFra
 
 def account_anomalies(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     """Accounts with at least one flag → username, level, flags (joined, most urgent first)."""
-    events = wh.events_since(since)
-    day = F.to_date("event_timestamp")
-    # one pass: addresses per hour, then events per hour roll up to days
-    hourly = (
-        events.groupBy("user_id", day.alias("day"), F.hour("event_timestamp").alias("hour"),
-                       "source_ip")
-        .agg(F.count("*").alias("events"))
-        .groupBy("user_id", "day", "hour")
-        .agg(F.sum("events").alias("events"), F.count("*").alias("addresses"))
+    # one pass for both peaks: addresses in any trailing hour, and events per day
+    cells = computed_once(
+        second_cells(wh.events_since(since), "user_id", "source_ip", seen=F.count("*"))
+    )
+    addresses = (
+        distinct_trailing(cells, ["user_id"], "source_ip", 3600, "addresses")
+        .groupBy("user_id").agg(F.max("addresses").alias("addresses_in_an_hour"))
+    )
+    days = (
+        cells.groupBy("user_id", F.floor(F.col("second") / 86400).alias("day"))
+        .agg(F.sum("seen").alias("seen"))
+        .groupBy("user_id").agg(F.max("seen").alias("busiest_day"))
     )
     peaks = (
-        hourly.groupBy("user_id", "day")
-        .agg(F.sum("events").alias("events"), F.max("addresses").alias("addresses"))
-        .groupBy("user_id")
-        .agg(
-            F.max("events").alias("busiest_day"),
-            F.max("addresses").alias("addresses_in_an_hour"),
-        )
+        addresses.join(days, "user_id")
         .join(wh.users.select("user_id", "username"), "user_id")
         .drop("user_id")
     )
@@ -171,17 +170,16 @@ def activity_spikes(wh: Warehouse, factor: float = 2.0, days: int = 30,
                     since: str | None = FLOOR) -> DataFrame:
     """Days on which a user exceeded ``factor`` times the mean of the active days before.
 
-    → username, date, events, peak_hour_events, baseline. One row per user and
-    day enters the window, so its partitions are bounded by the days kept.
+    → username, date, events, peak_hour_events (the most in an hour that ends
+    that day), baseline. One row per user and day enters the window, so its
+    partitions are bounded by the days kept.
     """
-    day = F.to_date("event_timestamp")
+    cells = second_cells(wh.events_since(since), "user_id", seen=F.count("*"))
     daily = (
-        wh.events_since(since)
-        .groupBy("user_id", day.alias("date"), F.hour("event_timestamp").alias("hour"))
-        .agg(F.count("*").alias("events"))
-        .groupBy("user_id", "date")
-        .agg(F.sum("events").alias("events"), F.max("events").alias("peak_hour_events"))
-        .withColumn("day_no", F.unix_date("date"))
+        trailing(cells, ["user_id"], 3600, "seen", "in_an_hour")
+        .groupBy("user_id", F.floor(F.col("second") / 86400).cast("int").alias("day_no"))
+        .agg(F.sum("seen").alias("events"), F.max("in_an_hour").alias("peak_hour_events"))
+        .withColumn("date", F.date_from_unix_date("day_no"))
     )
     before = Window.partitionBy("user_id").orderBy("day_no").rangeBetween(-days, -1)
     return (

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewarden.functions.clock import epoch_second, hour_of
-from gatewarden.functions.rolling import following, moment, second_cells, trailing
+from gatewarden.functions.clock import epoch_second
+from gatewarden.functions.rolling import (
+    distinct_trailing, following, moment, second_cells, trailing,
+)
 from gatewarden.functions.shared import computed_once
 from gatewarden.functions.skew import lookup_join
 from gatewarden.operators import FLOOR
@@ -58,26 +60,20 @@ def rolling_brute_force(wh: Warehouse, seconds: int = HOUR, threshold: int = 3,
 def spray_urgency(wh: Warehouse, threshold: int = 5, since: str | None = FLOOR) -> DataFrame:
     """Addresses by the most users they failed against in an hour, 24 hours and a week.
 
-    → source_ip, users_1h, users_24h, users_7d, urgency. Hours and weeks (from
-    Monday) are whole; the 24 hours slide by the hour.
+    → source_ip, users_1h, users_24h, users_7d, urgency. All three periods trail
+    each failure, in whole seconds.
     """
-    hour = F.unix_date(F.to_date("event_timestamp")) * 24 + F.hour("event_timestamp")
-    hits = (
-        wh.events_since(since)
-        .filter(~F.col("success"))
-        .select("source_ip", "user_id", hour.alias("hour_no"))
-        .distinct()
-    )
-    ends = F.sequence(F.col("hour_no"), F.col("hour_no") + 23)
-    daily = hits.select("source_ip", "user_id", F.explode(ends).alias("end")).distinct()
-    weekly = hits.select(
-        "source_ip", "user_id", F.floor((F.col("hour_no") + 72) / 168).alias("week")
-    ).distinct()
-    peaks = (
-        _peak_users(hits, "hour_no", "users_1h")
-        .join(_peak_users(daily, "end", "users_24h"), "source_ip")
-        .join(_peak_users(weekly, "week", "users_7d"), "source_ip")
-    )
+    hits = computed_once(
+        second_cells(wh.events_since(since).filter(~F.col("success")), "source_ip", "user_id",
+                     failures=F.count("*")).drop("failures")
+    )
+    peaks = None
+    for name, seconds in (("users_1h", HOUR), ("users_24h", DAY), ("users_7d", 7 * DAY)):
+        found = (
+            distinct_trailing(hits, ["source_ip"], "user_id", seconds, name)
+            .groupBy("source_ip").agg(F.max(name).alias(name))
+        )
+        peaks = found if peaks is None else peaks.join(found, "source_ip")
     urgency = (
         F.when(F.col("users_1h") >= threshold, "urgent")
         .when(F.col("users_24h") >= threshold, "high")
@@ -90,16 +86,6 @@ def spray_urgency(wh: Warehouse, threshold: int = 5, since: str | None = FLOOR)
     )
 
 
-def _peak_users(hits: DataFrame, period: str, name: str) -> DataFrame:
-    """Hits are distinct, so rows per (address, period) are users."""
-    return (
-        hits.groupBy("source_ip", period)
-        .agg(F.count("*").alias("users"))
-        .groupBy("source_ip")
-        .agg(F.max("users").alias(name))
-    )
-
-
 def brute_force_by_privilege(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
     """Brute force with a lower threshold for privileged accounts."""
     threshold = F.when(F.col("is_privileged"), PRIVILEGED_FAILURES).otherwise(REGULAR_FAILURES)
@@ -107,25 +93,34 @@ def brute_force_by_privilege(wh: Warehouse, since: str | None = FLOOR) -> DataFr
 
 
 def distributed_brute_force(wh: Warehouse, threshold: int = 3, addresses: int = 2,
-                            since: str | None = FLOOR) -> DataFrame:
-    """Users failing from several addresses within one clock hour.
+                            since: str | None = FLOOR, seconds: int = HOUR) -> DataFrame:
+    """Users failing from several addresses within any trailing hour.
 
-    → username, hour_start, failed_attempts, unique_ips.
+    → username, failed_attempts and unique_ips (the most at an alert),
+    first_alert, last_alert.
     """
+    failures = wh.events_since(since).filter(~F.col("success"))
+    cells = computed_once(second_cells(failures, "user_id", "source_ip", attempts=F.count("*")))
+    counts = trailing(
+        cells.groupBy("user_id", "second").agg(F.sum("attempts").alias("attempts")),
+        ["user_id"], seconds, "attempts", "failed_attempts",
+    )
+    reached = distinct_trailing(cells, ["user_id"], "source_ip", seconds, "unique_ips")
     return (
-        wh.events_since(since)
-        .filter(~F.col("success"))
-        .groupBy("user_id", hour_of(F.col("event_timestamp")).alias("hour_start"), "source_ip")
-        .agg(F.count("*").alias("attempts"))
-        .groupBy("user_id", "hour_start")
+        counts.join(reached, ["user_id", "second"])
+        .filter((F.col("failed_attempts") >= threshold) & (F.col("unique_ips") >= addresses))
+        .groupBy("user_id")
         .agg(
-            F.sum("attempts").alias("failed_attempts"),
-            F.count("*").alias("unique_ips"),
+            F.max("failed_attempts").alias("failed_attempts"),
+            F.max("unique_ips").alias("unique_ips"),
+            F.min("second").alias("first"), F.max("second").alias("last"),
         )
-        .filter((F.col("failed_attempts") >= threshold) & (F.col("unique_ips") >= addresses))
         .join(wh.users.select("user_id", "username"), "user_id")
-        .select("username", "hour_start", "failed_attempts", "unique_ips")
-        .orderBy(F.desc("failed_attempts"), "username", "hour_start")
+        .select(
+            "username", "failed_attempts", "unique_ips",
+            moment(F.col("first")).alias("first_alert"), moment(F.col("last")).alias("last_alert"),
+        )
+        .orderBy(F.desc("failed_attempts"), "username")
     )
 
 
@@ -197,19 +192,25 @@ def session_durations(wh: Warehouse, longest: int = DAY, since: str | None = FLO
     )
 
 
-def concurrent_addresses(wh: Warehouse, addresses: int = 2, since: str | None = FLOOR) -> DataFrame:
-    """Users seen from several addresses within one clock hour.
+def concurrent_addresses(wh: Warehouse, addresses: int = 2, since: str | None = FLOOR,
+                         seconds: int = HOUR) -> DataFrame:
+    """Users seen from several addresses within any trailing hour.
 
-    → username, hour_start, unique_ips.
+    → username, unique_ips (the most at an alert), first_alert, last_alert.
     """
+    cells = second_cells(wh.events_since(since), "user_id", "source_ip", seen=F.count("*"))
     return (
-        wh.events_since(since)
-        .select("user_id", hour_of(F.col("event_timestamp")).alias("hour_start"), "source_ip")
-        .distinct()
-        .groupBy("user_id", "hour_start")
-        .agg(F.count("*").alias("unique_ips"))
-        .filter(F.col("unique_ips") >= addresses)
+        distinct_trailing(cells, ["user_id"], "source_ip", seconds, "ips")
+        .filter(F.col("ips") >= addresses)
+        .groupBy("user_id")
+        .agg(
+            F.max("ips").alias("unique_ips"),
+            F.min("second").alias("first"), F.max("second").alias("last"),
+        )
         .join(wh.users.select("user_id", "username"), "user_id")
-        .select("username", "hour_start", "unique_ips")
-        .orderBy(F.desc("unique_ips"), "username", "hour_start")
+        .select(
+            "username", "unique_ips",
+            moment(F.col("first")).alias("first_alert"), moment(F.col("last")).alias("last_alert"),
+        )
+        .orderBy(F.desc("unique_ips"), "username")
     )

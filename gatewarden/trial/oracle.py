@@ -579,7 +579,7 @@ GROUP BY username, department, is_privileged
 """),
     "hourly_heatmap": _sql(f"""
 SELECT day_name, hour, count(*) AS attack_count,
-       CASE WHEN count(*) > 4 THEN 'CRITICAL' WHEN count(*) > 2 THEN 'HIGH'
+       CASE WHEN count(*) >= 5 THEN 'CRITICAL' WHEN count(*) >= 3 THEN 'HIGH'
             ELSE 'MEDIUM' END AS severity
 FROM {_TIMED} WHERE NOT success GROUP BY day_name, hour
 """),
@@ -681,13 +681,21 @@ profile AS (
   GROUP BY ALL
 )"""
 
+_TRAILING_HOUR = """
+stamped AS (SELECT *, date_trunc('second', event_timestamp) AS s FROM {events}),
+rolling_hour AS (
+  SELECT e.user_id, e.s, count(*) AS n, count(DISTINCT h.source_ip) AS ips
+  FROM (SELECT DISTINCT user_id, s FROM stamped) e
+  JOIN stamped h ON h.user_id = e.user_id AND h.s BETWEEN e.s - INTERVAL 3600 SECONDS AND e.s
+  GROUP BY e.user_id, e.s
+)"""
+
 _PEAKS = """
 peaks AS (
   SELECT user_id,
          (SELECT max(n) FROM (SELECT count(*) AS n FROM recent r WHERE r.user_id = u.user_id
                               GROUP BY CAST(event_timestamp AS DATE))) AS busiest_day,
-         (SELECT max(n) FROM (SELECT count(DISTINCT source_ip) AS n FROM recent r
-                              WHERE r.user_id = u.user_id GROUP BY hour_start)) AS hour_ips
+         (SELECT max(ips) FROM rolling_hour t WHERE t.user_id = u.user_id) AS hour_ips
   FROM (SELECT DISTINCT user_id FROM recent) u
 ),
 found AS (
@@ -709,8 +717,7 @@ daily AS (
   FROM recent GROUP BY ALL
 ),
 busy_hours AS (
-  SELECT user_id, CAST(hour_start AS DATE) AS date, max(n) AS peak_hour_events
-  FROM (SELECT user_id, hour_start, count(*) AS n FROM recent GROUP BY ALL) GROUP BY ALL
+  SELECT user_id, CAST(s AS DATE) AS date, max(n) AS peak_hour_events FROM rolling_hour GROUP BY ALL
 ),
 with_mean AS (
   SELECT *, avg(events) OVER (PARTITION BY user_id ORDER BY date
@@ -745,16 +752,17 @@ FROM (
   FROM spans GROUP BY source_ip)
 WHERE greatest(users_1h, users_24h, users_7d) >= 3
 """, """
-hits AS (SELECT source_ip, user_id, hour_start FROM recent WHERE NOT success),
+hits AS (
+  SELECT DISTINCT source_ip, user_id, date_trunc('second', event_timestamp) AS s
+  FROM recent WHERE NOT success
+),
 spans AS (
-  SELECT '1h' AS period, source_ip, hour_start AS span, count(DISTINCT user_id) AS n
-  FROM hits GROUP BY ALL
-  UNION ALL
-  SELECT '24h', source_ip, hour_start + to_hours(o), count(DISTINCT user_id)
-  FROM hits, range(24) AS offsets(o) GROUP BY ALL
-  UNION ALL
-  SELECT '7d', source_ip, date_trunc('week', hour_start), count(DISTINCT user_id)
-  FROM hits GROUP BY ALL
+  SELECT period, e.source_ip, e.s, count(DISTINCT h.user_id) AS n
+  FROM (SELECT DISTINCT source_ip, s FROM hits) e
+  CROSS JOIN (VALUES ('1h', 3600), ('24h', 86400), ('7d', 604800)) AS periods(period, seconds)
+  JOIN hits h ON h.source_ip = e.source_ip
+             AND h.s BETWEEN e.s - to_seconds(seconds) AND e.s
+  GROUP BY ALL
 )"""),
     "brute_force_by_privilege": _sql("""
 SELECT username, department, is_privileged, count(*) AS failed_attempts, source_ip,
@@ -763,11 +771,10 @@ FROM recent JOIN users USING (user_id) WHERE NOT success
 GROUP BY ALL HAVING count(*) >= if(is_privileged, 2, 5)
 """),
     "distributed_brute_force": _sql("""
-SELECT username, hour_start, count(*) AS failed_attempts,
-       count(DISTINCT source_ip) AS unique_ips
-FROM recent JOIN users USING (user_id) WHERE NOT success
-GROUP BY username, hour_start HAVING count(*) >= 2 AND count(DISTINCT source_ip) >= 2
-"""),
+SELECT username, max(n) AS failed_attempts, max(ips) AS unique_ips,
+       min(s) AS first_alert, max(s) AS last_alert
+FROM rolling_hour JOIN users USING (user_id) WHERE n >= 2 AND ips >= 2 GROUP BY username
+""", _TRAILING_HOUR.format(events="recent WHERE NOT success")),
     "logins_after_recent_failures": _sql("""
 SELECT username, s.source_ip, s.event_timestamp AS successful_login_time,
        count(*) AS recent_failures
@@ -818,24 +825,23 @@ SELECT username, array_to_string(f, ', ') AS flags,
        CASE WHEN f[1] IN ('under_attack', 'many_addresses', 'wide_access') THEN 'CRITICAL'
             WHEN f[1] = 'predictable' THEN 'INFORMATIONAL' ELSE 'MODERATE' END AS level
 FROM found WHERE len(f) > 0
-""", _PROFILE, _PEAKS),
+""", _PROFILE, _TRAILING_HOUR.format(events="recent"), _PEAKS),
     "session_durations": _sql("""
 SELECT username, hostname, s AS session_start, date_diff('second', s, next_s) AS duration_seconds
 FROM paired JOIN users USING (user_id) JOIN hosts ON host_id = dest_host_id
 WHERE opened AND next_closed AND date_diff('second', s, next_s) <= 86400
 """, _SESSIONS),
     "concurrent_addresses": _sql("""
-SELECT username, hour_start, count(DISTINCT source_ip) AS unique_ips
-FROM recent JOIN users USING (user_id) GROUP BY username, hour_start
-HAVING count(DISTINCT source_ip) > 1
-"""),
+SELECT username, max(ips) AS unique_ips, min(s) AS first_alert, max(s) AS last_alert
+FROM rolling_hour JOIN users USING (user_id) WHERE ips >= 2 GROUP BY username
+""", _TRAILING_HOUR.format(events="recent")),
     # the trial tables hold no address in the other private networks
     "external_ip_summary_private_ranges": _external("recent", "LEFT"),
     "activity_spikes": _sql("""
 SELECT username, date, events, peak_hour_events, baseline
 FROM with_mean JOIN busy_hours USING (user_id, date) JOIN users USING (user_id)
 WHERE events > 2 * baseline
-""", _DAILY),
+""", _TRAILING_HOUR.format(events="recent"), _DAILY),
     "peer_comparison": _sql("""
 SELECT username, department, hosts_reached AS unique_hosts_accessed,
        avg(hosts_reached) OVER (PARTITION BY department) AS department_mean
@@ -875,7 +881,7 @@ SELECT username, department, count(DISTINCT host_id) AS hosts_reached,
        CAST(count(DISTINCT asset_criticality) AS INTEGER) AS criticality_levels,
        string_agg(DISTINCT asset_criticality, ', ' ORDER BY asset_criticality) AS criticalities
 FROM recent e JOIN users USING (user_id) JOIN hosts h ON h.host_id = e.dest_host_id
-WHERE success AND department <> 'MACHINERY'
+WHERE success AND department IS DISTINCT FROM 'MACHINERY'
 GROUP BY username, department
 HAVING count(DISTINCT host_id) > 9 OR count(DISTINCT asset_criticality) >= 5
 """),

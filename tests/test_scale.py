@@ -266,3 +266,41 @@ def test_adaptive_execution_splits_a_hot_user(spark):
         assert audit.count() == 4000
         audit.collect()
         assert "skew=true" in plan_of(audit)
+
+
+def test_distinct_trailing_equals_brute_force(spark):
+    dice = random.Random(11)
+    rows = [
+        (dice.randint(1, 3), f"m{dice.randint(1, 6)}", dice.randint(0, 60_000)) for _ in range(400)
+    ]
+    rows += [(1, "m1", 100), (1, "m1", 100 + 3600), (1, "m2", 100 + 3601), (1, "m3", 7200)]
+    cells = spark.createDataFrame(rows, "k int, m string, second bigint")
+    for seconds in (10, 3600, 86400):
+        found = {
+            (r["k"], r["second"]): r["n"]
+            for r in rolling.distinct_trailing(cells, ["k"], "m", seconds, "n").collect()
+        }
+        expected = {
+            (k, s): len({m for key, m, t in rows if key == k and s - seconds <= t <= s})
+            for k, _, s in rows
+        }
+        assert found == expected
+
+
+def test_attacks_across_the_full_hour_are_found(spark):
+    from gatewarden.operators import risk_profiles, rolling_attacks
+
+    rows = [
+        event(n, 1, 1, f"10.0.0.{n}", "F", f"2025-01-20 {clock}")
+        for n, clock in enumerate(("09:50:00", "09:55:00", "10:00:00", "10:05:00", "10:10:00"), 1)
+    ]
+    rows += [event(10 + n, n, 2, "10.9.9.9", "F", f"2025-01-20 {9 + n // 4:02d}:{50 if n < 4 else 10}:00")
+             for n in range(1, 7)]
+    wh = star(spark, events=rows)
+    found = rolling_attacks.distributed_brute_force(wh, threshold=5, addresses=5).first()
+    assert (found["username"], found["failed_attempts"], found["unique_ips"]) == ("jsmith", 6, 6)
+    assert rolling_attacks.concurrent_addresses(wh, addresses=5).first()["username"] == "jsmith"
+    urgent = rolling_attacks.spray_urgency(wh, threshold=6).first()
+    assert (urgent["source_ip"], urgent["users_1h"], urgent["urgency"]) == ("10.9.9.9", 6, "urgent")
+    flags = {r["username"]: r["flags"] for r in risk_profiles.account_anomalies(wh).collect()}
+    assert "many_addresses" in flags["jsmith"]
