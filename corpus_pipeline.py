@@ -26,8 +26,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier and their sites' rates call good."""
-    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that the classifier and their sites' rates call good.
+
+    It learns from the whole table: the rules may have dropped all bad examples.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return good_documents(docs, labels, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

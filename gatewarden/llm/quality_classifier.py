@@ -165,12 +165,16 @@ def _logit(p: Column) -> Column:
 
 
 def hierarchical_quality(
-    docs: DataFrame, labels: DataFrame, site: Column | None = None, path: Column | None = None
+    docs: DataFrame, labels: DataFrame, site: Column | None = None, path: Column | None = None,
+    training: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, text_key, site, path, evidence, prior, p_quality and kept."""
+    """One row per document: doc_id, text_key, site, path, evidence, prior, p_quality and kept.
+
+    The classifier is fitted on labelled documents of ``training`` (``docs`` by default).
+    """
     site = site_of(F.col("source")) if site is None else site
     path = path_of(F.col("source"), F.col("lang")) if path is None else path
-    model = learn_classifier(docs, labels)
+    model = learn_classifier(docs if training is None else training, labels)
 
     @F.arrow_udf("double")
     def probability(texts: pa.Array) -> pa.Array:
@@ -223,11 +227,15 @@ def op2_quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return hierarchical_quality(docs, labels).drop("text_key")
 
 
-def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier keeps, columns unchanged."""
+def good_documents(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
+    """The documents that the classifier keeps, columns unchanged.
+
+    Where an earlier stage has dropped what one class has, ``training`` names the
+    documents that have both.
+    """
     site, path = site_of(F.col("source")), path_of(F.col("source"), F.col("lang"))
     id_, key, site_, path_ = unused_names(docs.columns, "kept_id", "kept_key", "kept_site", "kept_path")
-    kept = hierarchical_quality(docs, labels, site, path).where("kept").select(
+    kept = hierarchical_quality(docs, labels, site, path, training).where("kept").select(
         F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("site").alias(site_), F.col("path").alias(path_)
     )
     same = (

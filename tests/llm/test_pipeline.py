@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 import __spark_entry__ as contract
 from gatewarden.llm import registered
@@ -59,6 +61,17 @@ def test_stages(spark, tmp_path):
     assert found <= fewest * 1.03 + 1
 
 
+def test_the_classifier_learns_what_the_rules_dropped(spark):
+    """Its stage rejects junk of its own input, though that has no bad label left."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = spark.read.parquet(f"{SF}/labels.parquet")
+    bad = docs.join(known.where("quality = 0").select("doc_id"), "doc_id", "left_semi")
+    good = docs.join(known.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    junk = bad.withColumn("doc_id", F.col("doc_id") + 1_000_000)  # the same texts, unlabelled
+    kept = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, good.union(junk), SF).collect()}
+    assert kept == {r.doc_id for r in good.collect()}
+
+
 def test_run_equals_its_stages(spark):
     rows = contract.queries()["pipeline"](spark, SF).collect()
     total = sum(r.length for r in rows)
