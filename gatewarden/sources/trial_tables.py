@@ -34,7 +34,7 @@ def trial_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("username"),
-        F.col("c_mktsegment").alias("department"),
+        F.when(F.col("c_custkey") % 13 != 0, F.col("c_mktsegment")).alias("department"),
         (F.col("c_custkey") % 8 == 0).alias("is_privileged"),
     )
 
@@ -69,8 +69,10 @@ def trial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(
         "event_id",
         "user_id",
-        F.when(k % 11 != 0, k % 10).cast("bigint").alias("dest_host_id"),
-        F.when(k < 60, F.concat_ws(".", F.lit("10"), k % 3, F.lit("0"), user % 250))
+        F.when(k % 11 != 0, k % 13).cast("bigint").alias("dest_host_id"),
+        F.when(k < 45, F.concat_ws(".", F.lit("10"), k % 3, F.lit("0"), user % 250))
+        .when(k < 53, F.concat_ws(".", F.lit("172"), k % 3 + 16, F.lit("0"), user % 250))
+        .when(k < 60, F.concat_ws(".", F.lit("192.168"), k % 3, user % 250))
         .otherwise(F.concat_ws(".", F.lit("198.51"), user % 5, k))
         .alias("source_ip"),
         F.when(kind == "error", "failed_login").when(kind == "view", "logout")
@@ -78,8 +80,10 @@ def trial_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (kind != "error").alias("success"),
         "event_timestamp",
         # What loading would store next to the address text.
-        F.when(k < 60, (k % 3) * 65536 + user % 250 + address_value("10.0.0.0"))
+        F.when(k < 45, (k % 3) * 65536 + user % 250 + address_value("10.0.0.0"))
+        .when(k < 53, (k % 3) * 65536 + user % 250 + address_value("172.16.0.0"))
+        .when(k < 60, (k % 3) * 256 + user % 250 + address_value("192.168.0.0"))
         .otherwise((user % 5) * 256 + k + address_value("198.51.0.0"))
         .alias("source_ip_num"),
-        (k >= 60).alias("is_external"),
+        (k >= 45).alias("is_external"),
     )

@@ -15,8 +15,10 @@ raw_events AS (
 ),
 fact AS (
   SELECT event_id, user_id,
-         CASE WHEN k % 11 <> 0 THEN CAST(k % 10 AS BIGINT) END AS dest_host_id,
-         CASE WHEN k < 60 THEN format('10.{}.0.{}', k % 3, user_id % 250)
+         CASE WHEN k % 11 <> 0 THEN CAST(k % 13 AS BIGINT) END AS dest_host_id,
+         CASE WHEN k < 45 THEN format('10.{}.0.{}', k % 3, user_id % 250)
+              WHEN k < 53 THEN format('172.{}.0.{}', k % 3 + 16, user_id % 250)
+              WHEN k < 60 THEN format('192.168.{}.{}', k % 3, user_id % 250)
               ELSE format('198.51.{}.{}', user_id % 5, k) END AS source_ip,
          CASE kind WHEN 'error' THEN 'failed_login' WHEN 'view' THEN 'logout'
                    ELSE 'login' END AS event_type,
@@ -31,7 +33,8 @@ facts AS (
 ),
 recent AS (SELECT * FROM facts WHERE event_timestamp >= TIMESTAMP '2024-01-08'),
 users AS (
-  SELECT c_custkey AS user_id, c_name AS username, c_mktsegment AS department,
+  SELECT c_custkey AS user_id, c_name AS username,
+         CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS department,
          c_custkey % 8 = 0 AS is_privileged
   FROM customer
 ),
@@ -157,7 +160,11 @@ WHERE true {extra}
 """)
 
 
-def _external(events: str, host_join: str) -> str:
+_NOT_PRIVATE = """AND NOT regexp_full_match(
+  source_ip, '(172[.](1[6-9]|2[0-9]|3[01])|192[.]168)[.].*')"""
+
+
+def _external(events: str, host_join: str, extra: str = "") -> str:
     return _sql(f"""
 SELECT source_ip, count(*) AS total_attempts,
        count(*) FILTER (NOT success) AS failed_attempts,
@@ -167,7 +174,7 @@ SELECT source_ip, count(*) AS total_attempts,
        min(event_timestamp) AS first_seen, max(event_timestamp) AS last_seen
 FROM {events} e JOIN users USING (user_id)
 {host_join} JOIN hosts h ON h.host_id = e.dest_host_id
-WHERE is_external GROUP BY source_ip
+WHERE is_external {extra} GROUP BY source_ip
 """)
 
 
@@ -494,6 +501,13 @@ _VIOLATIONS = _sql("\nUNION ALL\n".join([
             "dest_host_id NOT IN (SELECT host_id FROM hosts)"),
 ]))
 
+_ADDRESS_TEXTS = """
+texts AS (
+  SELECT event_id, CASE WHEN event_id % 7 = 0 THEN '300.1.2.3'
+                        WHEN event_id % 11 = 0 THEN '2001:db8::1' ELSE source_ip END AS source_ip
+  FROM facts
+)"""
+
 ORACLE: dict[str, str] = {
     "brute_force": _brute("recent"),
     "password_spraying": _spray("recent"),
@@ -646,6 +660,28 @@ SELECT count(*) AS total_events, count(full_timestamp) AS covered_events,
 FROM facts LEFT JOIN hours ON full_timestamp = hour_start
 """),
     "constraint_violations": _VIOLATIONS,
+    "parsed_addresses": _sql("""
+SELECT event_id, source_ip, source_ip LIKE '%:%' OR o[1] <> 10 AS is_external,
+       o[1] * 16777216 + o[2] * 65536 + o[3] * 256 + o[4] AS source_ip_num
+FROM texts LEFT JOIN (
+  SELECT event_id, list_transform(string_split(source_ip, '.'), lambda t: CAST(t AS BIGINT)) AS o
+  FROM texts WHERE source_ip NOT LIKE '%:%' AND source_ip NOT LIKE '300.%') USING (event_id)
+""", _ADDRESS_TEXTS),
+    "unreadable_addresses": _sql(
+        "SELECT event_id, source_ip FROM texts WHERE source_ip LIKE '300.%'", _ADDRESS_TEXTS
+    ),
+    "loaded_events": _sql("""
+SELECT event_id, source_ip, if(event_type = 'logout', 'login', event_type) AS event_type,
+       CAST(event_timestamp AS DATE) AS event_date, is_external
+FROM facts
+"""),
+    "orphan_events": _sql("""
+SELECT event_id, 'user' AS missing FROM facts
+WHERE user_id NOT IN (SELECT user_id FROM users WHERE department IS NOT NULL)
+UNION ALL
+SELECT event_id, 'host' FROM facts
+WHERE dest_host_id NOT IN (SELECT host_id FROM hosts WHERE asset_criticality <> 'LOW')
+"""),
 }
 
 _SECONDS = """
@@ -702,7 +738,7 @@ found AS (
   SELECT username, list_filter([
       if(failed > succeeded AND failed >= 5, 'under_attack', NULL),
       if(hour_ips >= 5, 'many_addresses', NULL),
-      if(hosts_reached > 10 AND department NOT LIKE 'IT %', 'wide_access', NULL),
+      if(hosts_reached > 10 AND coalesce(department NOT LIKE 'IT %', true), 'wide_access', NULL),
       if(is_privileged AND failed >= 3, 'privileged_failures', NULL),
       if(total = 1, 'single_use', NULL),
       if(busiest_day > 100, 'busy_day', NULL),
@@ -835,8 +871,7 @@ WHERE opened AND next_closed AND date_diff('second', s, next_s) <= 86400
 SELECT username, max(ips) AS unique_ips, min(s) AS first_alert, max(s) AS last_alert
 FROM rolling_hour JOIN users USING (user_id) WHERE ips >= 2 GROUP BY username
 """, _TRAILING_HOUR.format(events="recent")),
-    # the trial tables hold no address in the other private networks
-    "external_ip_summary_private_ranges": _external("recent", "LEFT"),
+    "external_ip_summary_private_ranges": _external("recent", "LEFT", _NOT_PRIVATE),
     "activity_spikes": _sql("""
 SELECT username, date, events, peak_hour_events, baseline
 FROM with_mean JOIN busy_hours USING (user_id, date) JOIN users USING (user_id)
@@ -883,7 +918,7 @@ SELECT username, department, count(DISTINCT host_id) AS hosts_reached,
 FROM recent e JOIN users USING (user_id) JOIN hosts h ON h.host_id = e.dest_host_id
 WHERE success AND department IS DISTINCT FROM 'MACHINERY'
 GROUP BY username, department
-HAVING count(DISTINCT host_id) > 9 OR count(DISTINCT asset_criticality) >= 5
+HAVING count(DISTINCT host_id) > 9 OR count(DISTINCT asset_criticality) >= 4
 """),
 }
 

@@ -3,22 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatewarden.operators import accounts, assets, brute_force, compromise, external
 from gatewarden.operators import risk_profiles, rolling_attacks, scenarios, temporal
 from gatewarden.plans import dashboard, executive, hunts
 from gatewarden.sources import quality
 from gatewarden.sources.trial_tables import trial_warehouse
-from gatewarden.sources.warehouse import Warehouse
+from gatewarden.functions.addresses import with_address_columns
+from gatewarden.sources.warehouse import Warehouse, with_event_defaults
 
 FLOOR = "2024-01-08"
 AS_OF = "2024-01-31 00:00:00"
 GENERATED_AT = "2024-01-31T00:00:00"
 
+def _reparsed(wh: Warehouse) -> DataFrame:
+    """The events with some other address texts, and the columns parsed from them."""
+    text = (
+        F.when(F.col("event_id") % 7 == 0, "300.1.2.3")
+        .when(F.col("event_id") % 11 == 0, "2001:db8::1")
+        .otherwise(F.col("source_ip"))
+    )
+    plain = wh.events.drop("source_ip_num", "is_external").withColumn("source_ip", text)
+    return with_address_columns(plain)
+
+
+def _loaded(wh: Warehouse) -> DataFrame:
+    """The events as loading stores them, from masked addresses and missing types."""
+    raw = wh.events.drop("source_ip_num", "is_external").withColumns({
+        "source_ip": F.concat("source_ip", F.lit("/32")),
+        "event_type": F.expr("nullif(event_type, 'logout')"),
+    })
+    return with_event_defaults(raw).select(
+        "event_id", "source_ip", "event_type", "event_date", "is_external"
+    )
+
+
 JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "brute_force": partial(brute_force.brute_force, since=FLOOR),
     "password_spraying": partial(brute_force.password_spraying, since=FLOOR),
@@ -116,13 +141,25 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "quarterly_trend": risk_profiles.quarterly_trend,
     "external_daily_activity": partial(risk_profiles.external_daily_activity, since=FLOOR),
     "lateral_movement": partial(
-        risk_profiles.lateral_movement, hosts=9, levels=5, expected=("MACHINERY",), since=FLOOR
+        risk_profiles.lateral_movement, hosts=9, levels=4, expected=("MACHINERY",), since=FLOOR
     ),
     "calendar": temporal.calendar_of,
     "calendar_span": lambda wh: temporal.calendar_span(temporal.calendar_of(wh)),
     "calendar_day": lambda wh: temporal.calendar_day(temporal.calendar_of(wh), "2024-01-20"),
     "calendar_coverage": quality.calendar_coverage,
     "constraint_violations": quality.constraint_violations,
+    "parsed_addresses": lambda wh: _reparsed(wh).select(
+        "event_id", "source_ip", "source_ip_num", "is_external"
+    ),
+    "unreadable_addresses": lambda wh: quality.unreadable_addresses(
+        wh.with_events(_reparsed(wh))
+    ).select("event_id", "source_ip"),
+    "loaded_events": lambda wh: _loaded(wh),
+    # dimensions that lack some of their rows
+    "orphan_events": lambda wh: quality.orphan_events(replace(
+        wh, users=wh.users.filter("department IS NOT NULL"),
+        hosts=wh.hosts.filter("asset_criticality <> 'LOW'"),
+    )).select("event_id", "missing"),
 }
 
 

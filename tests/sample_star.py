@@ -38,55 +38,55 @@ HOSTS = [
     (9, "laptop-kwilson", "LOW", "Remote"),
 ]
 
-# User, host, address, outcome (F failed, S login, O logout), January day and time.
-EVENTS = """
-1 1 198.51.100.42 F 19 03:45:10
-2 4 198.51.100.42 F 19 03:45:25
-6 1 198.51.100.42 F 19 03:45:40
-3 2 198.51.100.42 F 19 03:45:55
-7 2 198.51.100.42 F 19 03:46:10
-5 1 198.51.100.42 F 19 03:46:25
-4 3 198.51.100.42 F 19 03:46:40
-8 1 198.51.100.42 F 19 03:46:55
-9 4 185.220.101.47 F 20 14:30:00
-9 4 185.220.101.47 F 20 14:30:15
-9 4 185.220.101.47 F 20 14:30:30
-9 4 185.220.101.47 F 20 14:30:45
-9 4 185.220.101.47 S 20 14:31:00
-2 1 10.0.3.78 F 20 16:30:00
-2 1 10.0.3.78 F 20 16:31:00
-2 2 10.0.3.78 F 20 16:32:00
-2 6 10.0.3.78 S 20 16:35:00
-4 3 10.0.1.50 F 18 22:15:00
-4 4 10.0.1.50 F 18 22:20:00
-4 6 10.0.1.50 S 20 09:10:00
-4 8 10.0.1.50 S 20 09:12:00
-4 2 10.0.1.50 S 20 09:15:00
-5 1 73.241.12.56 S 20 08:30:00
-3 2 67.180.93.22 S 20 09:45:00
-1 7 203.0.113.88 S 20 02:15:00
-7 8 10.0.2.15 S 20 15:35:00
-10 2 10.0.1.100 S 20 10:00:00
-10 2 10.0.1.100 O 20 11:45:00
-11 2 10.10.5.20 S 18 02:00:00
-11 5 10.10.5.20 S 18 02:05:00
-11 5 10.10.5.20 O 18 02:30:00
-11 2 10.10.5.20 S 19 02:00:00
-11 5 10.10.5.20 S 19 02:05:00
-11 5 10.10.5.20 O 19 02:30:00
-11 2 10.10.5.20 S 20 02:00:00
-11 5 10.10.5.20 S 20 02:05:00
-11 5 10.10.5.20 O 20 02:30:00
-8 3 10.50.2.10 F 19 03:46:55
-8 3 45.142.212.61 F 20 02:20:00
-8 1 203.0.113.88 S 20 02:25:40
-8 4 67.180.93.22 S 20 14:10:00
-8 2 103.28.48.12 S 20 14:25:00
-1 7 10.0.1.25 F 20 14:20:00
-1 7 10.0.1.25 S 20 14:20:15
-3 2 10.0.2.30 F 20 17:30:00
-3 2 10.0.2.30 S 20 17:30:20
-"""
+# User, host, address, event type, success, time.
+EVENTS = [
+    (1, 1, "198.51.100.42", "failed_login", False, "2025-01-19 03:45:10"),
+    (2, 4, "198.51.100.42", "failed_login", False, "2025-01-19 03:45:25"),
+    (6, 1, "198.51.100.42", "failed_login", False, "2025-01-19 03:45:40"),
+    (3, 2, "198.51.100.42", "failed_login", False, "2025-01-19 03:45:55"),
+    (7, 2, "198.51.100.42", "failed_login", False, "2025-01-19 03:46:10"),
+    (5, 1, "198.51.100.42", "failed_login", False, "2025-01-19 03:46:25"),
+    (4, 3, "198.51.100.42", "failed_login", False, "2025-01-19 03:46:40"),
+    (8, 1, "198.51.100.42", "failed_login", False, "2025-01-19 03:46:55"),
+    (9, 4, "185.220.101.47", "failed_login", False, "2025-01-20 14:30:00"),
+    (9, 4, "185.220.101.47", "failed_login", False, "2025-01-20 14:30:15"),
+    (9, 4, "185.220.101.47", "failed_login", False, "2025-01-20 14:30:30"),
+    (9, 4, "185.220.101.47", "failed_login", False, "2025-01-20 14:30:45"),
+    (9, 4, "185.220.101.47", "login", True, "2025-01-20 14:31:00"),
+    (2, 1, "10.0.3.78", "failed_login", False, "2025-01-20 16:30:00"),
+    (2, 1, "10.0.3.78", "failed_login", False, "2025-01-20 16:31:00"),
+    (2, 2, "10.0.3.78", "failed_login", False, "2025-01-20 16:32:00"),
+    (2, 6, "10.0.3.78", "login", True, "2025-01-20 16:35:00"),
+    (4, 3, "10.0.1.50", "failed_login", False, "2025-01-18 22:15:00"),
+    (4, 4, "10.0.1.50", "failed_login", False, "2025-01-18 22:20:00"),
+    (4, 6, "10.0.1.50", "login", True, "2025-01-20 09:10:00"),
+    (4, 8, "10.0.1.50", "login", True, "2025-01-20 09:12:00"),
+    (4, 2, "10.0.1.50", "login", True, "2025-01-20 09:15:00"),
+    (5, 1, "73.241.12.56", "login", True, "2025-01-20 08:30:00"),
+    (3, 2, "67.180.93.22", "login", True, "2025-01-20 09:45:00"),
+    (1, 7, "203.0.113.88", "login", True, "2025-01-20 02:15:00"),
+    (7, 8, "10.0.2.15", "login", True, "2025-01-20 15:35:00"),
+    (10, 2, "10.0.1.100", "login", True, "2025-01-20 10:00:00"),
+    (10, 2, "10.0.1.100", "logout", True, "2025-01-20 11:45:00"),
+    (11, 2, "10.10.5.20", "login", True, "2025-01-18 02:00:00"),
+    (11, 5, "10.10.5.20", "login", True, "2025-01-18 02:05:00"),
+    (11, 5, "10.10.5.20", "logout", True, "2025-01-18 02:30:00"),
+    (11, 2, "10.10.5.20", "login", True, "2025-01-19 02:00:00"),
+    (11, 5, "10.10.5.20", "login", True, "2025-01-19 02:05:00"),
+    (11, 5, "10.10.5.20", "logout", True, "2025-01-19 02:30:00"),
+    (11, 2, "10.10.5.20", "login", True, "2025-01-20 02:00:00"),
+    (11, 5, "10.10.5.20", "login", True, "2025-01-20 02:05:00"),
+    (11, 5, "10.10.5.20", "logout", True, "2025-01-20 02:30:00"),
+    (8, 3, "10.50.2.10", "failed_login", False, "2025-01-19 03:46:55"),
+    (8, 3, "45.142.212.61", "failed_login", False, "2025-01-20 02:20:00"),
+    (8, 1, "203.0.113.88", "login", True, "2025-01-20 02:25:40"),
+    (8, 4, "67.180.93.22", "login", True, "2025-01-20 14:10:00"),
+    (8, 2, "103.28.48.12", "login", True, "2025-01-20 14:25:00"),
+    (1, 7, "10.0.1.25", "failed_login", False, "2025-01-20 14:20:00"),
+    (1, 7, "10.0.1.25", "login", True, "2025-01-20 14:20:15"),
+    (3, 2, "10.0.2.30", "failed_login", False, "2025-01-20 17:30:00"),
+    (3, 2, "10.0.2.30", "login", True, "2025-01-20 17:30:20"),
+]
 
 KINDS = {"F": ("failed_login", False), "S": ("login", True), "O": ("logout", True)}
 
@@ -100,11 +100,9 @@ def event(event_id: int, user_id: int, host_id: int | None, address: str, outcom
 
 def sample_events() -> list[tuple]:
     rows = []
-    for number, line in enumerate(EVENTS.strip().splitlines(), 1):
-        user, host, address, outcome, day, clock = line.split()
-        rows.append(
-            event(number, int(user), int(host), address, outcome, f"2025-01-{day} {clock}")
-        )
+    for number, (user, host, address, kind, success, when) in enumerate(EVENTS, 1):
+        moment = datetime.fromisoformat(when)
+        rows.append((number, user, host, address, kind, success, moment, moment))
     return rows
 
 
