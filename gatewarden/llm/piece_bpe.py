@@ -19,8 +19,8 @@ SPACE = "▁"
 State = tuple[int, int]
 START, UNKNOWN = -1, -2
 #: Segments kept with their ids, per process.
-CACHED_SEGMENTS = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_SEGMENTS = 200_000
+CACHED_PAIRS = 500_000
 
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 

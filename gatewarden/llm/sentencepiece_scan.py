@@ -13,6 +13,7 @@ row; an empty table gives an empty result. Other columns stay.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
 from gatewarden.llm.piece_bpe import START, boundary_states, pieces_of
+from gatewarden.llm.piece_slices import slice_encoder
+from gatewarden.llm.text_batches import slices
 
 #: Code points of a chunk; longer texts are cut.
-CHUNK = 16_384
+CHUNK = 65_536
 _STATE = pa.struct([("over", pa.int32()), ("piece", pa.int32())])
 _STATE_TYPE = "struct<over:int,piece:int>"
 
@@ -35,6 +38,57 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Rows whose Python objects exist at a time; columns stay in Arrow.
+ROWS = 200
+
+
+def _rows(*columns: pa.Array) -> Iterator[tuple]:
+    """The rows of columns as Python values, a few at a time."""
+    for at in range(0, len(columns[0]), ROWS):
+        yield from zip(*(c.slice(at, ROWS).to_pylist() for c in columns))
+
+
+def _id_lists(rows: Iterable[list[int] | np.ndarray | None]) -> pa.Array:
+    """An Arrow column of id lists, whose Python lists end as soon as they are copied."""
+    parts, lengths, missing = [], [], []
+    for ids in rows:
+        parts.append(np.array([] if ids is None else ids, np.int32))
+        lengths.append(len(parts[-1]))
+        missing.append(ids is None)
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(missing, pa.bool_()))
+
+
+def _ids_of(column: pa.Array) -> Iterator[np.ndarray | None]:
+    """The id lists of a column as numpy views."""
+    values = column.values.to_numpy(zero_copy_only=False)
+    offsets = column.offsets.to_numpy()
+    for ok, start, end in zip(column.is_valid().to_numpy(zero_copy_only=False), offsets, offsets[1:]):
+        yield values[start:end] if ok else None
+
+
+def _encoded(texts: pa.Array, path: str) -> Iterator[np.ndarray | list[int] | None]:
+    """Ids of every text; texts with a literal mark of the model's own go singly."""
+    own = slice_encoder(path)
+    valid = texts.is_valid().to_numpy(zero_copy_only=False)
+    for part in slices(texts):
+        d = part.data
+        marks = np.flatnonzero((d[:-2] == 0xE2) & (d[1:-1] == 0x96) & (d[2:] == 0x81))
+        single = np.full(part.rows, not own.plain)
+        single[np.searchsorted(part.offsets, marks, "right") - 1] = True
+        ids, offsets = own.encode(part)
+        for k in range(part.rows):
+            if not valid[part.first + k]:
+                yield None
+            elif single[k]:
+                text = d[part.offsets[k] : part.offsets[k + 1]].tobytes().decode()
+                yield own.pieces.encode(own.pieces.model.normalize(text))
+            else:
+                yield ids[offsets[k] : offsets[k + 1]]
+
+
 def _chunks(text: str, chunk: int, margin: int) -> list[dict]:
     """Chunks with ``margin`` code points of context on both sides."""
     out = []
@@ -58,14 +112,14 @@ def _giant_ids(giant: DataFrame, path: str, chunk: int) -> DataFrame:
     def cut(texts: pa.Array) -> pa.Array:
         own = pieces_of(path)
         return pa.array(
-            [_chunks(own.model.normalize(t), chunk, own.longest) for t in texts.to_pylist()], pa.list_(part)
+            [_chunks(own.model.normalize(t), chunk, own.longest) for (t,) in _rows(texts)], pa.list_(part)
         )
 
     @F.arrow_udf(f"array<struct<entry:{_STATE_TYPE},leave:{_STATE_TYPE}>>")
-    def transfer(slices: pa.Array, lefts: pa.Array, rights: pa.Array, numbers: pa.Array, ends: pa.Array) -> pa.Array:
+    def transfer(parts: pa.Array, lefts: pa.Array, rights: pa.Array, numbers: pa.Array, ends: pa.Array) -> pa.Array:
         own = pieces_of(path)
         out = []
-        for text, left, right, number, end in zip(*(x.to_pylist() for x in (slices, lefts, rights, numbers, ends))):
+        for text, left, right, number, end in _rows(parts, lefts, rights, numbers, ends):
             entries = own.crossing(text, left) if number else [(0, START)]
             out.append([
                 {"entry": {"over": a[0], "piece": a[1]}, "leave": {"over": b[0], "piece": b[1]}}
@@ -97,13 +151,13 @@ def _giant_ids(giant: DataFrame, path: str, chunk: int) -> DataFrame:
 
     @F.arrow_udf("array<int>")
     def traced(
-        slices: pa.Array, lefts: pa.Array, rights: pa.Array, entries: pa.Array, leaves: pa.Array
+        parts: pa.Array, lefts: pa.Array, rights: pa.Array, entries: pa.Array, leaves: pa.Array
     ) -> pa.Array:
         own = pieces_of(path)
-        return pa.array([
+        return _id_lists(
             own.between(text, left, right, (a["over"], a["piece"]), (b["over"], b["piece"]))
-            for text, left, right, a, b in zip(*(x.to_pylist() for x in (slices, lefts, rights, entries, leaves)))
-        ], pa.list_(pa.int32()))
+            for text, left, right, a, b in _rows(parts, lefts, rights, entries, leaves)
+        )
 
     chunks = computed_once(giant.select("row_no", F.inline(cut("text"))))
     links = chunks.select("row_no", "chunk", transfer("slice", "left", "right", "chunk", "at_end").alias("links"))
@@ -128,10 +182,7 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text", name:
 
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
-        own = pieces_of(path)
-        return pa.array(
-            [None if t is None else own.encode(own.model.normalize(t)) for t in texts.to_pylist()], pa.list_(pa.int32())
-        )
+        return _id_lists(_encoded(texts, path))
 
     # The model puts a space in front, so a chunk has room for one code point less.
     is_long = F.coalesce(F.char_length(text) > chunk - 1, F.lit(False))
@@ -150,7 +201,7 @@ def decode(encoded: DataFrame, model: str | None = None, ids: str = "ids", name:
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
         own = pieces_of(path)
-        return pa.array([None if x is None else own.decode(x) for x in column.to_pylist()], pa.string())
+        return pa.array([None if x is None else own.decode(x.tolist()) for x in _ids_of(column)], pa.string())
 
     return encoded.withColumn(name, text(ids))
 
@@ -163,7 +214,7 @@ def op5_sentencepiece(docs: DataFrame) -> DataFrame:
     @F.arrow_udf("bigint")
     def crc(column: pa.Array) -> pa.Array:
         return pa.array([
-            None if x is None else zlib.crc32(np.array(x, "<u4").tobytes()) for x in column.to_pylist()
+            None if x is None else zlib.crc32(x.astype("<u4").tobytes()) for x in _ids_of(column)
         ], pa.int64())
 
     both = decode(encode(docs.select("doc_id", "text")))
