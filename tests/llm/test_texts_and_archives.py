@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from gatewarden.llm import packing, secret_scan, sentencepiece_scan, warc_archive
 from gatewarden.llm.dom import Matching, children_of, read_page
@@ -294,6 +294,24 @@ def test_packing_edges(spark):
     assert list(packing.cut(5, 5)) == [(0, 5)] and list(packing.cut(11, 5)) == [(0, 1), (1, 5), (6, 5)]
 
 
+def test_ids_are_those_of_the_unmodified_file(spark, tmp_path):
+    path = packing.default_tokenizer()
+    plain = Tokenizer.from_file(path)
+    texts = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n<|endoftext|", "x " * 3_000 + "<|endoftext|>é", None]
+    ids = [[*plain.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+    assert ids[0][:-1] == [21943, 220, 50256, 2318]
+    rows = packing.with_pieces(documents(spark, texts), None).collect()
+    for r in rows:
+        own = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert len(own) == r.length and zlib.crc32(own.tobytes()) == r.ids_crc32
+    assert sum(r.length for r in rows) == sum(map(len, ids))
+    # Added tokens that are not matched as they stand are left to the library.
+    plain.add_tokens([AddedToken("<|end", lstrip=True)])
+    plain.save(f"{tmp_path}/other.json")
+    for t in texts[:-1]:
+        assert packing.encoder(f"{tmp_path}/other.json")(t) == plain.encode(t, add_special_tokens=False).ids
+
+
 def test_crossover_and_mutation_keep_every_piece_once():
     rng = np.random.default_rng(5)
     lengths = rng.integers(1, 100, 200)
