@@ -5,10 +5,19 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections.abc import Set
 from dataclasses import dataclass, field
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
+#: Markup of its own, where a slash closes an element; the text of math counts, that of svg does not.
+FOREIGN = frozenset(("svg", "math"))
+#: A start tag of these ends open foreign markup, unless it lies where that holds HTML.
+_BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article main section".split()
+)
+_HOLDS_HTML = frozenset(("foreignobject", "desc", "annotation-xml"))
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr img map object picture audio video canvas meter progress output".split()
@@ -16,7 +25,7 @@ INLINE = frozenset(
 #: Elements that are never part of the main text.
 APART = frozenset(
     "nav header footer aside form menu dialog button select option input fieldset legend label datalist "
-    "head object embed canvas audio video map".split()
+    "head object embed canvas audio video map svg annotation annotation-xml".split()
 )
 ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split()
@@ -29,6 +38,14 @@ MARKS = frozenset(
     "rail footer header masthead topbar comment comments disqus replies reply share sharing social related "
     "recommended recommendations teaser teasers widget toolbar skip hidden".split()
 )
+#: Beside one of these in a name, a mark says something of a text, not what the element is.
+NO_MARKS = frozenset(
+    "has have no not non with without of for to and the is are open opened closed enabled disabled on off".split()
+)
+#: Marks of what may hold articles that are not the page's own.
+LISTS = frozenset(
+    "comment comments disqus replies reply related recommended recommendations teaser teasers promo widget".split()
+)
 MAIN = frozenset(("article", "main"))
 #: A start tag of these ends an open paragraph; li, dt, dd, tr, td, th and option also end their own kind.
 _ENDS_OWN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -65,6 +82,7 @@ class Page:
 
 
 def _is_apart(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
+    """Whether HTML itself sets the element apart."""
     if tag == "header" and in_main:
         return False  # the head of the article itself holds its title
     if tag in APART or tag in RAW:
@@ -73,21 +91,49 @@ def _is_apart(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
         return False
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("html", "body"):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    # Words of camelCase, kebab-case and snake_case names.
-    words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names))
-    return any(w.lower() in MARKS for w in words)
+    return "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _marks(tag: str, attributes: dict[str, str], in_main: bool) -> set[str]:
+    """Words of class and id that set the element apart; none on the page or an article as a whole."""
+    if not attributes or tag in ("html", "body") or tag in MAIN or attributes.get("role") == "main":
+        return set()
+    if tag == "header" and in_main:
+        return set()
+    out: set[str] = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        # Words of camelCase, kebab-case and snake_case names.
+        words = {w.lower() for w in _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name))}
+        if words.isdisjoint(NO_MARKS):
+            out |= words & MARKS
+    return out
 
 
 def read_page(source: str) -> Page:
-    """The page's blocks. White space in a text is one space; character references are decoded."""
+    """The page's blocks. White space in a text is one space; character references are decoded.
+
+    A mark on an element that holds an article or main element does not set it
+    apart. One of LISTS does, unless all of the page's articles lie in such ones.
+    """
+    page, has_main, chains = _read(source, frozenset())
+    forgiven = {at for chain in chains if not any(listed for _, listed in chain) for at, _ in chain}
+    if not forgiven and not has_main:
+        forgiven = {at for chain in chains for at, _ in chain}
+    return _read(source, forgiven)[0] if forgiven else page
+
+
+def _read(source: str, forgiven: Set[int]) -> tuple[Page, bool, list[list[tuple[int, bool]]]]:
+    """The page, whether it has an article outside marked elements, and what encloses the others.
+
+    That is, per article in marked elements, their (place, whether of LISTS); the
+    marks at the places in ``forgiven`` do not count.
+    """
     page = Page()
-    # Open elements: tag, is a block, lies apart, lies in an article or main element.
-    stack: list[tuple[str, bool, bool, bool]] = []
+    # Open elements: tag, is a block, lies apart, lies in an article or main element,
+    # place and kind of its mark if only that sets it apart, lies in foreign markup.
+    stack: list[tuple[str, bool, bool, bool, tuple[int, bool] | None, bool]] = []
+    chains: list[list[tuple[int, bool]]] = []
+    unclosed: set[str] = set()
     pieces: list[str] = []
     depth = 0
     has_main = False
@@ -101,7 +147,7 @@ def read_page(source: str) -> Page:
 
     def close_to(index: int) -> None:
         nonlocal depth
-        if any(block for _, block, _, _ in stack[index:]):
+        if any(block for _, block, *_ in stack[index:]):
             flush()
         while len(stack) > index:
             if stack.pop()[1]:
@@ -124,7 +170,7 @@ def read_page(source: str) -> Page:
             pieces.append(source[at:end])
         if not found:
             break
-        at = found.end()
+        start, at = found.start(), found.end()
         tag = (found[2] or found[5] or "").lower()
         if not tag:
             continue  # a comment or declaration
@@ -136,17 +182,27 @@ def read_page(source: str) -> Page:
                     close_to(k)
                     break
             continue
-        if tag in ("br", "hr"):
+        if stack and stack[-1][5] and tag in _BREAKS_OUT:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in _HOLDS_HTML:
+                    break
+                if stack[k][0] in FOREIGN and not (k and stack[k - 1][5]):
+                    close_to(k)
+                    break
+        foreign = tag in FOREIGN or bool(stack) and stack[-1][5]
+        if tag in ("br", "hr") and not foreign:
             flush()
         if tag in VOID:
             continue
         raw_attributes = found[3] if found[2] else found[6]
+        if foreign and raw_attributes.endswith("/"):
+            continue
         attributes = {}
         if raw_attributes and "=" in raw_attributes or raw_attributes and "hidden" in raw_attributes:
             attributes = {
                 m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw_attributes)
             }
-        block = tag not in INLINE
+        block = tag not in INLINE and not foreign
         if block:
             close_nearest(("p",))
             if tag in _ENDS_OWN and tag != "p":
@@ -156,23 +212,39 @@ def read_page(source: str) -> Page:
         apart = bool(stack) and stack[-1][2]
         if tag in RAW:
             # Its text is no markup: go on behind its end tag.
-            stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
-            at = stop.end() if stop else size
+            stop = None
+            if tag not in unclosed:
+                stop = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
+            if stop:
+                at = stop.end()
+            elif tag in ("script", "style"):
+                at = size
+            else:  # never closed: what follows is the page
+                unclosed.add(tag)
             continue
-        own_apart = apart or _is_apart(tag, attributes, in_main)
-        if not block and own_apart and not apart:
+        own_apart, mark = apart or _is_apart(tag, attributes, in_main), None
+        if not own_apart and start not in forgiven or apart and stack[-1][4]:
+            # Within a marked element, whether something else sets this one apart too.
+            words = _marks(tag, attributes, in_main)
+            if not apart or not _is_apart(tag, attributes, in_main):
+                mark = (start, not words.isdisjoint(LISTS)) if words else (-1, False) if apart else None
+            own_apart = apart or bool(words)
+        if not block and own_apart and not apart and tag != "svg":
             pieces.append(" ")
-        own_main = (in_main or tag in MAIN or attributes.get("role") == "main") and not own_apart
+        is_main = tag in MAIN or attributes.get("role") == "main"
+        if is_main and mark:
+            chains.append([m for *_, m, _ in stack if m and m[0] >= 0])
+        own_main = (in_main or is_main) and not own_apart
         has_main = has_main or own_main
         if block:
             kind = attributes.get("class", "")
             page.add(depth, f"{tag}.{kind}" if kind else tag, "", own_main)
             depth += 1
-        stack.append((tag, block, own_apart, own_main))
+        stack.append((tag, block, own_apart, own_main, mark, foreign))
     flush()
     if not has_main:  # no article element: everything that does not lie apart
         page.main = [True] * len(page.main)
-    return page
+    return page, has_main, chains
 
 
 def children_of(depth: list[int]) -> list[list[int]]:

@@ -371,6 +371,28 @@ def test_blocks(source):
     assert main_text(source, None) == CASES[source]
 
 
+WHOLE = {
+    "<article>a <svg viewBox='0 0 1 1'/> b<p>c</article>": "a b c",
+    "<article><p>a<svg><path d='M0'/><text>no</text></svg>b</p><p>c</article>": "ab c",
+    "<article>a<svg><path d=x><p>b</p><svg></svg>c</article>": "a b c",
+    "<article><p>so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn><annotation>no</annotation></math> holds</p><p>on</article>": "so x=2 holds on",
+    "<article>a<math/>b<p>c<iframe src=x><p>d</article>": "ab c d",
+    "<main class='has-sidebar'>a</main>b": "a",
+    "<article class='post comments-open'>a<div class='comments'>no</div></article>": "a",
+    "<div id='page' class='no-sidebar sticky-header'><article>a</article></div>": "a",
+    "<div class=sticky-header><div class=rail><main>a</main><div class=rail>no</div></div>no</div>": "a",
+    "<section id='notice-of-results'>a</section><div class='notice'>no</div>": "a",
+    "<div class=page><article>a</article><div class='related'><article>no</article></div></div>": "a",
+    "<div class='comments'><article>a</article></div>": "a",
+    "<aside class=rail><article>no</article></aside><p>a": "a",
+}
+
+
+@pytest.mark.parametrize("source", WHOLE)
+def test_no_article_text_is_cut(source):
+    assert main_text(source, None) == WHOLE[source]
+
+
 def test_constant_slots_are_template_and_varying_ones_content(spark):
     def page(i: int) -> str:
         return f"<div><div>Site name</div><div><p>Story {i} begins</p><p>and goes on {i * 7}</p></div><div>All rights</div></div>"
