@@ -8,6 +8,8 @@ import sys
 from collections.abc import Set
 from dataclasses import dataclass, field
 
+import numpy as np
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 #: Markup of its own, where a slash closes an element; the text of math counts, that of svg does not.
@@ -61,8 +63,11 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[A-Za-z]+")
 TEXT = "#"
-#: Differing siblings aligned at once at most; longer lists are cut, so that time stays linear.
+#: Differing siblings whose table is kept whole; longer lists are halved where a best mapping
+#: passes, so that memory stays linear.
 SIBLINGS = 500
+#: Weights of siblings kept at once while rows of a long list are computed.
+KEPT_WEIGHTS = 4_000_000
 
 
 @dataclass
@@ -307,12 +312,16 @@ class Matching:
         left, right = left[start:stop_l], right[start:stop_r]
         if not left or not right:
             return total
-        pieces = max(len(left), len(right)) // SIBLINGS + 1
-        if pieces > 1:  # very long lists are aligned piece by piece, in proportion
-            cut = [(len(left) * k // pieces, len(right) * k // pieces) for k in range(pieces + 1)]
-            return total + sum(
-                self._match(left[i:k], right[j:m], found) for (i, j), (k, m) in zip(cut, cut[1:])
-            )
+        if len(left) > 1 and max(len(left), len(right)) > SIBLINGS:
+            if found is None:
+                return total + int(self._last_row(left, right)[-1])
+            half = len(left) // 2
+            before = self._last_row(left[:half], right)
+            behind = self._last_row(left[half:][::-1], right[::-1])[::-1]
+            at = int(np.argmax(before + behind))
+            self._match(left[:half], right[:at], found)
+            self._match(left[half:], right[at:], found)
+            return total + int(before[at] + behind[at])
         weight: dict[tuple[int, int], int] = {}
         best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
         for i, x in enumerate(left):
@@ -336,6 +345,27 @@ class Matching:
                     j -= 1
         return total + best[-1][-1]
 
+    def _last_row(self, left: list[int], right: list[int]) -> np.ndarray:
+        """Weight of the best mapping of ``left`` and every beginning of ``right``."""
+        _, first, kind = np.unique([self.b_shape[y] for y in right], return_index=True, return_inverse=True)
+        of_label: dict[str, list[int]] = {}
+        for k, at in enumerate(first.tolist()):
+            of_label.setdefault(self.b_label[right[at]], []).append(k)
+        kept: dict[int, np.ndarray] = {}
+        best = np.zeros(len(right) + 1, np.int64)
+        for x in left:
+            weights = kept.get(self.a_shape[x])
+            if weights is None:
+                weights = np.zeros(len(first), np.int64)
+                for k in of_label.get(self.a_label[x], ()):
+                    weights[k] = self._weight(x, right[first[k]])
+                if len(kept) * len(first) < KEPT_WEIGHTS:
+                    kept[self.a_shape[x]] = weights
+            row = best.copy()
+            np.maximum(row[1:], best[:-1] + weights[kind], out=row[1:])
+            best = np.maximum.accumulate(row)
+        return best
+
     def _weight(self, x: int, y: int) -> int:
         if self.a_shape[x] == self.b_shape[y]:
             return self.a_size[x]

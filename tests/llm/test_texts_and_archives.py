@@ -444,3 +444,31 @@ def test_deep_and_long_pages():
     long = read_page("".join(f"<p>{i}</p>" if i % 3 else f"<ul><li>{i}</ul>" for i in range(5_000)))
     other = read_page("".join(f"<p>{i}</p>" if i % 4 else f"<ul><li>{i}</ul>" for i in range(5_000)))
     assert len(Matching(long.depth, long.label, other.depth, other.label).pairs()) > 6_000
+
+
+def test_long_pages_are_matched_as_by_the_plain_table():
+    rng = random.Random(9)
+
+    def page(n):
+        parts = [rng.choice(["<p>x</p>", "<p>x<i>y</i></p>", "<ul><li>x</ul>", "<h2>x</h2>", "<ul><li>x<li>y</ul>"]) for _ in range(n)]
+        return read_page("".join([*parts[: n // 2], "<table><tr><td>fixed</table>", *parts[n // 2 :]]))
+
+    a, b = page(700), page(1_300)
+    # Insertions at the front move the middle across any proportional cut.
+    b = read_page("<h3>new</h3>" * 600 + "".join(f"<{label}>x</{label}>" for d, label in zip(b.depth, b.label) if not d and label != "#"))
+    own = Matching(a.depth, a.label, b.depth, b.label)
+    pairs = own.pairs()
+    left, right = own.a[-1], own.b[-1]
+    best = [0] * (len(right) + 1)
+    for x in left:
+        row = [0]
+        for j, y in enumerate(right):
+            w = own._weight(x, y) if own.a_label[x] == own.b_label[y] else 0
+            row.append(max(best[j + 1], row[j], best[j] + w))
+        best = row
+    assert len(pairs) == best[-1]
+    assert len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
+    top = [(x, y) for x, y in pairs if not a.depth[x]]
+    assert sorted(top) == top or sorted(top, key=lambda p: p[1]) == sorted(top)
+    assert all(a.label[x] == b.label[y] for x, y in pairs)
+    assert own._match(left, right, None) == len(pairs)
