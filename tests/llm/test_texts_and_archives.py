@@ -408,6 +408,47 @@ def test_constant_slots_are_template_and_varying_ones_content(spark):
     assert op10_html_wrapper(pages(spark, rows).where("false")).count() == 0
 
 
+def test_near_copies_are_one_witness(spark):
+    rng = random.Random(12)
+
+    def sentence(n: int = 12) -> str:
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+    article = [sentence() for _ in range(20)]
+    copies = [[*article[:k], sentence(), *article[k + 1 :]] for k in range(3, 18, 3)]
+    short = [[sentence()] for _ in range(9)]
+    mirrors = [[*article[:k], sentence(), *article[k + 1 :]] for k in range(20)] * 5
+    mirrors = [[*own, sentence(2)] for own in mirrors]
+
+    def page(parts) -> str:
+        return "<div>Site name</div><div>" + "".join(f"<p>{x}</p>" for x in parts) + "</div>"
+
+    rows = [(k, "http://a.example/", page(x)) for k, x in enumerate(copies + short)]
+    rows += [(100 + k, "http://b.example/", page(x)) for k, x in enumerate(mirrors + short)]
+    found = {r.page_id: r.text for r in op10_html_wrapper(pages(spark, rows)).collect()}
+    # The template goes, the paragraphs of all copies stay.
+    assert [found[k] for k in range(14)] == [" ".join(x) for x in copies + short]
+    assert [found[100 + k] for k in range(109)] == [" ".join(x) for x in mirrors + short]
+
+
+def test_classes_and_sequences_of_a_page_are_no_layout(spark):
+    def cms(i: int) -> str:
+        return (
+            f"<body class='postid-{i} single'><article class='post-{i} topic-{chr(97 + i)} post'><div class='intro'>Follow us</div>"
+            f"<p>Story {i} begins</p><div>All rights</div></article></body>"
+        )
+
+    def bare(i: int) -> str:
+        parts = [f"<p>story {i}</p>", f"<ul><li>point {i}</ul>", f"<h2>head {i}</h2>"]
+        order = [parts[int(x)] for x in ("012", "021", "102", "120", "201", "210", "0", "1", "2", "01", "02", "12")[i]]
+        return "<div>Follow us</div>" + "".join(order) + "<div>All rights</div>"
+
+    rows = [(i, "http://cms.example/", cms(i)) for i in range(12)] + [(100 + i, "http://bare.example/", bare(i)) for i in range(12)]
+    found = {r.page_id: r.text for r in op10_html_wrapper(pages(spark, rows)).collect()}
+    assert [found[i] for i in range(12)] == [f"Story {i} begins" for i in range(12)]
+    assert not any("Follow" in found[100 + i] or "rights" in found[100 + i] or str(i) not in found[100 + i] for i in range(12))
+
+
 def best_by_force(a, b, a_label, b_label, left, right) -> int:
     if not left or not right:
         return 0
