@@ -6,7 +6,9 @@ are cut into one short key per Hamming table; two vectors meet where they agree
 on a whole key. Within a bucket all cosines are computed in double precision from
 the original vectors, so nothing below the threshold is linked. Keys are so long
 that buckets stay small and tables so many that a pair at the threshold is missed
-in all of them once in ten thousand times.
+in all of them once in ten thousand times. As centring widens the angle of a pair
+where vectors have a common mean, both are planned from the bits that pairs made at
+the threshold around sampled vectors share under the learned codes.
 
 Equal vectors are merged first and counted as copies. A bucket of many different
 vectors is cut into blocks, and each pair of blocks is a task of its own; a task
@@ -64,6 +66,8 @@ def quantisation(sample: np.ndarray, rotations: int, seed: int = 3) -> tuple[np.
 
 def table_keys(unit: np.ndarray, mean: np.ndarray, projections: list[np.ndarray], bits: int, tables: int) -> np.ndarray:
     """(vectors, tables) keys of ``bits`` bits; the bits of a code are dealt out among its tables."""
+    if not bits:
+        return np.zeros((len(unit), tables), np.int64)
     signs = np.concatenate([(unit - mean) @ p >= 0 for p in projections], axis=1)
     per_code = unit.shape[1] // bits
     keys = np.zeros((len(unit), tables), np.int64)
@@ -81,6 +85,77 @@ def plan(vectors: int, dim: int, threshold: float) -> tuple[int, int]:
     return bits, max(4, math.ceil(math.log(MISSED) / math.log(1 - agree)))
 
 
+#: Pairs made at the threshold of each kind, and groups of them by their centred angle.
+MADE, ANGLES = 2_000, 20
+#: Cost of comparing a pair and of a key in a row, as parts of the cost of a row.
+PAIR_COST, KEY_COST = 0.01, 0.013
+#: Where so many tables do not do, all vectors of a label are compared.
+MOST_TABLES = 4_096
+
+
+def made_pairs(sample: np.ndarray, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors and others at that cosine: off in any direction, and towards other vectors."""
+    rng = np.random.default_rng(7)
+    a = sample[rng.integers(0, len(sample), MADE)]
+    out = []
+    for away in (rng.normal(size=a.shape), sample[rng.integers(0, len(sample), MADE)] + 1e-9 * rng.normal(size=a.shape)):
+        away = away - (away * a).sum(1, keepdims=True) * a
+        length = np.sqrt((away * away).sum(1, keepdims=True))
+        away = np.divide(away, length, out=np.zeros_like(away), where=length > 0)
+        out.append((a, threshold * a + math.sqrt(1 - threshold**2) * away))
+    return out
+
+
+def _tables(agree: np.ndarray, bits: int) -> float:
+    """Fewest tables that miss at most MISSED of pairs whose bits agree so often, infinite beyond MOST_TABLES."""
+    apart = 1 - agree**bits
+    low, high = 3, 4
+    while (apart**high).mean() > MISSED:
+        low, high = high, 2 * high
+        if high > MOST_TABLES:
+            return math.inf
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if (apart**middle).mean() > MISSED else (low, middle)
+    return high
+
+
+def fitted(
+    sample: np.ndarray, vectors: int, threshold: float
+) -> tuple[np.ndarray, list[np.ndarray], int, int]:
+    """(mean, projections, bits of a key, tables) for unit vectors like the sample."""
+    dim = sample.shape[1]
+    most, tables = plan(vectors, dim, threshold)
+    mean, projections = quantisation(sample, -(-tables // (dim // most)))
+    made = made_pairs(sample, threshold)
+    agree = []
+    for a, b in made:
+        x, y = a - mean, b - mean
+        cosine = (x * y).sum(1) / np.maximum(np.sqrt((x * x).sum(1) * (y * y).sum(1)), 1e-300)
+        same = np.mean([((x @ p >= 0) == (y @ p >= 0)).mean(1) for p in projections], axis=0)
+        agree.append(np.array([same[k].mean() for k in np.array_split(np.argsort(cosine), ANGLES)]))
+
+    def cost(bits: int) -> float:
+        n = max(_tables(x, bits) for x in agree)
+        return n * (1 + PAIR_COST * vectors / 2**bits + KEY_COST * n)
+
+    bits = min(range(1, most + 1), key=lambda b: (cost(b), -b))
+    tables = max(_tables(x, bits) for x in agree)
+    while tables <= MOST_TABLES:
+        more = -(-tables // (dim // bits)) - len(projections)
+        if more > 0:
+            projections += quantisation(sample, more, seed=3 + len(projections))[1]
+        met = [
+            (table_keys(a, mean, projections, bits, tables) == table_keys(b, mean, projections, bits, tables)).any(1).mean()
+            for a, b in made
+        ]
+        # What bits of one key have in common is seen only here.
+        if min(met) >= 1 - max(MISSED, 1 / MADE):
+            return mean, projections, bits, tables
+        tables = tables * 5 // 4 + 1
+    return mean, projections, 0, 1
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     # Scaled first, so that squares neither overflow nor vanish.
     vectors = vectors / np.abs(vectors).max(1, keepdims=True)
@@ -151,9 +226,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     for dim in largest:
         own = sample.loc[sample["dim"] == dim, "vector"]
         learned = _unit(np.stack(own.tolist())) if len(own) >= 2 * dim else np.random.default_rng(1).normal(size=(4 * dim, dim))
-        bits, tables = plan(largest[dim], dim, threshold)
-        mean, projections = quantisation(learned, -(-tables // (dim // bits)))
-        models[dim] = (mean, projections, bits, tables)
+        models[dim] = fitted(_unit(learned), largest[dim], threshold)
 
     # Lengths beyond the first 64 get one table with one bucket per label: blocks keep it exact.
     @F.arrow_udf("array<bigint>")

@@ -222,3 +222,22 @@ def test_recall_of_the_tables_at_the_threshold():
     b = 0.94 * a + math.sqrt(1 - 0.94**2) * away
     keys = [embedding_dedup.table_keys(x, mean, projections, bits, tables) for x in (a, b)]
     assert (keys[0] == keys[1]).any(1).mean() >= 0.999
+
+
+@pytest.mark.parametrize("common, vectors", [(0.0, 50_000), (0.5, 50_000), (0.7, 50_000), (0.7, 1_000_000)])
+def test_recall_under_a_common_mean(common, vectors):
+    rng = np.random.default_rng(11)
+    mean = rng.normal(size=64)
+    mean /= np.linalg.norm(mean)
+    away = rng.normal(size=(6_000, 64))
+    away -= (away @ mean)[:, None] * mean
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    unit = math.sqrt(common) * mean + math.sqrt(1 - common) * away
+    model = embedding_dedup.fitted(unit[:3_000], vectors, 0.93)
+    a = unit[3_000:]
+    off = rng.normal(size=a.shape)
+    off -= (off * a).sum(1, keepdims=True) * a
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * off
+    keys = [embedding_dedup.table_keys(x, *model) for x in (a, b)]
+    assert (keys[0] == keys[1]).any(1).mean() >= 0.998
