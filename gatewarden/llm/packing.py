@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -38,6 +39,8 @@ ISLANDS = 3
 EPOCHS = 2
 POPULATION = 6
 GENERATIONS = 8
+#: A run of as many blanks is more than the faster library's pattern can take.
+LONG_BLANK = 100_000
 
 PIECES_TYPE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 _PIECES = pa.list_(pa.struct([
@@ -73,21 +76,34 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """Ids of a text as the unmodified tokenizers file gives them: an added token in the text is its one id.
 
     tiktoken is faster, and equal where added tokens are matched as they stand and
-    none begins another.
+    none begins another. Its pattern fails on very long runs of blanks; texts with such a run
+    are left to the tokenizers library.
     """
+    from tokenizers import Tokenizer
+
     with open(path, encoding="utf-8") as file:
         added = json.load(file).get("added_tokens", ())
+    whole = Tokenizer.from_file(path)
+
+    def plainly(text: str) -> list[int]:
+        return whole.encode(text, add_special_tokens=False).ids
+
     names = sorted(t["content"] for t in added)
     flags = any(t.get(f) for t in added for f in ("single_word", "lstrip", "rstrip", "normalized"))
     if flags or any(b.startswith(a) for a, b in zip(names, names[1:])):
-        from tokenizers import Tokenizer
-
-        whole = Tokenizer.from_file(path)
-        return lambda text: whole.encode(text, add_special_tokens=False).ids
+        return plainly
     own = encoding(path)
-    return lambda text: (
-        own.encode(text, allowed_special="all") if any(n in text for n in names) else own.encode_ordinary(text)
-    )
+
+    def faster(text: str) -> list[int]:
+        if len(text) >= LONG_BLANK and has_long_blank(text):
+            return plainly(text)
+        return own.encode(text, allowed_special="all") if any(n in text for n in names) else own.encode_ordinary(text)
+
+    return faster
+
+
+def has_long_blank(text: str, limit: int = LONG_BLANK) -> bool:
+    return any(m.end() - m.start() >= limit for m in re.finditer(r"\s+", text))
 
 
 def default_tokenizer() -> str:
@@ -196,7 +212,7 @@ def crossover(a: Packing, b: Packing, rng: np.random.Generator) -> Packing:
 
 
 def mutation(a: Packing, rng: np.random.Generator) -> Packing:
-    """Empty the worst-filled bin and a few others, and best-fit their pieces in random order of ties."""
+    """Empty the worst-filled bin and a few others, and best-fit their pieces, longest first."""
     some = min(len(a.bins), 2 + len(a.bins) // 50)
     gone = {int(np.argmax(a.left)), *rng.choice(len(a.bins), some, replace=False).tolist()}
     child, over = Packing(a.lengths, a.capacity), []

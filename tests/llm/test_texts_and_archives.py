@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from html import unescape
 
@@ -100,6 +101,22 @@ def links_by_force(text: str) -> set:
     return out
 
 
+def test_weak_parts_take_linear_time():
+    """Twice the text takes about twice as long; parts that lie in a fixed span are none."""
+    unit = "id 0123456789abcdef0123456789abcdef key=Ab1Cd2Ef3 https://h.example/p AKIA12345678901234 "
+
+    def seconds(n):
+        text = unit * n
+        base = secret_scan.base_spans(text)
+        begin = time.perf_counter()
+        found = list(secret_scan.weak_parts(text, base))
+        assert all(b <= s or e <= a for _, a, b in found[:50] for _, s, e in base[:200])
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert min(seconds(8_000) for _ in range(3)) < 3.5 * min(seconds(4_000) for _ in range(3)) + 0.05
+
+
 def test_weak_parts_count_only_together(spark):
     key, token, url = "AKIA1234567", "aB3" * 8, "https://db.example.com:5432/x"
     gap = " word" * 60
@@ -253,7 +270,6 @@ def test_a_changed_payload_is_found(spark, tmp_path):
 
 def check_packing(rows, texts: dict, capacity: int = 2048):
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     pieces: dict = {}
     bins: dict = {}
     for r in rows:
@@ -286,6 +302,8 @@ def test_documents_are_packed_as_tight_as_can_be(spark):
 
 def test_packing_edges(spark):
     texts = [None, "", "a <|endoftext|> b", "word " * 30_000, "日本 \U0001F600", " \n\n  x"]
+    # Runs of blanks longer than the faster library takes, with and without an added token.
+    texts += ["a" + " " * 1_200_000 + "b", "\n" * 1_000_001, "\t" * 1_000_000 + "x<|endoftext|>", "\u3000 \n" * 400_000 + "é"]
     rows = packing.op8_best_fit_packing(documents(spark, texts)).collect()
     check_packing(rows, dict(enumerate(texts)))
     twice = documents(spark, ["same", "same"], [7, 7])
