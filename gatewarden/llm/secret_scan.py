@@ -13,6 +13,7 @@ Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -78,10 +79,18 @@ def _mixed_classes(token: str) -> bool:
 
 def weak_parts(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """Candidates outside the fixed spans, which mean nothing alone."""
-    ranges = sorted((s, e) for _, s, e in taken)
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, e in sorted((s, e) for _, s, e in taken):  # their union, as ranges that do not touch
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
 
     def free(s: int, e: int) -> bool:
-        return all(e <= a or b <= s for a, b in ranges)
+        at = bisect.bisect_right(ends, s)
+        return at == len(starts) or e <= starts[at]
 
     for m in WEAK_ACCESS.finditer(text):
         if free(*m.span()):
