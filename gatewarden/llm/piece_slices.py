@@ -22,6 +22,36 @@ _SPACE_BYTE = 0x20
 #: Bytes of the longest segments walked together; a path has no more steps.
 STEPS = 48
 NEW_PAIRS = 4_096
+#: Ids of segments that a process remembers from slice to slice.
+SEEN_IDS = 4_000_000
+
+
+class SeenSegments:
+    """Segments by hash, in order, with their ids in one flat array."""
+
+    def __init__(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.start = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        return self.keys[self._places(keys)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """New keys in ascending order, and their ids one after another."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.start = np.insert(self.start, at, len(self.ids) + bounds[:-1])
+        self.size = np.insert(self.size, at, np.diff(bounds))
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+
+    def ranges(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) in ``ids`` of known keys."""
+        at = self._places(keys)
+        return self.start[at], self.size[at]
 
 
 class SliceEncoder:
@@ -49,6 +79,7 @@ class SliceEncoder:
         self.apart = np.array([b < 128 and chr(b) not in self.pieces.id and b != _SPACE_BYTE for b in range(256)])
         self.old_pairs = self.new_pairs = (np.zeros(0, np.int64), np.zeros(0, bool))
         self.kept = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        self.seen = SeenSegments()
 
     @staticmethod
     def _hash(data: bytes) -> int:
@@ -130,15 +161,20 @@ class SliceEncoder:
 
         # Two independent hashes: the substring's own and its mix with the length.
         own = (sums[end] - sums[start]) * back[start]
-        _, first, inverse = np.unique(mixed(own + (end - start).astype(np.uint64)), return_index=True, return_inverse=True)
-        ids, bounds = self._paths(data, sums, back, start[first], end[first])
-
-        count = np.diff(bounds)[inverse]
+        keys, first, inverse = np.unique(mixed(own + (end - start).astype(np.uint64)), return_index=True, return_inverse=True)
+        unseen = ~self.seen.known(keys)
+        if unseen.any():
+            new = first[unseen]
+            self.seen.add(keys[unseen], *self._paths(data, sums, back, start[new], end[new]))
+        at, count = self.seen.ranges(keys)
+        at, count = at[inverse], count[inverse]
         total = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=total[1:])
-        at = np.arange(total[-1]) - np.repeat(total[:-1], count) + np.repeat(bounds[:-1][inverse], count)
+        ids = self.seen.ids[np.arange(total[-1]) + np.repeat(at - total[:-1], count)]
         segments_before = np.searchsorted(start, offsets)
-        return ids[at].astype(np.int32), total[segments_before]
+        if len(self.seen.ids) > SEEN_IDS:
+            self.seen = SeenSegments()
+        return ids, total[segments_before]
 
     def _paths(self, data, sums, back, start, end) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the segments, one after another."""
