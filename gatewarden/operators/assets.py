@@ -22,6 +22,11 @@ def failed_against_hosts(wh: Warehouse, since: str | None, *keys: str) -> DataFr
         .groupBy("dest_host_id", *keys)
         .agg(F.count("*").alias("attempts"))
     )
+    return on_high_value_hosts(wh, counted)
+
+
+def on_high_value_hosts(wh: Warehouse, counted: DataFrame) -> DataFrame:
+    """Rows with ``dest_host_id`` joined to their host, if that is of high value."""
     hosts = wh.hosts.filter(F.col("asset_criticality").isin(*HIGH_VALUE))
     return counted.join(hosts, counted["dest_host_id"] == hosts["host_id"])
 
@@ -118,10 +123,16 @@ def critical_asset_hunt(wh: Warehouse, since: str | None = FLOOR, **join_limits)
     )
 
 
-def critical_assets_dashboard(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """Per host: attack_count, unique_attackers."""
+def critical_assets_dashboard(wh: Warehouse, since: str | None = FLOOR,
+                              cells: DataFrame | None = None) -> DataFrame:
+    """Per host: attack_count, unique_attackers.
+
+    ``cells``, if given, are the failures per (dest_host_id, source_ip), and the
+    events are not read.
+    """
+    found = failed_against_hosts(wh, since, "source_ip") if cells is None else on_high_value_hosts(wh, cells)
     return (
-        failed_against_hosts(wh, since, "source_ip")
+        found
         .groupBy("hostname", "asset_criticality")
         .agg(
             F.sum("attempts").alias("attack_count"),

@@ -33,7 +33,8 @@ TEMPORAL_KEY = "temporal_analysis"
 
 
 def dashboard_records(wh: Warehouse, since: str | None = FLOOR, temporal: bool = False,
-                      rollup: DataFrame | None = None) -> DataFrame:
+                      rollup: DataFrame | None = None,
+                      host_cells: DataFrame | None = None) -> DataFrame:
     """→ section, section_no, rank (orders a section), record (JSON text).
 
     The events are read at most three times: for the (user, address) rollup,
@@ -55,7 +56,7 @@ def dashboard_records(wh: Warehouse, since: str | None = FLOOR, temporal: bool =
             ],
         ),
         "critical_assets": (
-            critical_assets_dashboard(wh, since),
+            critical_assets_dashboard(wh, since, host_cells),
             [_down(F.col("attack_count")), F.col("hostname")],
         ),
     }
@@ -126,9 +127,10 @@ def _down(number: Column) -> Column:
 
 
 def dashboard_document(wh: Warehouse, generated_at: str, since: str | None = FLOOR,
-                       temporal: bool = False, rollup: DataFrame | None = None) -> DataFrame:
+                       temporal: bool = False, rollup: DataFrame | None = None,
+                       host_cells: DataFrame | None = None) -> DataFrame:
     """→ section_no, place, rank, line; the lines in that order are the JSON document."""
-    records = computed_once(dashboard_records(wh, since, temporal, rollup))
+    records = computed_once(dashboard_records(wh, since, temporal, rollup, host_cells))
     first = records.groupBy("section_no").agg(F.min("rank").alias("first_rank"))
     comma = F.when(F.col("rank") == F.col("first_rank"), "").otherwise(",")
     body = records.join(F.broadcast(first), "section_no").select(  # one row per section

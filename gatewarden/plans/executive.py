@@ -25,16 +25,17 @@ TRAINING_FAILURES = 3
 
 
 def executive_dashboard(wh: Warehouse, since: str | None = FLOOR,
-                        rollup: DataFrame | None = None) -> DataFrame:
+                        rollup: DataFrame | None = None,
+                        host_days: DataFrame | None = None) -> DataFrame:
     """→ category, metric, value, details, severity.
 
     The events are read twice: for the (user, address) rollup, and for recent
-    failures per host and day. Rows that name several addresses or accounts
+    failures per host and day; not at all where both are given. Rows that name several addresses or accounts
     come once per name, with the same metric and value.
     """
     if rollup is None:
         rollup = computed_once(pair_rollup(wh, since))
-    failures = computed_once(_host_days(wh, since))
+    failures = computed_once(_host_days(wh, since)) if host_days is None else host_days
     parts = [
         *_address_rows(rollup),
         *_user_rows(wh, rollup),
