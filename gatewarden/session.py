@@ -16,6 +16,12 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# What streams with state of their own need besides (``streaming/rolling.py``).
+STREAMING = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
 def build_session(app_name: str = "gatewarden", **overrides: str) -> SparkSession:
     """Session with the settings above; master and sizing come from spark-submit."""
