@@ -64,6 +64,33 @@ def trailing(cells: DataFrame, keys: list[str], seconds: int, measure: str, name
     )
 
 
+def latest_before(cells: DataFrame, keys: list[str], seconds: int, marked: Column, name: str,
+                  value: Column | None = None) -> DataFrame:
+    """Add ``name``: the latest marked cell of the key in the ``seconds`` before, NULL if there is none.
+
+    It is the cell's ``value``, by default its second; cells of one second do not see each other.
+    Every marked cell also goes to the next span, so a partition has at most two spans of seconds.
+    """
+    home, mine = F.floor(F.col("second") / seconds), F.lit(0)
+    mark = F.when(marked, F.struct(F.col("second").alias("at"), (F.col("second") if value is None else value).alias("value")))
+    window = (
+        Window.partitionBy(*keys, "_span").orderBy("second")
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    copies = F.array(
+        F.struct(home.alias("_span"), mine.alias("_copy")),
+        F.when(marked, F.struct((home + 1).alias("_span"), F.lit(1).alias("_copy"))),
+    )
+    latest = F.col("_latest")
+    return (
+        cells.select("*", mark.alias("_mark"), F.inline(F.filter(copies, lambda c: c.isNotNull())))
+        .withColumn("_latest", F.max("_mark").over(window))
+        .filter("_copy = 0")
+        .withColumn(name, F.when(F.col("second") - latest["at"] <= seconds, latest["value"]))
+        .drop("_mark", "_span", "_copy", "_latest")
+    )
+
+
 def following(cells: DataFrame, keys: list[str], seconds: int, columns: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the next cell of the key, NULL when later than ``seconds``."""
     window = Window.partitionBy(*keys, "_span").orderBy("second")
