@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewarden.functions.clock import epoch_second
 from gatewarden.functions.shared import computed_once
-from gatewarden.functions.skew import lookup_join
+from gatewarden.functions.skew import BROADCAST_BYTES, data_bytes, lookup_join
 from gatewarden.sources.warehouse import Warehouse
 
 COLUMNS = (
@@ -58,16 +60,23 @@ def compromised_same_address(wh: Warehouse, threshold: int = 3, keep_unknown_hos
     return _report(wh, matches, keep_unknown_hosts)
 
 
-def compromised_any_address(wh: Warehouse, threshold: int = 3,
-                            keep_unknown_hosts: bool = False) -> DataFrame:
+#: Marks of a user up to which they travel with the user's name.
+MARKS = 256
+
+
+def compromised_any_address(wh: Warehouse, threshold: int = 3, keep_unknown_hosts: bool = False,
+                            broadcast_bytes: int = BROADCAST_BYTES, most_marks: int = MARKS) -> DataFrame:
     """Every success of a user later than the last failure from some failing address.
 
     One row per success, from whatever address: how many failing addresses it
     follows (``failing_addresses``), their failures, and the latest of their
-    last failures. The addresses a success follows are added up along the
-    user's time, never joined to it one by one.
+    last failures. The addresses are added up along the user's time, once per
+    moment at which one falls silent (a mark), and a success looks up the
+    latest mark before it. Users with few marks take them along to wherever
+    the successes lie, so those are not shuffled; the successes of users with
+    many marks, or of all if the marks are long together, are put in order with the marks.
     """
-    suspects = computed_once(
+    marks = computed_once(
         wh.events.filter(~F.col("success"))
         .groupBy("user_id", "source_ip")
         .agg(F.count("*").alias("failures"), F.max("event_timestamp").alias("at"))
@@ -75,21 +84,58 @@ def compromised_any_address(wh: Warehouse, threshold: int = 3,
         .groupBy("user_id", "at")
         .agg(F.count("*").alias("addresses"), F.sum("failures").alias("failures"))
     )
-    marks = suspects.select(
+    few = marks.groupBy("user_id").agg(F.count("*").alias("marks")).filter(F.col("marks") <= most_marks)
+    if data_bytes(marks) > broadcast_bytes:
+        few = few.limit(0)
+    few = computed_once(few.select("user_id"))
+    parts = [_looked_up(wh, marks.join(few, "user_id"))]
+    rest = computed_once(marks.join(few, "user_id", "left_anti"))
+    if not rest.isEmpty():
+        parts.append(_put_in_order(wh, rest))
+    return _report(wh, reduce(DataFrame.unionByName, parts), keep_unknown_hosts, "failing_addresses")
+
+
+_FOLLOWED = (
+    "event_id", "user_id", "source_ip", "dest_host_id", "event_timestamp", "failing_addresses", "failure_count", "last_failure",
+)
+
+
+def _looked_up(wh: Warehouse, marks: DataFrame) -> DataFrame:
+    """Successes with the latest mark before them, from a broadcast of all marks given."""
+    so_far = Window.partitionBy("user_id").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = marks.select(
+        "user_id",
+        F.struct(
+            F.col("at").alias("last_failure"), F.sum("addresses").over(so_far).alias("failing_addresses"),
+            F.sum("failures").over(so_far).alias("failure_count"),
+        ).alias("mark"),
+    )
+    listed = summed.groupBy("user_id").agg(F.array_sort(F.collect_list("mark")).alias("marks"))  # at most MARKS
+    earlier = F.filter("marks", lambda m: m["last_failure"] < F.col("event_timestamp"))
+    return (
+        _successes(wh.events).join(F.broadcast(listed), "user_id")  # measured by the caller
+        .withColumn("mark", F.try_element_at(earlier, F.lit(-1)))
+        .filter(F.col("mark").isNotNull())
+        .select("*", "mark.*").select(*_FOLLOWED)
+    )
+
+
+def _put_in_order(wh: Warehouse, marks: DataFrame) -> DataFrame:
+    """Successes with the sums of the marks before them, by shuffling both along the user's time."""
+    own = marks.select(
         "user_id", "at", F.lit(1).alias("kind"), "addresses", "failures", F.col("at").alias("last_failure")
     )
     successes = (
         _successes(wh.events)
-        .join(suspects.select("user_id").distinct(), "user_id", "left_semi")
+        .join(marks.select("user_id").distinct(), "user_id", "left_semi")
         .withColumnRenamed("event_timestamp", "at")
         .withColumn("kind", F.lit(0))
     )
-    timeline = successes.unionByName(marks, allowMissingColumns=True).withColumn(
+    timeline = computed_once(successes.unionByName(own, allowMissingColumns=True).withColumn(
         "minute", F.floor(epoch_second(F.col("at")) / 60)
-    )
+    ))
     followed = _followed(timeline).filter((F.col("kind") == 0) & (F.col("failing_addresses") > 0))
-    return _report(wh, followed.withColumnRenamed("at", "event_timestamp"), keep_unknown_hosts,
-                   "failing_addresses")
+    return followed.withColumnRenamed("at", "event_timestamp").select(*_FOLLOWED)
 
 
 def _followed(timeline: DataFrame) -> DataFrame:
