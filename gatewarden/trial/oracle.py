@@ -381,19 +381,16 @@ UNION ALL
 SELECT '📊 OVERALL METRICS', 'External Attack Sources', external_ips || ' source(s)',
        'Non-internal IPs', if(external_ips > 3, '🔴', '🟡') FROM kpi
 UNION ALL
-SELECT '📊 OVERALL METRICS', 'Privileged Accounts Active',
-       count(*) OVER () || ' account(s)', username, '🔐'
-FROM (SELECT DISTINCT username FROM recent JOIN users USING (user_id) WHERE is_privileged)
+SELECT '📊 OVERALL METRICS', 'Privileged Accounts Active', n || ' account(s)', username, '🔐'
+FROM (SELECT count(*) AS n FROM admins) LEFT JOIN admins ON TRUE
 UNION ALL
 SELECT '🚨 CRITICAL INCIDENTS', 'Successful Brute',
-       (SELECT count(DISTINCT user_id) FROM brutes) || ' brute(s)',
-       username || ' from ' || source_ip, '🔴'
-FROM brutes
+       n || ' brute(s)', username || ' from ' || source_ip, '🔴'
+FROM (SELECT count(DISTINCT user_id) AS n FROM brutes) LEFT JOIN brutes ON TRUE
 UNION ALL
 SELECT '🚨 CRITICAL INCIDENTS', 'Password Spraying Attacks Detected',
-       count(*) OVER () || ' attack(s)', format('{{}} ({{}} users)', source_ip, n), '🔴'
-FROM (SELECT source_ip, count(DISTINCT user_id) AS n FROM recent WHERE NOT success
-      GROUP BY source_ip HAVING count(DISTINCT user_id) >= 5)
+       found || ' attack(s)', source_ip || ' (' || n || ' users)', '🔴'
+FROM (SELECT count(*) AS found FROM sprays) LEFT JOIN sprays ON TRUE
 UNION ALL
 SELECT '🚨 CRITICAL INCIDENTS', 'Attacks on CRITICAL Assets', count(*) || ' attack(s)',
        count(DISTINCT hostname) || ' servers targeted', '🔴'
@@ -452,6 +449,11 @@ brutes AS (
   SELECT user_id, username, source_ip FROM recent JOIN users USING (user_id)
   GROUP BY user_id, username, source_ip
   HAVING count(*) FILTER (NOT success) >= 3 AND bool_or(success)
+),
+admins AS (SELECT DISTINCT username FROM recent JOIN users USING (user_id) WHERE is_privileged),
+sprays AS (
+  SELECT source_ip, count(DISTINCT user_id) AS n FROM recent WHERE NOT success
+  GROUP BY source_ip HAVING count(DISTINCT user_id) >= 5
 )""")
 
 _DAYS_WITH_EVENTS = """
@@ -924,4 +926,6 @@ HAVING count(DISTINCT host_id) > 9 OR count(DISTINCT asset_criticality) >= 4
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    from gatewarden.trial.load_oracle import ORACLE as LOADS  # its texts are built from these
+
+    return ORACLE | LOADS

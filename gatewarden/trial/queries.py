@@ -14,6 +14,7 @@ from gatewarden.operators import accounts, assets, brute_force, compromise, exte
 from gatewarden.operators import risk_profiles, rolling_attacks, scenarios, temporal
 from gatewarden.plans import dashboard, executive, hunts
 from gatewarden.sources import quality
+from gatewarden.trial import load_queries
 from gatewarden.sources.trial_tables import trial_warehouse
 from gatewarden.functions.addresses import with_address_columns
 from gatewarden.sources.warehouse import Warehouse, with_event_defaults
@@ -169,4 +170,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(job):
         return lambda spark, sf_dir: job(opened(spark, sf_dir))
 
-    return {name: bound(job) for name, job in JOBS.items()}
+    return {name: bound(job) for name, job in (JOBS | load_queries.JOBS).items()}
