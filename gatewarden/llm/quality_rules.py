@@ -260,6 +260,16 @@ def base_failed(counts: Column) -> Column:
     return (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
 
 
+def labelled_sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, quality of at most ``sample_rows`` labelled documents, chosen by hash of the id."""
+    return (
+        labels.select("doc_id", "quality")
+        .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    )
+
+
 def rules_from_labels(counted: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn from at most ``sample_rows`` labelled documents that pass the fixed rules.
 
@@ -267,14 +277,8 @@ def rules_from_labels(counted: DataFrame, labels: DataFrame, sample_rows: int =
     reject; null is no label). The sample is chosen by hash of the id, so it
     is the same whatever the partitions.
     """
-    sample = (
-        labels.select("doc_id", "quality")
-        .where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    )
     rows = (
-        counted.join(sample, "doc_id")
+        counted.join(labelled_sample(labels, sample_rows), "doc_id")
         .where(~base_failed(F.col("counts")))
         .select(F.xxhash64("doc_id").alias("order"), "doc_id", "quality", "counts.*")
         .orderBy("order", "doc_id", *COUNTS).limit(sample_rows)
@@ -305,7 +309,9 @@ def op9_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that neither a fixed nor a learned rule rejects, columns unchanged."""
-    counted = with_counts(docs.select("doc_id", "text")).select("doc_id", "counts")
+    # Only the sample is counted to learn from; its ids are at most SAMPLE_ROWS.
+    learned = docs.select("doc_id", "text").join(F.broadcast(labelled_sample(labels).select("doc_id")), "doc_id", "left_semi")
+    counted = with_counts(learned).select("doc_id", "counts")
     rules = rules_from_labels(computed_once(counted), labels)
     (own,) = unused_names(docs.columns, "counts")
     judged = with_counts(docs, own)
