@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections import Counter
 from collections.abc import Set
 from dataclasses import dataclass, field
 
@@ -139,6 +140,7 @@ def _read(source: str, forgiven: Set[int]) -> tuple[Page, bool, list[list[tuple[
     stack: list[tuple[str, bool, bool, bool, tuple[int, bool] | None, bool]] = []
     chains: list[list[tuple[int, bool]]] = []
     unclosed: set[str] = set()
+    opened: Counter[str] = Counter()  # open elements by tag, so that none is looked for in vain
     pieces: list[str] = []
     depth = 0
     has_main = False
@@ -155,10 +157,13 @@ def _read(source: str, forgiven: Set[int]) -> tuple[Page, bool, list[list[tuple[
         if any(block for _, block, *_ in stack[index:]):
             flush()
         while len(stack) > index:
-            if stack.pop()[1]:
-                depth -= 1
+            tag, block, *_ = stack.pop()
+            opened[tag] -= 1
+            depth -= block
 
     def close_nearest(tags: tuple[str, ...]) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
                 close_to(k)
@@ -182,6 +187,8 @@ def _read(source: str, forgiven: Set[int]) -> tuple[Page, bool, list[list[tuple[
         if found[1] or found[4]:  # an end tag
             if tag == "br":
                 flush()
+            if not opened[tag]:
+                continue
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     close_to(k)
@@ -246,6 +253,7 @@ def _read(source: str, forgiven: Set[int]) -> tuple[Page, bool, list[list[tuple[
             page.add(depth, f"{tag}.{kind}" if kind else tag, "", own_main)
             depth += 1
         stack.append((tag, block, own_apart, own_main, mark, foreign))
+        opened[tag] += 1
     flush()
     if not has_main:  # no article element: everything that does not lie apart
         page.main = [True] * len(page.main)
