@@ -25,6 +25,10 @@ there; an empty table gives an empty result. Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +36,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.shared import computed_once
+from gatewarden.functions.skew import lookup_join
 from gatewarden.llm.components import connected
 from gatewarden.llm.dom import MAIN, Matching, read_page
-from gatewarden.llm.text_batches import texts_of
+from gatewarden.llm.text_batches import texts_of, unused_names
 
 #: A slot is template if this share of a layout's different pages has one text there.
 CONSTANT_SHARE = 0.9
@@ -55,6 +60,10 @@ _SKELETON = pa.struct([
     ("depth", pa.list_(pa.int32())), ("label", pa.list_(pa.string())),
     ("hash", pa.list_(pa.int64())), ("chars", pa.list_(pa.int32())),
 ])
+_BLOCKS = pa.struct([
+    ("layout", pa.int64()), ("depth", pa.list_(pa.int32())), ("label", pa.list_(pa.string())), ("text", pa.list_(pa.string())),
+])
+_BLOCKS_TYPE = "struct<layout:bigint,depth:array<int>,label:array<string>,text:array<string>>"
 SKELETON_TYPE = "struct<depth:array<int>,label:array<string>,hash:array<bigint>,chars:array<int>>"
 
 
@@ -149,12 +158,22 @@ def _near_copies(read: DataFrame) -> DataFrame:
     return connected(near.select("node", "first"), "node", "first")
 
 
-def induced_templates(pages: DataFrame) -> DataFrame:
-    """Per host: its counted classes, and its templates with their pivots.
+@dataclass(frozen=True)
+class Induced:
+    """What a host's pages share.
 
-    Columns: host, classes, templates (array of layout, depth, label and the numbers
-    of the constant nodes, for every layout with enough witnesses).
+    ``classes`` (host, classes): the classes that count. ``templates`` (host, layout, depth, label,
+    constant): for every layout with enough witnesses its pivot and the numbers of its constant
+    nodes. ``sizes`` (host, layout, weight): how many pages with text a layout has.
     """
+
+    classes: DataFrame
+    templates: DataFrame
+    sizes: DataFrame
+
+
+def induced_templates(pages: DataFrame) -> Induced:
+    """The templates of all hosts and layouts, one row each."""
     @F.arrow_udf(SKELETON_TYPE)
     def skeletons(sources: pa.Array) -> pa.Array:
         return pa.array([_skeleton(s) for s in texts_of(sources)], _SKELETON)
@@ -232,48 +251,85 @@ def induced_templates(pages: DataFrame) -> DataFrame:
         (F.col("same") >= MIN_WITNESSES) & (F.col("same") >= CONSTANT_SHARE * F.col("witnesses"))
     ).groupBy(*template).agg(F.sort_array(F.collect_list("node")).alias("constant"))
     # A layout without constant slots is named too, so that its pages are not taken for the rest.
-    found = pivots.join(constant, template, "left").groupBy("host").agg(F.collect_list(F.struct(
-        "layout", "pivot.depth", "pivot.label", F.coalesce("constant", F.array().cast("array<int>")).alias("constant")
-    )).alias("templates"))
-    return computed_once(found.join(classes, "host", "left").select("host", "classes", "templates"))
+    templates = computed_once(pivots.join(constant, template, "left").select(
+        *template, "pivot.depth", "pivot.label", F.coalesce("constant", F.array().cast("array<int>")).alias("constant")
+    ))
+    sizes = own.groupBy(*template).agg(F.count("*").alias("weight"))
+    return Induced(classes, templates, sizes)
+
+
+@lru_cache(maxsize=64)
+def _template(written: str | None) -> dict | None:
+    return None if written is None else json.loads(written)
+
+
+def _kept_text(depth: list[int], label: list[str], text: list[str], rest: bool, template: dict | None) -> str:
+    """A page's texts in order, without those at the slots that its template holds constant."""
+    dropped: set[int] = set()
+    if template and template["constant"]:
+        held = set(template["constant"])
+        pairs = Matching(template["depth"], template["label"], depth, _tags(label) if rest else label).pairs()
+        dropped = {b for a, b in pairs if a in held}
+    return " ".join(t for k, t in enumerate(text) if t and k not in dropped)
 
 
 def main_text(source: str, templates: list[dict] | None, classes: list[str] | None = None) -> str:
     """Blocks of the main text in page order, without those that a template holds constant."""
+    own = _blocks(source, classes)
+    by_layout = {t["layout"]: t for t in templates or ()}
+    rest = own["layout"] not in by_layout
+    return _kept_text(own["depth"], own["label"], own["text"], rest, by_layout.get(REST if rest else own["layout"]))
+
+
+def _blocks(source: str, classes: list[str] | None) -> dict:
     page = read_page(source)
-    dropped: set[int] = set()
-    if templates:
-        label = _with_classes(page.label, classes)
-        by_layout = {t["layout"]: t for t in templates}
-        layout = _layout(page.depth, label)
-        if layout not in by_layout:
-            layout, label = REST, _tags(label)
-        t = by_layout.get(layout)
-        if t and t["constant"]:
-            constant = set(t["constant"])
-            pairs = Matching(t["depth"], t["label"], page.depth, label).pairs()
-            dropped = {b for a, b in pairs if a in constant}
-    return " ".join(
-        t for k, (t, m) in enumerate(zip(page.text, page.main)) if t and m and k not in dropped
-    )
+    label = _with_classes(page.label, classes)
+    return {
+        "layout": _layout(page.depth, label), "depth": page.depth, "label": label,
+        "text": [t if t and m else "" for t, m in zip(page.text, page.main)],
+    }
 
 
 def with_main_text(pages: DataFrame, name: str = "main_text") -> DataFrame:
-    """The pages with one more column, the extracted text."""
+    """The pages with one more column, the extracted text.
+
+    A page meets its host's classes, is read into blocks, and then meets the one template of its
+    layout; each lookup is measured, and broadcast or joined with its heavy keys split.
+    """
+    @F.arrow_udf(_BLOCKS_TYPE)
+    def blocks(sources: pa.Array, classes: pa.Array) -> pa.Array:
+        return pa.array([_blocks(s, (c or "").split(" ")) for s, c in zip(texts_of(sources), classes.to_pylist())], _BLOCKS)
+
     @F.arrow_udf("string")
-    def extracted(sources: pa.Array, templates: pa.Array, classes: pa.Array) -> pa.Array:
-        return pa.array(
-            [main_text(*x) for x in zip(texts_of(sources), templates.to_pylist(), classes.to_pylist())], pa.string()
-        )
+    def extracted(depths: pa.Array, labels: pa.Array, texts: pa.Array, rests: pa.Array, templates: pa.Array) -> pa.Array:
+        columns = (c.to_pylist() for c in (depths, labels, texts, rests, templates))
+        return pa.array([_kept_text(*own, _template(t)) for *own, t in zip(*columns)], pa.string())
 
-    own = induced_templates(pages).withColumnsRenamed(
-        {"host": f"{name}_host", "templates": f"{name}_templates", "classes": f"{name}_classes"}
-    )
-    return (
-        pages.join(own, host_of(pages["url"]) == own[f"{name}_host"], "left")
-        .withColumn(name, extracted("html", f"{name}_templates", f"{name}_classes"))
-        .drop(f"{name}_host", f"{name}_templates", f"{name}_classes")
+    host, names, own, row, key, known, template = unused_names(
+        [*pages.columns, name, "weight"], "page_host", "page_classes", "page_blocks", "page_row", "page_layout", "page_known",
+        "page_template",
     )
+    found = induced_templates(pages)
+    hosts = computed_once(found.classes.select(F.col("host").alias(host), F.array_join("classes", " ").alias(names)))
+    layouts = computed_once(found.templates.select(F.col("host").alias(host), F.col("layout").alias(key), F.lit(True).alias(known)))
+    # As text, so that its true size is measured, and so that a task reads it once.
+    templates = computed_once(found.templates.select(
+        F.col("host").alias(host), F.col("layout").alias(key),
+        F.to_json(F.struct("depth", "label", "constant")).alias(template),
+    ))
+
+    def weights(*keys: str) -> Callable[[], DataFrame]:
+        sizes = found.sizes.select(F.col("host").alias(host), F.col("layout").alias(key), "weight")
+        return lambda: sizes.groupBy(*keys).agg(F.sum("weight").alias("weight"))
+
+    rows = pages.withColumn(host, host_of(pages["url"])).withColumn(row, F.monotonically_increasing_id())
+    rows = lookup_join(rows, hosts, [host], weights(host), row, "left")
+    rows = rows.withColumn(own, blocks("html", names)).withColumn(key, F.col(f"{own}.layout"))
+    rows = lookup_join(rows, layouts, [host, key], weights(host, key), row, "left")
+    rows = rows.withColumn(key, F.when(F.col(known), F.col(key)).otherwise(F.lit(REST).cast("long")))
+    rows = lookup_join(rows, templates, [host, key], weights(host, key), row, "left")
+    text = extracted(f"{own}.depth", f"{own}.label", f"{own}.text", F.col(known).isNull(), template)
+    return rows.select(*[c for c in pages.columns if c.lower() != name.lower()], text.alias(name))
 
 
 def op10_html_wrapper(pages: DataFrame) -> DataFrame:
