@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_job: ContextVar[tuple[str, ...]] = ContextVar("job", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,20 +32,44 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[application].name
 
 
-def results_folder(spark: SparkSession) -> str:
-    """The subfolder of this application's shared results."""
+def _application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/gatewarden/{spark.sparkContext.applicationId}"
 
 
+def results_folder(spark: SparkSession) -> str:
+    """The subfolder of this application's shared results, and within a job of that job's."""
+    return "/".join([_application_folder(spark), *_job.get()])
+
+
 def remove_shared_results(spark: SparkSession) -> bool:
     """Delete all shared results of this application; True if there were any.
 
     Call it when no result that was built from them is needed any more: they
     are read lazily. Other applications' folders are not touched.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(results_folder(spark))
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(system.delete(folder, True))
+    return _removed(spark, _application_folder(spark))
+
+
+def _removed(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+
+
+@contextmanager
+def job_results(spark: SparkSession) -> Iterator[str]:
+    """Remove what is computed once within the block as soon as it ends, also by an error.
+
+    For services that run jobs again and again: build a job and write its output inside.
+    A frame built inside cannot be read outside. Blocks may be nested, and
+    threads do not share them.
+    """
+    token = _job.set((*_job.get(), f"job-{uuid.uuid4().hex}"))
+    folder = results_folder(spark)
+    try:
+        yield folder
+    finally:
+        _job.reset(token)
+        _removed(spark, folder)
 
 
 def computed_once(frame: DataFrame) -> DataFrame:

@@ -39,8 +39,8 @@ DAY_SHIFT, EVENING_SHIFT, NIGHT_SHIFT = "DAY_SHIFT", "EVENING_SHIFT", "NIGHT_SHI
 
 
 def spray_outcomes(wh: Warehouse, threshold: int = 5, since: str | None = FLOOR) -> DataFrame:
-    """Spraying addresses that also logged in → source_ip, users_targeted,
-    successful_logins, users_reached."""
+    """Spraying addresses that also logged in, at any time → source_ip, users_targeted,
+    successful_logins, users_reached. ``sequences.spray_entries`` asks for the order."""
     pairs = wh.events_since(since).groupBy("source_ip", "user_id").agg(
         F.count_if(~F.col("success")).alias("failures"),
         F.count_if("success").alias("successes"),
@@ -58,7 +58,7 @@ def spray_outcomes(wh: Warehouse, threshold: int = 5, since: str | None = FLOOR)
 
 
 def critical_asset_outcomes(wh: Warehouse, since: str | None = FLOOR) -> DataFrame:
-    """High-value hosts where an attacked (user, address) also got in.
+    """High-value hosts where an attacked (user, address) also got in, at any time.
 
     → hostname, asset_criticality, username, source_ip, failed_attempts,
     successful_logins.

@@ -166,3 +166,27 @@ def test_star_takes_address_columns_as_given(spark):
     again = warehouse.Warehouse.of(wh.users, wh.hosts, wh.events.withColumn(
         "is_external", F.lit(True)))
     assert again.events.filter("is_external").count() == 46
+
+
+def test_results_of_a_job_end_with_it(spark, sample, tmp_path):
+    from pathlib import Path
+
+    from gatewarden.functions import shared
+
+    kept = shared.computed_once(sample.users.select("user_id"))
+    with shared.job_results(spark) as folder:
+        with shared.job_results(spark) as inner:
+            shared.computed_once(sample.users.select("user_id"))
+            assert Path(inner).exists() and Path(inner).parent == Path(folder)
+        assert not Path(inner).exists()
+        brute_force.password_spraying(sample).write.parquet(str(tmp_path / "sprays"))
+        assert any(Path(folder).iterdir())
+    assert not Path(folder).exists()
+    assert spark.read.parquet(str(tmp_path / "sprays")).count() == 8 and kept.count() == 11
+    try:
+        with shared.job_results(spark) as folder:
+            shared.computed_once(sample.users.select("user_id"))
+            raise RuntimeError("the job failed")
+    except RuntimeError:
+        pass
+    assert not Path(folder).exists() and shared.results_folder(spark) == str(Path(folder).parent)
