@@ -1,9 +1,9 @@
 """Exact distinct counts that can be merged: over days, loads, or any other parts.
 
-A part keeps, per key and range of 32,768 neighbouring members, either its members as rows or,
-from ``DENSE`` members on, where rows would be longer, one bitmap. Merging unites bitmaps
-and tells rows apart, so a member of many parts counts once, and no part is ever counted
-again from its events. Members that are no numbers are kept as texts.
+A part keeps, per key and 64 neighbouring members, either its members as rows or, from ``DENSE``
+members on, where rows would be longer, one number with a bit for each. Merging unites bits, so a
+member of many parts counts once, and no part is ever counted again from its events. Members that
+are no numbers are kept as texts. Both ways are one aggregate that combines before it shuffles.
 """
 
 from __future__ import annotations
@@ -11,12 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Members of a range from which a bitmap of 4 KB is shorter than rows of 8 bytes.
-DENSE = 512
+#: Members of a range from which one number is shorter than rows.
+DENSE = 2
+
+# Fixed value: members of a range, the bits of a bigint.
+RANGE = 64
 
 STATE_COLUMNS = ("bucket", "bits", "member", "text")
 
 
+def _bucket(member: Column) -> Column:
+    return F.shiftright(member, 6)
+
+
+def _bit(member: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), member.bitwiseAND(RANGE - 1).cast("int"))
+
+
 def distinct_state(cells: DataFrame, keys: list[str], member: str | Column, text: str | Column | None = None,
                    dense: int = DENSE) -> DataFrame:
     """keys, bucket, bits, member, text: the members of each key as mergeable state.
@@ -24,40 +35,36 @@ def distinct_state(cells: DataFrame, keys: list[str], member: str | Column, text
     ``member`` is a bigint; where it is NULL the ``text`` stands for the member. ``cells`` may repeat
     a member.
     """
-    found = cells.select(
-        *keys,
-        (F.col(member) if isinstance(member, str) else member).cast("bigint").alias("member"),
-        (F.lit(None).cast("string") if text is None else (F.col(text) if isinstance(text, str) else text)).alias("text"),
-    ).distinct()
-    numbers = found.where(F.col("member").isNotNull()).withColumn("bucket", F.bitmap_bucket_number("member")).drop("text")
-    crowded = numbers.groupBy(*keys, "bucket").agg(F.count("*").alias("n")).where(F.col("n") >= dense).drop("n")
-    on = [*keys, "bucket"]
-    packed = (
-        numbers.join(crowded, on, "left_semi").groupBy(*on)
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("member")).alias("bits"))
-        .select(*keys, "bucket", "bits", F.lit(None).cast("bigint").alias("member"), F.lit(None).cast("string").alias("text"))
+    number = (F.col(member) if isinstance(member, str) else member).cast("bigint")
+    spelt = F.lit(None).cast("string") if text is None else (F.col(text) if isinstance(text, str) else text)
+    ranges = (
+        cells.select(*keys, number.alias("member"), F.when(number.isNull(), spelt).alias("text"))
+        .where(F.col("member").isNotNull() | F.col("text").isNotNull())
+        .groupBy(*keys, _bucket(F.col("member")).alias("bucket"), "text")
+        .agg(F.bit_or(_bit(F.col("member"))).alias("bits"), F.min("member").alias("least"))
+    )
+    n, first = F.bit_count("bits"), F.col("bucket") * RANGE
+    rows = F.filter(
+        F.sequence(first, first + (RANGE - 1)),
+        lambda m: F.col("bits").bitwiseAND(_bit(m)) != 0,
     )
-    few = numbers.join(crowded, on, "left_anti").select(
-        *keys, "bucket", F.lit(None).cast("binary").alias("bits"), "member", F.lit(None).cast("string").alias("text")
+    whole = F.array(F.lit(None).cast("bigint"))
+    members = (
+        F.when(F.col("bits").isNull() | (n >= dense), whole).when(n == 1, F.array("least")).otherwise(rows)
     )
-    texts = found.where(F.col("member").isNull() & F.col("text").isNotNull()).select(
-        *keys, F.lit(None).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "member", "text"
+    return ranges.withColumn("member", F.explode(members)).select(
+        *keys, "bucket", F.when(F.col("member").isNull(), F.col("bits")).alias("bits"), "member", "text"
     )
-    return packed.unionByName(few).unionByName(texts)
 
 
 def merged_distincts(state: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """keys, ``name``: how many members a key has over all rows of the state; keys are never NULL."""
-    on = [*keys, "bucket"]
-    bits = state.where(F.col("bits").isNotNull()).select(*on, "bits")
-    numbers = state.where(F.col("member").isNotNull()).select(*on, "member").distinct()
-    crowded = bits.select(*on).distinct()
-    into = numbers.join(crowded, on, "left_semi").groupBy(*on).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("member")).alias("bits")
+    """keys, ``name``: how many members a key has over all rows of the state; keys are never NULL.
+
+    A text counts as a range of its own with one bit.
+    """
+    bits = F.coalesce("bits", _bit(F.col("member")), F.lit(1).cast("bigint"))
+    return (
+        state.select(*keys, "bucket", "text", bits.alias("bits"))
+        .groupBy(*keys, "bucket", "text").agg(F.bit_count(F.bit_or("bits")).alias("n"))
+        .groupBy(*keys).agg(F.sum("n").alias(name))
     )
-    parts = [
-        bits.unionByName(into).groupBy(*on).agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n")).drop("bucket"),
-        numbers.join(crowded, on, "left_anti").groupBy(*keys).agg(F.count("*").alias("n")),
-        state.where(F.col("text").isNotNull()).select(*keys, "text").distinct().groupBy(*keys).agg(F.count("*").alias("n")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy(*keys).agg(F.sum("n").alias(name))

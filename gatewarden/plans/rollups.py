@@ -50,20 +50,17 @@ def pair_days(events: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def host_days(events: DataFrame) -> DataFrame:
-    """Failures per day, host (which may be unknown) and address."""
+    """Failures, if any, per day, host (which may be unknown) and address."""
     return (
-        events.where(~F.col("success"))
-        .groupBy(F.to_date("event_timestamp").alias("event_date"), F.col("dest_host_id").alias("host_id"), "source_ip")
-        .agg(F.count("*").alias("failures"))
+        events.groupBy(
+            F.to_date("event_timestamp").alias("event_date"), F.col("dest_host_id").alias("host_id"), "source_ip", "is_external"
+        )
+        .agg(F.count_if(~F.col("success")).alias("failures"))
     )
 
 
-def distinct_days(events: DataFrame, pairs: DataFrame) -> DataFrame:
+def distinct_days(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
     """event_date, what, subject, and the distinct state of each."""
-    hosts = events.where("is_external and dest_host_id is not null").select(
-        F.to_date("event_timestamp").alias("event_date"), "source_ip", "dest_host_id"
-    ).distinct()
-
     def members(rows: DataFrame, what: str, subject: Column, member: str, text: str | None = None) -> DataFrame:
         return rows.select(
             "event_date", F.lit(what).alias("what"), subject.cast("string").alias("subject"),
@@ -74,7 +71,7 @@ def distinct_days(events: DataFrame, pairs: DataFrame) -> DataFrame:
     cells = (
         members(pairs.where("failures > 0"), FAILED_USERS, F.col("source_ip"), "user_id")
         .unionByName(members(pairs.where("is_external"), USERS, F.col("source_ip"), "user_id"))
-        .unionByName(members(hosts, TARGET_HOSTS, F.col("source_ip"), "dest_host_id"))
+        .unionByName(members(hosts.where("is_external"), TARGET_HOSTS, F.col("source_ip"), "host_id"))
         .unionByName(members(covered, ATTACKERS, F.col("business"), "source_ip_num", "source_ip"))
         .unionByName(members(covered, TARGETS, F.col("business"), "user_id"))
     )
@@ -84,10 +81,11 @@ def distinct_days(events: DataFrame, pairs: DataFrame) -> DataFrame:
 def write_rollups(events: DataFrame, path: str, load: str, calendar: Calendar | None = None) -> None:
     """Add a load's parts to the rollups at ``path``, or replace those it wrote before.
 
-    ``events`` are the load's, with their stored columns; only they are read.
+    ``events`` are the load's, with their stored columns; only they are read, twice.
     """
-    pairs = computed_once(pair_days(events, calendar or Calendar()))
-    for name, parts in ((PAIRS, pairs), (HOSTS, host_days(events)), (DISTINCTS, distinct_days(events, pairs))):
+    pairs, hosts = computed_once(pair_days(events, calendar or Calendar())), computed_once(host_days(events))
+    failed_hosts = hosts.where("failures > 0").drop("is_external")
+    for name, parts in ((PAIRS, pairs), (HOSTS, failed_hosts), (DISTINCTS, distinct_days(pairs, hosts))):
         (
             parts.withColumn("load", F.lit(load)).hint("rebalance", "event_date")
             .write.partitionBy("event_date", "load").mode("overwrite")

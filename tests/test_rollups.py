@@ -10,6 +10,7 @@ from gatewarden.operators import scenarios
 from gatewarden.plans import dashboard, executive, rollups
 from gatewarden.sources import warehouse
 from tests.sample_star import event, frame_of_events, sample_events, star, tuples
+from tests.test_reports import Scans
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,30 @@ def test_distincts_merge_exactly(spark, dense):
     merged = merged_distincts(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["key"], "n")
     expected = {k: len({(m, None if m is not None else t) for _, key, m, t in rows if key == k}) for k in ("k1", "k2")}
     assert dict(tuples(merged)) == expected
+
+
+def test_a_load_reads_its_events_twice(spark, tmp_path):
+    scans = Scans(star(spark, events=sample_events()))
+    rollups.write_rollups(scans.wh.events, str(tmp_path), "load", scans.wh.calendar)
+    assert scans.passes == 2
+
+
+def test_distinct_state_is_one_aggregate(spark):
+    """Cells are evaluated once, combined before the only shuffle, and never joined with their counts."""
+    cells = spark.range(1000).selectExpr("id % 3 as key", "id as member", "cast(id as string) as text")
+    for frame in (distinct_state(cells, ["key"], "member", "text"),
+                  merged_distincts(distinct_state(cells, ["key"], "member", "text"), ["key"], "n")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (") == 1 and "Join" not in plan and "SortAggregate" not in plan
+    assert distinct_state(cells, ["key"], "member", "text")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_ranges_of_all_signs_keep_every_bit(spark):
+    """Lone members are rows, several of 64 neighbours one number, at the ends of bigint too."""
+    members = [-(2**63), -(2**63) + 63, -65, -64, -1, 0, 63, 64, 2**63 - 64, 2**63 - 1]
+    cells = spark.createDataFrame([("k", m) for m in members], "key string, member bigint")
+    for dense in (1, 2, 3):
+        state = distinct_state(cells, ["key"], "member", dense=dense)
+        assert tuples(merged_distincts(state, ["key"], "n")) == [("k", len(members))]
+        kept = {r["member"] for r in state.collect() if r["member"] is not None}
+        assert kept == {1: set(), 2: {-65, 64}, 3: set(members)}[dense]
