@@ -8,9 +8,14 @@ are no numbers are kept as texts. Both ways are one aggregate that combines befo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: An aggregate that can be taken of its own results: a sum, least or greatest value.
+Total = Callable[[str], Column]
+
 #: Members of a range from which one number is shorter than rows.
 DENSE = 2
 
@@ -57,14 +62,24 @@ def distinct_state(cells: DataFrame, keys: list[str], member: str | Column, text
     )
 
 
-def merged_distincts(state: DataFrame, keys: list[str], name: str) -> DataFrame:
+def member_rows(cells: DataFrame, member: str) -> DataFrame:
+    """Cells that are stored anyway, as state: a row is its own member (none if NULL) and keeps its other columns."""
+    return cells.withColumns({
+        "member": F.col(member).cast("bigint"), "bucket": _bucket(F.col(member).cast("bigint")),
+        "bits": F.lit(None).cast("bigint"), "text": F.lit(None).cast("string"),
+    })
+
+
+def merged_distincts(state: DataFrame, keys: list[str], name: str, **totals: tuple[Total, str]) -> DataFrame:
     """keys, ``name``: how many members a key has over all rows of the state; keys are never NULL.
 
-    A text counts as a range of its own with one bit.
+    A text counts as a range of its own with one bit. ``totals`` are added up in the same pass: a sum,
+    least or greatest value of a column of the state.
     """
-    bits = F.coalesce("bits", _bit(F.col("member")), F.lit(1).cast("bigint"))
-    return (
-        state.select(*keys, "bucket", "text", bits.alias("bits"))
-        .groupBy(*keys, "bucket", "text").agg(F.bit_count(F.bit_or("bits")).alias("n"))
-        .groupBy(*keys).agg(F.sum("n").alias(name))
+    bits = F.coalesce("bits", _bit(F.col("member")), F.when(F.col("text").isNotNull(), 1).otherwise(0).cast("bigint"))
+    ranges = state.withColumn("bits", bits).groupBy(*keys, "bucket", "text").agg(
+        F.bit_count(F.bit_or("bits")).alias("n"), *[total(column).alias(label) for label, (total, column) in totals.items()]
+    )
+    return ranges.groupBy(*keys).agg(
+        F.sum("n").alias(name), *[total(label).alias(label) for label, (total, _) in totals.items()]
     )

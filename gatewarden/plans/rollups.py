@@ -1,8 +1,8 @@
 """Stored daily rollups: reports are kept up to date by what each load brings.
 
 A load writes three small tables next to its facts, by day: outcomes per (user, address), failures
-per (host, address), and mergeable distinct state. A load that runs again replaces its own
-parts. Reading merges the parts of all loads and days asked for, so a report never scans the
+per (host, address), and mergeable distinct state of what those do not hold: the users of an address
+are its pairs. A load that runs again replaces its own parts. Reading merges the parts of all loads and days asked for, so a report never scans the
 events again, however many loads there were.
 
 A day's rollup cannot be cut, so floors are days.
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewarden.functions.clock import Calendar, day_of_week
-from gatewarden.functions.distincts import distinct_state, merged_distincts
+from gatewarden.functions.distincts import distinct_state, member_rows, merged_distincts
 from gatewarden.functions.numbers import percent
 from gatewarden.functions.shared import computed_once
 from gatewarden.operators.scenarios import OFFICE_DAYS, OFFICE_HOURS, scenario_classification
@@ -30,7 +30,7 @@ PERIODS = (1, 7, 91)
 PAIRS, HOSTS, DISTINCTS = "rollup_pairs", "rollup_hosts", "rollup_distincts"
 
 # What a row of distinct state counts.
-FAILED_USERS, USERS, TARGET_HOSTS = "failed users of address", "users of address", "hosts of address"
+TARGET_HOSTS = "hosts of address"
 ATTACKERS, TARGETS = "addresses by working time", "users by working time"
 
 
@@ -60,7 +60,7 @@ def host_days(events: DataFrame) -> DataFrame:
 
 
 def distinct_days(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
-    """event_date, what, subject, and the distinct state of each."""
+    """event_date, what, subject, and the distinct state of each; the pairs are the users of an address."""
     def members(rows: DataFrame, what: str, subject: Column, member: str, text: str | None = None) -> DataFrame:
         return rows.select(
             "event_date", F.lit(what).alias("what"), subject.cast("string").alias("subject"),
@@ -69,9 +69,7 @@ def distinct_days(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
 
     covered = pairs.where("covered")
     cells = (
-        members(pairs.where("failures > 0"), FAILED_USERS, F.col("source_ip"), "user_id")
-        .unionByName(members(pairs.where("is_external"), USERS, F.col("source_ip"), "user_id"))
-        .unionByName(members(hosts.where("is_external"), TARGET_HOSTS, F.col("source_ip"), "host_id"))
+        members(hosts.where("is_external"), TARGET_HOSTS, F.col("source_ip"), "host_id")
         .unionByName(members(covered, ATTACKERS, F.col("business"), "source_ip_num", "source_ip"))
         .unionByName(members(covered, TARGETS, F.col("business"), "user_id"))
     )
@@ -81,16 +79,35 @@ def distinct_days(pairs: DataFrame, hosts: DataFrame) -> DataFrame:
 def write_rollups(events: DataFrame, path: str, load: str, calendar: Calendar | None = None) -> None:
     """Add a load's parts to the rollups at ``path``, or replace those it wrote before.
 
-    ``events`` are the load's, with their stored columns; only they are read, twice.
+    ``events`` are the load's, with their stored columns; only they are read, twice. The pairs, which
+    may be nearly as many, are written once: their distinct state comes from where they are stored.
     """
-    pairs, hosts = computed_once(pair_days(events, calendar or Calendar())), computed_once(host_days(events))
-    failed_hosts = hosts.where("failures > 0").drop("is_external")
-    for name, parts in ((PAIRS, pairs), (HOSTS, failed_hosts), (DISTINCTS, distinct_days(pairs, hosts))):
-        (
-            parts.withColumn("load", F.lit(load)).hint("rebalance", "event_date")
-            .write.partitionBy("event_date", "load").mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
-        )
+    hosts, pairs = computed_once(host_days(events)), pair_days(events, calendar or Calendar())
+    _write_parts(pairs, f"{path}/{PAIRS}", load)
+    _write_parts(hosts.where("failures > 0").drop("is_external"), f"{path}/{HOSTS}", load)
+    _write_parts(distinct_days(_stored_pairs(pairs, hosts, path, load), hosts), f"{path}/{DISTINCTS}", load)
+
+
+def _write_parts(parts: DataFrame, folder: str, load: str) -> None:
+    (
+        parts.withColumn("load", F.lit(load)).hint("rebalance", "event_date")
+        .write.partitionBy("event_date", "load").mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").parquet(folder)
+    )
+
+
+def _stored_pairs(pairs: DataFrame, hosts: DataFrame, path: str, load: str) -> DataFrame:
+    """The pairs as the load has just stored them; only the folders of its days are listed."""
+    days = [row["event_date"] for row in hosts.select("event_date").distinct().collect()]  # one value a day
+    if not days:
+        return pairs.limit(0)
+    folder = f"{path}/{PAIRS}"
+    names = ["__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat() for day in days]
+    stored = (
+        pairs.sparkSession.read.schema(pairs.withColumn("load", F.lit(load)).schema).option("basePath", folder)
+        .parquet(*[f"{folder}/event_date={name}" for name in names])
+    )
+    return stored.where(F.col("load") == load).select(pairs.columns)
 
 
 @dataclass(frozen=True)
@@ -142,6 +159,11 @@ class Rollups:
         parts = _in_periods(self.distincts.where(F.col("what") == what), as_of, periods)
         return merged_distincts(parts, ["period_days", "subject"], name)
 
+    def address_counts(self, which: str, as_of: str, periods: tuple[int, ...], name: str, **totals) -> DataFrame:
+        """period_days, source_ip, ``name``: the users of ``which`` pairs, and their totals, in one pass."""
+        cells = member_rows(_in_periods(self.pairs.where(which), as_of, periods), "user_id")
+        return merged_distincts(cells, ["period_days", "source_ip"], name, **totals)
+
 
 def _from_day(since: str | None) -> Column:
     if since is None:
@@ -197,15 +219,12 @@ def document_of(wh: Warehouse, rollups: Rollups, generated_at: str, since: str |
 def spraying_over_periods(rollups: Rollups, as_of: str, periods: tuple[int, ...] = PERIODS,
                           threshold: int = 5) -> DataFrame:
     """→ period_days, source_ip, users_targeted, total_attempts, attack_start, attack_end."""
-    users = rollups.distinct_counts(FAILED_USERS, as_of, periods, "users_targeted").where(
-        F.col("users_targeted") >= threshold
-    )
-    totals = _in_periods(rollups.pairs.where("failures > 0"), as_of, periods).groupBy("period_days", "source_ip").agg(
-        F.sum("failures").alias("total_attempts"),
-        F.min("first_failure").alias("attack_start"), F.max("last_failure").alias("attack_end"),
-    )
     return (
-        users.withColumnRenamed("subject", "source_ip").join(totals, ["period_days", "source_ip"])
+        rollups.address_counts(
+            "failures > 0", as_of, periods, "users_targeted", total_attempts=(F.sum, "failures"),
+            attack_start=(F.min, "first_failure"), attack_end=(F.max, "last_failure"),
+        )
+        .where((F.col("users_targeted") >= threshold) & F.col("source_ip").isNotNull())
         .orderBy("period_days", F.desc("users_targeted"), "source_ip")
     )
 
@@ -213,15 +232,16 @@ def spraying_over_periods(rollups: Rollups, as_of: str, periods: tuple[int, ...]
 def external_over_periods(rollups: Rollups, as_of: str, periods: tuple[int, ...] = PERIODS) -> DataFrame:
     """→ period_days, source_ip, outcomes, unique_users_targeted, unique_hosts_targeted, first and last seen."""
     keys = ["period_days", "source_ip"]
-    totals = _in_periods(rollups.pairs.where("is_external"), as_of, periods).groupBy(*keys).agg(
-        F.sum("events").alias("total_attempts"), F.sum("failures").alias("failed_attempts"),
-        F.sum(F.col("events") - F.col("failures")).alias("successful_logins"),
-        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+    users, hosts = "unique_users_targeted", "unique_hosts_targeted"
+    totals = rollups.address_counts(
+        "is_external", as_of, periods, users, total_attempts=(F.sum, "events"), failed_attempts=(F.sum, "failures"),
+        first_seen=(F.min, "first_seen"), last_seen=(F.max, "last_seen"),
     )
-    for what, name in ((USERS, "unique_users_targeted"), (TARGET_HOSTS, "unique_hosts_targeted")):
-        counted = rollups.distinct_counts(what, as_of, periods, name).withColumnRenamed("subject", "source_ip")
-        totals = totals.join(counted, keys, "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    return totals.orderBy("period_days", F.desc("successful_logins"), F.desc("total_attempts"), "source_ip")
+    reached = rollups.distinct_counts(TARGET_HOSTS, as_of, periods, hosts).withColumnRenamed("subject", "source_ip")
+    return totals.join(reached, keys, "left").select(
+        *keys, "total_attempts", "failed_attempts", (F.col("total_attempts") - F.col("failed_attempts")).alias("successful_logins"),
+        "first_seen", "last_seen", users, F.coalesce(hosts, F.lit(0)).alias(hosts),
+    ).orderBy("period_days", F.desc("successful_logins"), F.desc("total_attempts"), "source_ip")
 
 
 def business_hours_over_periods(rollups: Rollups, as_of: str, periods: tuple[int, ...] = PERIODS) -> DataFrame:

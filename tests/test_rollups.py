@@ -1,14 +1,17 @@
 """Reports from stored daily rollups, and distinct counts that are merged, not recounted."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from gatewarden.functions.distincts import distinct_state, merged_distincts
+from gatewarden.functions.distincts import distinct_state, member_rows, merged_distincts
+from gatewarden.functions.shared import job_results
 from gatewarden.operators import scenarios
 from gatewarden.plans import dashboard, executive, rollups
 from gatewarden.sources import warehouse
+from gatewarden.trial import load_queries
 from tests.sample_star import event, frame_of_events, sample_events, star, tuples
 from tests.test_reports import Scans
 
@@ -112,3 +115,65 @@ def test_ranges_of_all_signs_keep_every_bit(spark):
         assert tuples(merged_distincts(state, ["key"], "n")) == [("k", len(members))]
         kept = {r["member"] for r in state.collect() if r["member"] is not None}
         assert kept == {1: set(), 2: {-65, 64}, 3: set(members)}[dense]
+
+
+def test_a_load_writes_its_pairs_once(spark, tmp_path):
+    """Near-unique pairs are not kept a second time, as an intermediate table or as the users of their addresses."""
+    rows = [event(n, n, 1, f"198.51.100.{n % 9}", "F", "2025-01-20 10:00:00") for n in range(1, 900)]
+    events = warehouse.with_event_defaults(frame_of_events(spark, rows))
+    with job_results(spark) as folder:
+        rollups.write_rollups(events, str(tmp_path), "load", star(spark).calendar)
+        assert len(list(Path(folder).iterdir())) == 1  # the hosts
+    stored = rollups.Rollups.open(spark, str(tmp_path))
+    assert stored.pairs.count() == 899 and stored.distincts.count() < 100
+    found = rollups.spraying_over_periods(stored, "2025-01-20", (1,))
+    assert {r["source_ip"]: r["users_targeted"] for r in found.collect()} == {
+        f"198.51.100.{k}": sum(n % 9 == k for n in range(1, 900)) for k in range(9)
+    }
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan") == 1
+
+
+def test_loads_of_one_day_keep_apart(spark, tmp_path):
+    """A load takes its state from its own pairs, next to other loads of its days and events without a time."""
+    def load(name, *rows):
+        events = warehouse.with_event_defaults(frame_of_events(spark, rows))
+        rollups.write_rollups(events, str(tmp_path), name, star(spark).calendar)
+
+    day, timeless = "2025-01-20 10:00:00", F.col("event_id") == 4
+    load("1", event(1, 1, 1, "198.51.100.1", "F", day), event(2, 2, 1, "198.51.100.1", "S", day))
+    load("2", event(3, 3, 2, "198.51.100.2", "F", day))
+    rows = frame_of_events(spark, [event(4, 4, 2, "198.51.100.3", "F", day), event(5, 5, 2, "198.51.100.3", "F", day)])
+    odd = rows.withColumns({
+        "event_timestamp": F.when(~timeless, F.col("event_timestamp")), "user_id": F.when(timeless, F.col("user_id")),
+    })
+    for _ in range(2):
+        rollups.write_rollups(warehouse.with_event_defaults(odd), str(tmp_path), "3", star(spark).calendar)
+    rollups.write_rollups(warehouse.with_event_defaults(rows.limit(0)), str(tmp_path), "none", star(spark).calendar)
+    state = spark.read.schema("event_date date, load string, what string").parquet(f"{tmp_path}/{rollups.DISTINCTS}")
+    assert sorted(tuples(state.where("event_date is not null").groupBy("load", "what").count())) == sorted([
+        *[(name, what, 1) for name in "12" for what in (rollups.TARGET_HOSTS, rollups.ATTACKERS, rollups.TARGETS)],
+        ("3", rollups.TARGET_HOSTS, 1), ("3", rollups.ATTACKERS, 1),
+    ])
+    stored = rollups.Rollups.open(spark, str(tmp_path))
+    found = rollups.external_over_periods(stored, "2025-01-20", (1,))
+    assert sorted(tuples(found.select("source_ip", "total_attempts", "successful_logins", "unique_users_targeted", "unique_hosts_targeted"))) == [
+        ("198.51.100.1", 2, 1, 2, 1), ("198.51.100.2", 1, 0, 1, 1), ("198.51.100.3", 1, 0, 0, 1),  # one attempt without a user
+    ]
+
+
+def test_totals_are_added_in_the_pass_of_the_distincts(spark):
+    cells = spark.createDataFrame(
+        [("k", 1, 5), ("k", 1, 7), ("k", 65, 1), ("k", None, 2), ("l", None, 4), ("l", -(2**63), 6)], "key string, who bigint, amount int"
+    )
+    merged = merged_distincts(
+        member_rows(cells, "who"), ["key"], "n", total=(F.sum, "amount"), least=(F.min, "amount"), most=(F.max, "amount")
+    )
+    assert sorted(tuples(merged)) == [("k", 2, 15, 1, 7), ("l", 1, 10, 4, 6)]
+
+
+def test_loads_of_the_trial_read_its_events_once(spark):
+    scans = Scans(star(spark, events=sample_events()))
+    stored = load_queries.after_loads(scans.wh)
+    assert scans.passes == 1
+    assert tuples(rollups.kpi_of(stored, None)) == tuples(scenarios.kpi_summary(scans.wh, None))
