@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gatewarden.functions.clock import Calendar, day_of_week
@@ -33,6 +34,9 @@ PAIRS, HOSTS, DISTINCTS = "rollup_pairs", "rollup_hosts", "rollup_distincts"
 TARGET_HOSTS = "hosts of address"
 ATTACKERS, TARGETS = "addresses by working time", "users by working time"
 
+#: Events of a day from which its parts of a load are more than one file.
+EVENTS_PER_FILE = 500_000
+
 
 def pair_days(events: DataFrame, calendar: Calendar) -> DataFrame:
     """Outcomes per day, user, address, office time and working time."""
@@ -50,12 +54,12 @@ def pair_days(events: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def host_days(events: DataFrame) -> DataFrame:
-    """Failures, if any, per day, host (which may be unknown) and address."""
+    """Events and failures, if any, per day, host (which may be unknown) and address."""
     return (
         events.groupBy(
             F.to_date("event_timestamp").alias("event_date"), F.col("dest_host_id").alias("host_id"), "source_ip", "is_external"
         )
-        .agg(F.count_if(~F.col("success")).alias("failures"))
+        .agg(F.count("*").alias("events"), F.count_if(~F.col("success")).alias("failures"))
     )
 
 
@@ -83,24 +87,41 @@ def write_rollups(events: DataFrame, path: str, load: str, calendar: Calendar |
     may be nearly as many, are written once: their distinct state comes from where they are stored.
     """
     hosts, pairs = computed_once(host_days(events)), pair_days(events, calendar or Calendar())
-    _write_parts(pairs, f"{path}/{PAIRS}", load)
-    _write_parts(hosts.where("failures > 0").drop("is_external"), f"{path}/{HOSTS}", load)
-    _write_parts(distinct_days(_stored_pairs(pairs, hosts, path, load), hosts), f"{path}/{DISTINCTS}", load)
-
-
-def _write_parts(parts: DataFrame, folder: str, load: str) -> None:
+    days = hosts.groupBy("event_date").agg(F.sum("events").alias("events")).collect()  # one row a day
+    if not days:
+        return
+    files = _files(hosts, days)
+    failures = hosts.where("failures > 0").drop("is_external", "events")
+    _write_parts(pairs, ["user_id", "source_ip"], files, f"{path}/{PAIRS}", load)
+    _write_parts(failures, ["host_id", "source_ip"], files, f"{path}/{HOSTS}", load)
+    stored = _stored_pairs(pairs, [row["event_date"] for row in days], path, load)
+    _write_parts(distinct_days(stored, hosts), ["subject", "bucket", "text"], files, f"{path}/{DISTINCTS}", load)
+
+
+def _files(hosts: DataFrame, days: list[Row]) -> tuple[DataFrame, int]:
+    """Per event_date the ``first`` and the number of its ``files``, and the number of all: they follow from the
+    events of each day, not from settings or estimates of sizes."""
+    files = [-(-row["events"] // EVENTS_PER_FILE) for row in days]
+    firsts = [0, *accumulate(files)]
+    rows = [(row["event_date"], first, n) for row, first, n in zip(days, firsts, files)]
+    return hosts.sparkSession.createDataFrame(rows, "event_date date, first int, files int"), firsts[-1]
+
+
+def _write_parts(parts: DataFrame, spread: list[str], files: tuple[DataFrame, int], folder: str, load: str) -> None:
+    """Each file is written by one task; a day's rows are dealt to its files by the columns of ``spread``."""
+    per_day, n = files
+    per_day = F.broadcast(per_day.withColumnRenamed("event_date", "day"))  # one row a day
+    file = F.col("first") + F.pmod(F.xxhash64(*spread), F.col("files")).cast("int")
     (
-        parts.withColumn("load", F.lit(load)).hint("rebalance", "event_date")
+        parts.join(per_day, F.col("event_date").eqNullSafe(F.col("day"))).withColumn("file", file)
+        .repartitionById(n, "file").drop("day", "first", "files", "file").withColumn("load", F.lit(load))
         .write.partitionBy("event_date", "load").mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").parquet(folder)
     )
 
 
-def _stored_pairs(pairs: DataFrame, hosts: DataFrame, path: str, load: str) -> DataFrame:
+def _stored_pairs(pairs: DataFrame, days: list[date | None], path: str, load: str) -> DataFrame:
     """The pairs as the load has just stored them; only the folders of its days are listed."""
-    days = [row["event_date"] for row in hosts.select("event_date").distinct().collect()]  # one value a day
-    if not days:
-        return pairs.limit(0)
     folder = f"{path}/{PAIRS}"
     names = ["__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat() for day in days]
     stored = (

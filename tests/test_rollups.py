@@ -1,6 +1,7 @@
 """Reports from stored daily rollups, and distinct counts that are merged, not recounted."""
 
 import random
+import threading
 from pathlib import Path
 
 import pytest
@@ -177,3 +178,45 @@ def test_loads_of_the_trial_read_its_events_once(spark):
     stored = load_queries.after_loads(scans.wh)
     assert scans.passes == 1
     assert tuples(rollups.kpi_of(stored, None)) == tuples(scenarios.kpi_summary(scans.wh, None))
+
+
+@pytest.mark.parametrize("per_file, files", [(500_000, 1), (100, 9)])
+def test_files_of_a_load_follow_from_its_events(spark, tmp_path, monkeypatch, per_file, files):
+    """However small the partitions are that a session asks for, a day has a file per so many events, and every row."""
+    monkeypatch.setattr(rollups, "EVENTS_PER_FILE", per_file, raising=False)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in small}
+    rows = [event(n, n, 1, f"198.51.100.{n % 9}", "F", "2025-01-20 10:00:00") for n in range(1, 901)]
+    rows.append(event(901, 1, 1, "198.51.100.1", "S", "2025-01-21 10:00:00"))
+    events = warehouse.with_event_defaults(frame_of_events(spark, rows))
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        rollups.write_rollups(events, str(tmp_path), "load", star(spark).calendar)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for day, n in (("2025-01-20", files), ("2025-01-21", 1)):
+        assert len(list(tmp_path.glob(f"{rollups.PAIRS}/event_date={day}/load=load/*.parquet"))) == n
+        assert 0 < len(list(tmp_path.glob(f"{rollups.DISTINCTS}/event_date={day}/load=load/*.parquet"))) <= n
+    stored = rollups.Rollups.open(spark, str(tmp_path))
+    assert stored.pairs.count() == 901 and stored.hosts.agg(F.sum("failures")).first()[0] == 900
+
+
+def test_loads_of_the_trial_run_side_by_side(spark, monkeypatch):
+    """The three loads are written at one time, the repeated one after them."""
+    together, order, write = threading.Barrier(3), [], rollups.write_rollups
+
+    def waiting(events, path, load, calendar):
+        if order.count(load) == 0:
+            together.wait(60)
+        write(events, path, load, calendar)
+        order.append(load)
+
+    monkeypatch.setattr(rollups, "write_rollups", waiting)
+    wh = star(spark, events=sample_events())
+    with job_results(spark) as folder:
+        stored = load_queries.after_loads(wh)
+        assert sorted(order[:3]) == ["load-0", "load-1", "load-2"] and order[3:] == ["load-1"]
+        assert all(name.startswith(f"file:{folder}") or folder in name for name in stored.pairs.inputFiles())
+        assert tuples(rollups.kpi_of(stored, None)) == tuples(scenarios.kpi_summary(wh, None))
