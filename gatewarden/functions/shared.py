@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_one_folder = Lock()
 _job: ContextVar[tuple[str, ...]] = ContextVar("job", default=())
 
 
@@ -27,8 +30,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     application = context.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.TemporaryDirectory(prefix="gatewarden-")
+    with _one_folder:
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.TemporaryDirectory(prefix="gatewarden-")
     return _local_folders[application].name
 
 
@@ -61,7 +65,7 @@ def job_results(spark: SparkSession) -> Iterator[str]:
 
     For services that run jobs again and again: build a job and write its output inside.
     A frame built inside cannot be read outside. Blocks may be nested, and
-    threads do not share them.
+    threads do not share them, but for those of ``side_by_side``.
     """
     token = _job.set((*_job.get(), f"job-{uuid.uuid4().hex}"))
     folder = results_folder(spark)
@@ -84,3 +88,12 @@ def computed_once(frame: DataFrame) -> DataFrame:
     path = f"{results_folder(spark)}/{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def side_by_side[T](*steps: Callable[[], T]) -> list[T]:
+    """The results of steps that do not need each other, whose Spark jobs may run at one time.
+
+    A job of few tasks then does not leave the other cores idle. The steps belong to the caller's job.
+    """
+    with ThreadPoolExecutor(len(steps)) as threads:
+        return [done.result() for done in [threads.submit(copy_context().run, step) for step in steps]]

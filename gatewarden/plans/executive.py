@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewarden.functions.members import with_group_counts
 from gatewarden.functions.numbers import percent
-from gatewarden.functions.shared import computed_once
+from gatewarden.functions.shared import computed_once, side_by_side
 from gatewarden.functions.text import minute_stamp
 from gatewarden.operators import FLOOR
 from gatewarden.operators.scenarios import pair_rollup
@@ -33,17 +34,17 @@ def executive_dashboard(wh: Warehouse, since: str | None = FLOOR,
     failures per host and day; not at all where both are given. Rows that name several addresses or accounts
     come once per name, with the same metric and value.
     """
-    if rollup is None:
-        rollup = computed_once(pair_rollup(wh, since))
-    failures = computed_once(_host_days(wh, since)) if host_days is None else host_days
-    parts = [
-        *_address_rows(rollup),
-        *_user_rows(wh, rollup),
-        _brute_force_rows(wh, rollup),
-        _actor_rows(wh, rollup),
-        _host_rows(wh, failures),
-        _peak_day_row(failures),
-    ]
+    pairs, failures = side_by_side(
+        lambda: computed_once(pair_rollup(wh, since)) if rollup is None else rollup,
+        lambda: computed_once(_host_days(wh, since)) if host_days is None else host_days,
+    )
+    counted = side_by_side(
+        lambda: _address_rows(pairs),
+        lambda: _user_rows(wh, pairs),
+        lambda: [_brute_force_rows(wh, pairs)],
+        lambda: [_actor_rows(wh, pairs)],
+    )
+    parts = [*chain(*counted), _host_rows(wh, failures), _peak_day_row(failures)]
     rank = F.array_position(F.array(*map(F.lit, T.CATEGORIES)), F.col("category"))
     return reduce(DataFrame.unionByName, parts).orderBy(
         rank, "category", "metric", "details"

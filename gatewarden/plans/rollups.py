@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gatewarden.functions.clock import Calendar, day_of_week
 from gatewarden.functions.distincts import distinct_state, member_rows, merged_distincts
 from gatewarden.functions.numbers import percent
-from gatewarden.functions.shared import computed_once
+from gatewarden.functions.shared import computed_once, side_by_side
 from gatewarden.operators.scenarios import OFFICE_DAYS, OFFICE_HOURS, scenario_classification
 from gatewarden.plans.dashboard import dashboard_document
 from gatewarden.plans.executive import executive_dashboard
@@ -219,9 +219,10 @@ def kpi_of(rollups: Rollups, since: str | None) -> DataFrame:
 
 def executive_of(wh: Warehouse, rollups: Rollups, since: str | None) -> DataFrame:
     """The executive report; of ``wh`` only the dimensions are read."""
-    return executive_dashboard(
-        wh, since, computed_once(rollups.pair_rollup(since)), computed_once(rollups.failures_by_host_and_day(since))
-    )
+    return executive_dashboard(wh, since, *side_by_side(
+        lambda: computed_once(rollups.pair_rollup(since)),
+        lambda: computed_once(rollups.failures_by_host_and_day(since)),
+    ))
 
 
 def scenarios_of(wh: Warehouse, rollups: Rollups, since: str | None) -> DataFrame:

@@ -7,14 +7,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewarden.functions.shared import computed_once, results_folder
+from gatewarden.functions.shared import computed_once, results_folder, side_by_side
 from gatewarden.functions.addresses import with_address_columns
 from gatewarden.operators import network_zones, sequences, trends
 from gatewarden.plans import rollups
@@ -81,9 +79,7 @@ def after_loads(wh: Warehouse) -> rollups.Rollups:
     def write(load: int) -> None:
         rollups.write_rollups(facts.where(F.col("load") == load), path, f"load-{load}", wh.calendar)
 
-    with ThreadPoolExecutor(LOADS) as side_by_side:
-        for written in [side_by_side.submit(copy_context().run, write, load) for load in range(LOADS)]:
-            written.result()
+    side_by_side(*[partial(write, load) for load in range(LOADS)])
     write(1)
     return rollups.Rollups.open(wh.spark, path)
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gatewarden.functions.distincts import distinct_state, member_rows, merged_distincts
-from gatewarden.functions.shared import job_results
+from gatewarden.functions.shared import job_results, results_folder
 from gatewarden.operators import scenarios
 from gatewarden.plans import dashboard, executive, rollups
 from gatewarden.sources import warehouse
@@ -220,3 +220,23 @@ def test_loads_of_the_trial_run_side_by_side(spark, monkeypatch):
         assert sorted(order[:3]) == ["load-0", "load-1", "load-2"] and order[3:] == ["load-1"]
         assert all(name.startswith(f"file:{folder}") or folder in name for name in stored.pairs.inputFiles())
         assert tuples(rollups.kpi_of(stored, None)) == tuples(scenarios.kpi_summary(wh, None))
+
+
+def test_parts_of_the_executive_report_run_side_by_side(spark, loaded, monkeypatch):
+    """Address, user, brute-force and actor rows are computed at one time, within the job that asked for them."""
+    wh, stored = loaded
+    expected = tuples(executive.executive_dashboard(wh, None))
+    together, folders = threading.Barrier(4), set()
+
+    def waiting(part):
+        def run(*given):
+            together.wait(60)
+            folders.add(results_folder(spark))
+            return part(*given)
+        return run
+
+    for name in ("_address_rows", "_user_rows", "_brute_force_rows", "_actor_rows"):
+        monkeypatch.setattr(executive, name, waiting(getattr(executive, name)))
+    with job_results(spark) as folder:
+        assert tuples(rollups.executive_of(without_events(wh), stored, None)) == expected
+    assert folders == {folder}
